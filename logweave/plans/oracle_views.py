@@ -38,3 +38,20 @@ x3 AS (
 
 def with_views(*views: str) -> str:
     return "WITH " + ",".join(views)
+
+
+def words_view(name: str, source: str, id_col: str) -> str:
+    return f"""
+{name} AS (
+  SELECT sample, pos FROM (
+    SELECT unnest(parts) AS sample,
+           {id_col} * 4294967296 + unnest(generate_series(1, len(parts))) AS pos
+    FROM (SELECT {id_col}, string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+') AS parts FROM {source}))
+  WHERE sample <> ''
+)"""
+
+
+DOC_WORDS = words_view("dw", "documents", "doc_id")
+BENCH_WORDS = words_view("bw", "benchmark", "item_id")
+DOC_FREQ = "dfq AS (SELECT sample, CAST(count(*) AS BIGINT) AS cnt, min(pos) AS first_seen FROM dw GROUP BY sample)"
+BENCH_FREQ = "bfq AS (SELECT sample, CAST(count(*) AS BIGINT) AS cnt, min(pos) AS first_seen FROM bw GROUP BY sample)"

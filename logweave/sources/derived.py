@@ -66,3 +66,17 @@ def lineitem_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversation_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(conv_id, turn, role)``."""
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+
+
+# Word tokens for frequency tables: lower-cased runs of letters / digits.
+WORD_SPLIT = r"[^\p{L}\p{N}]+"
+POSITION_STRIDE = 1 << 32  # first_seen = row id * stride + word position
+
+
+def words(spark: SparkSession, sf_dir: str, source: str = "documents") -> DataFrame:
+    """``(sample, pos)``: every word of ``documents`` (or ``benchmark``) text."""
+    id_col = {"documents": "doc_id", "benchmark": "item_id", "conversations": "conv_id"}[source]
+    t = table(spark, sf_dir, source).select(id_col, "text")
+    ex = t.select(id_col, F.posexplode(F.split(F.lower("text"), WORD_SPLIT)).alias("i", "sample"))
+    return ex.where(F.col("sample") != "").select(
+        "sample", (F.col(id_col) * F.lit(POSITION_STRIDE) + F.col("i") + 1).alias("pos"))
