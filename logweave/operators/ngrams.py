@@ -56,3 +56,30 @@ def distinct_ngrams(grams: DataFrame, idx: str, n: int, prefix: str = "g") -> Da
     """Distinct n-grams with their count and first position (first-seen order)."""
     keys = [f"{prefix}{k}" for k in range(1, n + 1)]
     return grams.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"), F.min(idx).alias("first_seen"))
+
+
+def row_pad(df: DataFrame, idx: str, item: str, n: int, groups=(), pad_left: bool = False,
+            pad_right: bool = False, left_pad_symbol=None, right_pad_symbol=None) -> DataFrame:
+    """W3 (row form): add ``n-1`` pad rows before / after each group's sequence.
+
+    Returns ``(*groups, idx, item)`` with ``idx`` dense from 1 again. The
+    group sizes are one aggregate row per group, joined back (no collect).
+    """
+    groups = list(groups)
+    k = n - 1
+    shift = k if pad_left else 0
+    body = df.select(*groups, (F.col(idx) + shift).alias(idx), F.col(item).cast("string").alias(item))
+    parts = [body]
+    if k > 0 and (pad_left or pad_right):
+        sizes = df.groupBy(*groups).agg(F.max(idx).alias("_last"))
+        if pad_left:
+            parts.append(sizes.select(*groups, F.explode(F.sequence(F.lit(1), F.lit(k)).cast("array<long>")).alias(idx),
+                                      F.lit(left_pad_symbol).cast("string").alias(item)))
+        if pad_right:
+            parts.append(sizes.select(*groups, F.explode(F.sequence(F.col("_last") + shift + 1, F.col("_last") + shift + k)
+                                                .cast("array<long>")).alias(idx),
+                                      F.lit(right_pad_symbol).cast("string").alias(item)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

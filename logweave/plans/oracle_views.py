@@ -55,3 +55,39 @@ DOC_WORDS = words_view("dw", "documents", "doc_id")
 BENCH_WORDS = words_view("bw", "benchmark", "item_id")
 DOC_FREQ = "dfq AS (SELECT sample, CAST(count(*) AS BIGINT) AS cnt, min(pos) AS first_seen FROM dw GROUP BY sample)"
 BENCH_FREQ = "bfq AS (SELECT sample, CAST(count(*) AS BIGINT) AS cnt, min(pos) AS first_seen FROM bw GROUP BY sample)"
+
+
+LI_SEQ = """
+li AS (
+  SELECT *, CASE WHEN l_shipdate < TIMESTAMP '1998-06-01' THEN 'train' ELSE 'test' END AS split,
+         l_returnflag || l_linestatus || CAST(l_linenumber AS VARCHAR) AS code
+  FROM lineitem),
+codes AS (SELECT code, CAST(dense_rank() OVER (ORDER BY code) AS INTEGER) AS EventId FROM (SELECT DISTINCT code FROM li)),
+x3 AS (
+  SELECT li.split, CAST(row_number() OVER (PARTITION BY li.split ORDER BY l_shipdate, l_orderkey, l_linenumber,
+           l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS BIGINT) AS seq,
+         codes.EventId, li.code, li.l_orderkey, li.l_linenumber
+  FROM li JOIN codes USING (code)),
+win AS (
+  SELECT * FROM (
+    SELECT split, seq, l_orderkey, l_linenumber,
+           lag(EventId, 3) OVER w AS c1, lag(EventId, 2) OVER w AS c2, lag(EventId, 1) OVER w AS c3, EventId AS y
+    FROM x3 WINDOW w AS (PARTITION BY split ORDER BY seq)) WHERE seq >= 4),
+tw AS (SELECT * FROM win WHERE split = 'train'),
+model AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY level, c1, c2, c3 ORDER BY cnt DESC, y) AS BIGINT) AS rank FROM (
+    SELECT 3 AS level, c1, c2, c3, y, CAST(count(*) AS BIGINT) AS cnt FROM tw GROUP BY c1, c2, c3, y
+    UNION ALL SELECT 2, NULL, c2, c3, y, count(*) FROM tw GROUP BY c2, c3, y
+    UNION ALL SELECT 1, NULL, NULL, c3, y, count(*) FROM tw GROUP BY c3, y
+    UNION ALL SELECT 0, NULL, NULL, NULL, y, count(*) FROM tw GROUP BY y)),
+scored AS (
+  SELECT t.*, m.rank FROM (
+    SELECT w.*, CASE WHEN s3.c1 IS NOT NULL THEN 3 WHEN s2.c2 IS NOT NULL THEN 2 WHEN s1.c3 IS NOT NULL THEN 1 ELSE 0 END AS level
+    FROM (SELECT * FROM win WHERE split = 'test') w
+    LEFT JOIN (SELECT DISTINCT c1, c2, c3 FROM tw) s3 ON w.c1 = s3.c1 AND w.c2 = s3.c2 AND w.c3 = s3.c3
+    LEFT JOIN (SELECT DISTINCT c2, c3 FROM tw) s2 ON w.c2 = s2.c2 AND w.c3 = s2.c3
+    LEFT JOIN (SELECT DISTINCT c3 FROM tw) s1 ON w.c3 = s1.c3) t
+  LEFT JOIN model m ON m.level = t.level AND m.y = t.y
+    AND m.c1 IS NOT DISTINCT FROM (CASE WHEN t.level >= 3 THEN t.c1 END)
+    AND m.c2 IS NOT DISTINCT FROM (CASE WHEN t.level >= 2 THEN t.c2 END)
+    AND m.c3 IS NOT DISTINCT FROM (CASE WHEN t.level >= 1 THEN t.c3 END))"""
