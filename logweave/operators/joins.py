@@ -1,0 +1,19 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows above which a "small" side is joined with a shuffle instead of a broadcast.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint when ``df`` has at most ``max_rows`` rows, else unchanged.
+
+    The count is an action on the (already small, aggregated) side only; past
+    the bound the join stays a shuffle join and AQE decides at run time.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.sources.tables import table
+from logweave.sources.tables import spread, table
 
 # Message body per event type for the X1 log view.
 EVENT_BODIES = {
@@ -45,7 +45,7 @@ def event_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, line_no, line)``; line breaks are \\n, \\r and \\r\\n (as text files)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", F.posexplode(F.split("text", "\r\n|\r|\n")).alias("pos", "line")) \
         .select("doc_id", (F.col("pos") + 1).cast("long").alias("line_no"), "line")
 
@@ -76,7 +76,7 @@ POSITION_STRIDE = 1 << 32  # first_seen = row id * stride + word position
 def words(spark: SparkSession, sf_dir: str, source: str = "documents") -> DataFrame:
     """``(sample, pos)``: every word of ``documents`` (or ``benchmark``) text."""
     id_col = {"documents": "doc_id", "benchmark": "item_id", "conversations": "conv_id"}[source]
-    t = table(spark, sf_dir, source).select(id_col, "text")
+    t = spread(table(spark, sf_dir, source).select(id_col, "text"), id_col)
     ex = t.select(id_col, F.posexplode(F.split(F.lower("text"), WORD_SPLIT)).alias("i", "sample"))
     return ex.where(F.col("sample") != "").select(
         "sample", (F.col(id_col) * F.lit(POSITION_STRIDE) + F.col("i") + 1).alias("pos"))

@@ -22,3 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     for n in names:
         table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-repartition ``df`` by ``cols`` only when the scan gives fewer
+    partitions than the cluster's default parallelism.
+
+    A large input already arrives in many splits and is left alone; a single
+    big row group (one scan task) would otherwise run all per-row CPU work
+    (regexes, tokenising) in one task.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *cols)
