@@ -27,4 +27,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from logweave.plans import q_freq, q_labels, q_mining, q_params, q_seq, q_stream  # noqa: F401
+    from logweave.plans import q_freq, q_io, q_labels, q_mining, q_params, q_seq, q_stream  # noqa: F401

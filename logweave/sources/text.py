@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 _LOW_BITS = (1 << 33) - 1  # row index part of monotonically_increasing_id
 
 
-def number_lines(raw: DataFrame, value_col: str = "value") -> DataFrame:
+def number_lines(raw: DataFrame, value_col: str = "value", across_files: bool = False) -> DataFrame:
     """Attach ``file_path`` and a per-file 1-based ``line_id`` to a text scan.
 
     ``raw`` must come straight from ``spark.read.text`` (the hidden
     ``_metadata`` column and split order are needed). Lines of one split are
     contiguous inside one task, so (split start, row index in split) orders
-    lines within a file.
+    lines within a file. With ``across_files`` the files form one log in path
+    order (rotated or part files) and numbering continues across them.
     """
     tagged = raw.select(
         F.col(value_col).alias("line"),
@@ -31,7 +32,9 @@ def number_lines(raw: DataFrame, value_col: str = "value") -> DataFrame:
     )
     splits = (tagged.groupBy("file_path", "block_start")
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first_mid")))
-    w = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    part = [] if across_files else ["file_path"]
+    # one row per split, so even the global (across files) window is small
+    w = Window.partitionBy(*part).orderBy("file_path", "block_start").rowsBetween(Window.unboundedPreceding, -1)
     # one row per input split: small and bounded by the number of splits
     offsets = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     return (tagged.join(offsets.select("file_path", "block_start", "_first_mid", "_offset"),
@@ -42,7 +45,7 @@ def number_lines(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def read_lines(spark: SparkSession, paths, log_name: str | None = None, split: str | None = None,
-               binary_safe: bool = True) -> DataFrame:
+               binary_safe: bool = True, across_files: bool = False) -> DataFrame:
     """Read text logs into ``(log_name, split, file_path, line_id, line, utf8_ok)``.
 
     With ``binary_safe`` the files are read as bytes per line so that a bad
@@ -51,7 +54,7 @@ def read_lines(spark: SparkSession, paths, log_name: str | None = None, split: s
     if isinstance(paths, str):
         paths = [paths]
     raw = spark.read.text(paths)
-    numbered = number_lines(raw)
+    numbered = number_lines(raw, across_files=across_files)
     out = numbered.withColumn("utf8_ok", F.lit(True))
     if binary_safe:
         # the text reader keeps raw bytes; a bad byte is detected, not replaced
