@@ -48,9 +48,20 @@ def parse_log(lines: DataFrame, line_col: str = "line", scrub_nul: bool = True,
             .drop("_tok"))
 
 
+def _filter_barrier(parsed: DataFrame) -> DataFrame:
+    """Re-emit ``reject_reason`` through a one-element generator.
+
+    Catalyst pushes filters through projections by inlining the projected
+    expressions, which would evaluate the whole parse twice (once in the
+    filter, once in the output) and below any repartition. A filter on a
+    generator's output stays above it, so the parse runs once.
+    """
+    return parsed.withColumn("reject_reason", F.explode(F.array(F.col("reject_reason"))))
+
+
 def parsed_rows(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return _filter_barrier(parsed).where(F.col("reject_reason").isNull()).drop("reject_reason")
 
 
 def reject_rows(parsed: DataFrame, keys=("line_id",), line_col: str = "line") -> DataFrame:
-    return parsed.where(F.col("reject_reason").isNotNull()).select(*keys, line_col, "reject_reason")
+    return _filter_barrier(parsed).where(F.col("reject_reason").isNotNull()).select(*keys, line_col, "reject_reason")

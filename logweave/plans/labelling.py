@@ -22,8 +22,27 @@ def label_lines(lines: DataFrame, log_name: str) -> DataFrame:
 
 
 def labels_for_logs(logs: dict[str, DataFrame]) -> DataFrame:
-    """``{log_name: lines}`` to the union of ``(LogName, TimeSlice, Label)``."""
-    return L.union_labels(*[L.label_projection(label_lines(df, name), name) for name, df in logs.items()])
+    """``{log_name: lines}`` to the union of ``(LogName, TimeSlice, Label)``.
+
+    Logs that share one input DataFrame are parsed once and labelled by every
+    rule in the same pass (one generator row per log), instead of scanning
+    and parsing the same lines once per log.
+    """
+    groups: dict[int, tuple[DataFrame, list[str]]] = {}
+    for name, df in logs.items():
+        groups.setdefault(id(df), (df, []))[1].append(name)
+    outs = []
+    for df, names in groups.values():
+        parsed = parsed_rows(parse_log(df))
+        if len(names) == 1:
+            lab = parsed.withColumn("Label", LOG_RULES[names[0]](F.col("message")))
+            outs.append(L.label_projection(lab, names[0]))
+            continue
+        per_log = F.array(*[F.struct(F.lit(n).alias("LogName"), LOG_RULES[n](F.col("message")).cast("int").alias("Label"))
+                            for n in names])
+        outs.append(parsed.select(F.col("time_bucket").alias("TimeSlice"), F.inline(per_log))
+                    .select("LogName", "TimeSlice", "Label"))
+    return L.union_labels(*outs)
 
 
 def bucket_label_table(logs: dict[str, DataFrame]) -> DataFrame:

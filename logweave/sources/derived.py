@@ -35,7 +35,7 @@ def body_expr(event_type: F.Column) -> F.Column:
 
 def event_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``line_id = event_id + 1``, line = ``<time>|<event_type>|<body>``."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "event_type"), "event_id")
     return ev.select(
         (F.col("event_id") + 1).alias("line_id"),
         F.concat_ws("|", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.col("event_type"),
