@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,11 +108,17 @@ def mask_column(df: DataFrame, src: str, dst: str, rules=MASKING_RULES) -> DataF
 
 
 def tokenize(content: Column, delimiters=EXTRA_DELIMITERS) -> Column:
-    """Extra delimiters become blanks, then split on Unicode blanks."""
+    """Extra delimiters become blanks, then split on Unicode blanks.
+
+    After stripping, a split on blank runs yields no empty token, except for
+    an empty text, which gives no tokens.
+    """
     c = content
     for d in delimiters:
         c = F.translate(c, d, " ")
-    return F.filter(F.split(strip_u(c), r"(?U)\s+"), lambda t: t != F.lit(""))
+    stripped = strip_u(c)
+    return F.when(stripped == F.lit(""), F.array().cast("array<string>")) \
+        .otherwise(F.split(stripped, r"(?U)\s+"))
 
 
 def has_digit(tok: Column) -> Column:
@@ -148,61 +155,113 @@ MINE_SCHEMA = ("kind string, n_tokens int, leaf_token string, local_id int, pos
                "change_type string, template array<string>, size long")
 
 
+class _Vocab:
+    """Token strings to small ints within one Python worker; 0 is the wildcard."""
+
+    def __init__(self):
+        self.ids = {PARAM: 0}
+        self.words = [PARAM]
+
+    def encode(self, toks) -> np.ndarray:
+        ids = self.ids
+        out = np.empty(len(toks), dtype=np.int64)
+        for i, t in enumerate(toks):
+            v = ids.get(t)
+            if v is None:
+                v = len(self.words)
+                ids[t] = v
+                self.words.append(t)
+            out[i] = v
+        return out
+
+    def decode(self, arr) -> list:
+        w = self.words
+        return [w[int(i)] for i in arr]
+
+
 class _LeafState:
-    """Clusters of one leaf while its rows stream by in position order."""
+    """Clusters of one leaf while its rows stream by in position order.
+
+    Templates are rows of an int matrix (0 = wildcard), so scoring a line
+    against every cluster of the leaf is a few array operations.
+    """
 
-    __slots__ = ("key", "clusters", "last_tokens", "last_cluster", "last_pos")
+    __slots__ = ("key", "vocab", "tpl", "sizes", "first", "m", "last_ids", "last_idx", "last_pos")
 
-    def __init__(self, key):
+    def __init__(self, key, vocab: _Vocab):
         self.key = key
-        self.clusters: list[list] = []  # [local_id, template list, size, first_pos]
-        self.last_tokens = None
-        self.last_cluster = None
+        self.vocab = vocab
+        n = key[0]
+        self.tpl = np.zeros((8, max(n, 1)), dtype=np.int64)
+        self.sizes: list[int] = []
+        self.first: list[int] = []
+        self.m = 0
+        self.last_ids = None
+        self.last_idx = None
         self.last_pos = None
 
     def add(self, pos, toks, sim_th, out):
         if self.last_pos is not None and pos < self.last_pos:
             raise ValueError("rows of a leaf must arrive in position order")
         self.last_pos = pos
-        if self.last_cluster is not None and toks == self.last_tokens:
+        n = len(toks)
+        ids = self.vocab.encode(toks)
+        if self.last_idx is not None and np.array_equal(ids, self.last_ids):
             # a repeat of the previous line joins the same cluster unchanged
-            self.last_cluster[2] += 1
+            self.sizes[self.last_idx] += 1
             return
-        n = len(toks)
-        best, best_sim, best_params = None, -1.0, -1
-        if n == 0:
-            best = self.clusters[0] if self.clusters else None
-            best_sim = 1.0
-        else:
-            for c in self.clusters:
-                sim_tokens = params = 0
-                for a, b in zip(c[1], toks):
-                    if a == PARAM:
-                        params += 1
-                    elif a == b:
-                        sim_tokens += 1
-                sim = sim_tokens / n
-                if sim > best_sim or (sim == best_sim and params > best_params):
-                    best, best_sim, best_params = c, sim, params
         n_tokens, leaf_token = self.key
-        if best is not None and best_sim >= sim_th:
-            merged = [a if a == b else PARAM for a, b in zip(best[1], toks)]
-            best[2] += 1
-            if merged != best[1]:
-                best[1] = merged
-                out.append(("change", n_tokens, leaf_token, best[0], pos, "cluster_template_changed",
-                            list(merged), best[2]))
-            self.last_cluster = best
+        best = -1
+        if self.m:
+            if n == 0:
+                best = 0
+            else:
+                t = self.tpl[: self.m, :n]
+                wild = t == 0
+                sim_tokens = ((t == ids) & ~wild).sum(axis=1)
+                params = wild.sum(axis=1)
+                # highest similarity, then more wildcards, then the older cluster
+                cand = int(np.argmax(sim_tokens * (n + 1) + params))
+                if sim_tokens[cand] / n >= sim_th:
+                    best = cand
+        if best >= 0:
+            row = self.tpl[best, :n]
+            merged = np.where(row == ids, row, 0)
+            self.sizes[best] += 1
+            if not np.array_equal(merged, row):
+                self.tpl[best, :n] = merged
+                out.append(("change", n_tokens, leaf_token, best + 1, pos, "cluster_template_changed",
+                            self.vocab.decode(merged), self.sizes[best]))
+            self.last_idx = best
         else:
-            c = [len(self.clusters) + 1, toks, 1, pos]
-            self.clusters.append(c)
-            out.append(("change", n_tokens, leaf_token, c[0], pos, "cluster_created", list(toks), 1))
-            self.last_cluster = c
-        self.last_tokens = toks
+            if self.m == self.tpl.shape[0]:
+                self.tpl = np.vstack([self.tpl, np.zeros_like(self.tpl)])
+            self.tpl[self.m, :n] = ids
+            self.sizes.append(1)
+            self.first.append(pos)
+            self.m += 1
+            out.append(("change", n_tokens, leaf_token, self.m, pos, "cluster_created", list(toks), 1))
+            self.last_idx = self.m - 1
+        self.last_ids = ids
+
+    def clusters(self):
+        """``[local_id, template tokens, size, first_pos]`` per cluster."""
+        n = self.key[0]
+        return [[i + 1, self.vocab.decode(self.tpl[i, :n]), self.sizes[i], self.first[i]] for i in range(self.m)]
+
+    def restore(self, clusters):
+        """Load ``clusters()`` output back (streaming state)."""
+        for local_id, toks, size, first in clusters:
+            if self.m == self.tpl.shape[0]:
+                self.tpl = np.vstack([self.tpl, np.zeros_like(self.tpl)])
+            self.tpl[self.m, : self.key[0]] = self.vocab.encode(toks)
+            self.sizes.append(int(size))
+            self.first.append(int(first))
+            self.m += 1
 
     def flush(self, out):
         n_tokens, leaf_token = self.key
-        for c in self.clusters:
+        for c in self.clusters():
             out.append(("cluster", n_tokens, leaf_token, c[0], c[3], None, c[1], c[2]))
 
 
@@ -212,6 +271,7 @@ _MINE_COLS = ["kind", "n_tokens", "leaf_token", "local_id", "pos", "change_type"
 def _cluster_partition(batches: Iterator[pd.DataFrame], sim_th: float) -> Iterator[pd.DataFrame]:
     """Leaves arrive one after another (rows sorted by leaf, then position)."""
     state = None
+    vocab = _Vocab()
     for pdf in batches:
         out: list = []
         leaf_n = pdf["n_tokens"].tolist()
@@ -222,7 +282,7 @@ def _cluster_partition(batches: Iterator[pd.DataFrame], sim_th: float) -> Iterat
             if state is None or state.key != key:
                 if state is not None:
                     state.flush(out)
-                state = _LeafState(key)
+                state = _LeafState(key, vocab)
             state.add(pos, list(toks), sim_th, out)
         if out:
             yield pd.DataFrame(out, columns=_MINE_COLS)
@@ -274,8 +334,8 @@ def changes(mined: DataFrame, cat: DataFrame) -> DataFrame:
             .select(ch.pos, "change_type", "cluster_id", F.array_join(ch.template, " ").alias("template")))
 
 
-def match(keyed: DataFrame, cat: DataFrame) -> DataFrame:
-    """Match each line to a finished template of its leaf, no new clusters.
+def match_join(keyed: DataFrame, cat: DataFrame) -> DataFrame:
+    """T7 as a join (declarative form; ``match`` is the fast path with the same result).
 
     A template matches when every non-wildcard position equals the line's
     token. Among matches the one with more wildcards wins, then the older
@@ -323,3 +383,88 @@ def position_templates(keyed: DataFrame) -> DataFrame:
             .agg(F.sort_array(F.collect_list(F.struct("i", "tok"))).alias("_p"))
             .select("n_tokens", "leaf_token", F.array_join(F.transform("_p", lambda s: s["tok"]), " ")
                     .alias("template")))
+
+
+MATCH_OUT = "EventId int, EventTemplate string, param array<string>"
+
+
+def _match_partition(batches: Iterator[pd.DataFrame], carry: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by (leaf, kind): a leaf's templates (kind 0, best first),
+    then its lines (kind 1). Each line gets the first template that matches."""
+    vocab = _Vocab()
+    cur_key = None
+    tpl = None
+    ids_list: list = []
+    tpl_rows: list = []
+    for pdf in batches:
+        res_id, res_tpl, res_par, keep = [], [], [], []
+        for idx, (n, t, kind, cid, toks, text) in enumerate(zip(
+                pdf["n_tokens"].tolist(), pdf["leaf_token"].tolist(), pdf["_kind"].tolist(),
+                pdf["_cid"].tolist(), pdf["tokens"].tolist(), pdf["_text"].tolist())):
+            t = None if (t is None or t != t) else t
+            key = (int(n), t)
+            if key != cur_key:
+                cur_key, tpl, ids_list, tpl_rows = key, None, [], []
+            if kind == 0:
+                ids_list.append(vocab.encode(list(toks)))
+                tpl_rows.append((int(cid), text, list(toks)))
+                tpl = None
+                continue
+            keep.append(idx)
+            if tpl is None and ids_list:
+                tpl = np.vstack(ids_list) if n > 0 else np.zeros((len(ids_list), 0), dtype=np.int64)
+            hit = -1
+            if tpl is not None and len(tpl):
+                line = vocab.encode(list(toks))
+                ok = ((tpl == line) | (tpl == 0)).all(axis=1)
+                if ok.any():
+                    hit = int(np.argmax(ok))
+            if hit >= 0:
+                cid_, text_, toks_ = tpl_rows[hit]
+                res_id.append(cid_)
+                res_tpl.append(text_)
+                res_par.append(toks_)
+            else:
+                res_id.append(None)
+                res_tpl.append(None)
+                res_par.append([])
+        if keep:
+            out = pdf.iloc[keep][carry].reset_index(drop=True)
+            out["EventId"] = pd.array(res_id, dtype="Int32")
+            out["EventTemplate"] = res_tpl
+            out["param"] = res_par
+            yield out
+
+
+def match(keyed: DataFrame, cat: DataFrame) -> DataFrame:
+    """Match each line to a finished template of its leaf, no new clusters.
+
+    A template matches when every non-wildcard position equals the line's
+    token; among matches the one with more wildcards wins, then the older one.
+    Lines and templates are hash partitioned by leaf together and sorted so a
+    leaf's templates (best first) precede its lines; one streaming Python pass
+    per partition keeps only the current leaf's templates as an int matrix.
+    Adds ``EventId`` (null when unmatched), ``EventTemplate``, ``param``
+    (template tokens, empty when unmatched) and ``match`` (1/0).
+    """
+    from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+    carry = list(keyed.columns)
+    leaf = ["n_tokens", "leaf_token"]
+    params = F.size(F.filter("tokens", lambda t: t == F.lit(PARAM)))
+    templates = cat.select(*leaf, "tokens", F.lit(0).alias("_kind"), (-params).cast("long").alias("_o1"),
+                           F.col("cluster_id").cast("long").alias("_o2"), F.col("cluster_id").alias("_cid"),
+                           F.col("template").alias("_text"))
+    lines = keyed.select(*carry, F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_o1"),
+                         F.lit(0).cast("long").alias("_o2"), F.lit(None).cast("int").alias("_cid"),
+                         F.lit(None).cast("string").alias("_text"))
+    both = (lines.unionByName(templates, allowMissingColumns=True).repartition(*leaf)
+            .sortWithinPartitions(*leaf, "_kind", "_o1", "_o2"))
+    schema = StructType(list(keyed.schema.fields) + [
+        StructField("EventId", IntegerType()), StructField("EventTemplate", StringType()),
+        StructField("param", ArrayType(StringType()))])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _match_partition(batches, carry)
+
+    out = both.mapInPandas(run, schema=schema)
+    return out.withColumn("match", F.when(F.col("EventId").isNotNull(), 1).otherwise(0))

@@ -16,9 +16,18 @@ EVENTS_TRAIN_BEFORE = "2024-01-16 00:00:00"
 SPLIT_STRIDE = 1 << 40  # pos = split order * stride + line number
 
 
-def keyed_lines(lines: DataFrame, content: str = "content", pos: str = "pos") -> DataFrame:
-    """Mask, tokenize and route lines: adds ``masked, tokens, n_tokens, leaf_token``."""
-    m = T.mask_column(lines, content, "masked").withColumn("tokens", T.tokenize(F.col("masked")))
+def keyed_lines(lines: DataFrame, content: str = "content", pos: str = "pos", materialize: bool = True) -> DataFrame:
+    """Mask, tokenize and route lines: adds ``tokens, n_tokens, leaf_token``.
+
+    The tokenized lines feed the routing aggregate, the routing join, the
+    miner and the matcher. With ``materialize`` they are written once to the
+    checkpoint folder (reliable, survives executor loss) instead of running
+    the regex chain once per consumer.
+    """
+    m = T.mask_column(lines, content, "_masked").withColumn("tokens", T.tokenize(F.col("_masked"))).drop("_masked")
+    if materialize:
+        ensure_checkpoint_dir(lines.sparkSession)
+        m = m.checkpoint(eager=True)
     return T.leaf_keys(m, "tokens", pos)
 
 

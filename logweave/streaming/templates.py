@@ -30,9 +30,9 @@ STATE_SCHEMA = "clusters string"
 
 def _update(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     n_tokens, leaf_token = key
-    leaf = T._LeafState((int(n_tokens), leaf_token))
+    leaf = T._LeafState((int(n_tokens), leaf_token), T._Vocab())
     if state.exists:
-        leaf.clusters = json.loads(state.get[0])
+        leaf.restore(json.loads(state.get[0]))
     frames = [b for b in batches]
     pdf = pd.concat(frames).sort_values("pos") if frames else None
     out: list = []
@@ -40,9 +40,10 @@ def _update(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFram
         for pos, toks in zip(pdf["pos"].tolist(), pdf["tokens"].tolist()):
             leaf.add(int(pos), list(toks), T.SIM_TH, out)
     changed = {r[3]: r[5] for r in out}
-    state.update((json.dumps(leaf.clusters),))
+    clusters = leaf.clusters()
+    state.update((json.dumps(clusters),))
     rows = [(int(n_tokens), leaf_token, c[0], c[3], " ".join(c[1]), c[2], changed.get(c[0], "none"))
-            for c in leaf.clusters]
+            for c in clusters]
     yield pd.DataFrame(rows, columns=["n_tokens", "leaf_token", "local_id", "first_pos", "template", "size",
                                       "last_change"])
 
