@@ -54,25 +54,41 @@ def fit(train_windows: DataFrame, weight: str = "count") -> DataFrame:
     return model.withColumn("rank", F.row_number().over(rank_w).cast("long"))
 
 
+def lookup_tables(model: DataFrame) -> dict[int, DataFrame]:
+    """Per level, one row per context with ``map(next event -> rank)``.
+
+    A map holds at most one entry per event type, so rows stay small; the
+    tables are as large as the number of distinct contexts, not the data.
+    """
+    out = {}
+    for level in (3, 2, 1, 0):
+        keep = CTX[3 - level:]
+        m = model.where(F.col("level") == level)
+        out[level] = (m.groupBy(*keep)
+                      .agg(F.map_from_entries(F.collect_list(F.struct("y", "rank"))).alias(f"_m{level}")))
+    return out
+
+
 def score(test_windows: DataFrame, model: DataFrame, top_k: int) -> DataFrame:
-    """M2: add ``level``, ``rank`` (null when unseen) and ``is_anomaly``."""
+    """M2: add ``level`` (longest context seen in training), ``rank`` of the
+    true next event in it (null when unseen) and ``is_anomaly``.
+
+    One left join per context length; each both tells whether the context was
+    seen and gives the rank of the next event. The empty context is one row.
+    """
+    tables = lookup_tables(model)
     t = test_windows
     for level in (3, 2, 1):
-        keep = CTX[3 - level:]
-        seen = model.where(F.col("level") == level).select(*keep).distinct() \
-            .withColumn(f"_seen{level}", F.lit(level))
-        t = t.join(seen, keep, "left")
-    t = t.withColumn("level", F.coalesce(F.col("_seen3"), F.col("_seen2"), F.col("_seen1"), F.lit(0))) \
-        .drop("_seen3", "_seen2", "_seen1")
-    keyed = t.withColumns({f"_k{i}": F.when(F.col("level") >= 4 - i, F.col(f"c{i}")) for i in (1, 2, 3)})
-    m = model.select("level", *[F.col(c).alias(f"_m{c}") for c in CTX], F.col("y").alias("_my"), "rank",
-                     F.col("level").alias("_mlevel"))
-    cond = ((keyed["level"] == m["_mlevel"]) & keyed["_k1"].eqNullSafe(m["_mc1"])
-            & keyed["_k2"].eqNullSafe(m["_mc2"]) & keyed["_k3"].eqNullSafe(m["_mc3"])
-            & (keyed["y"] == m["_my"]))
-    out = keyed.join(m.drop("level"), cond, "left")
-    out = out.drop("_k1", "_k2", "_k3", "_mc1", "_mc2", "_mc3", "_my", "_mlevel")
-    return out.withColumn("is_anomaly", F.col("rank").isNull() | (F.col("rank") > F.lit(top_k)))
+        t = t.join(tables[level], CTX[3 - level:], "left")
+    t = t.crossJoin(F.broadcast(tables[0]))
+    level = (F.when(F.col("_m3").isNotNull(), 3).when(F.col("_m2").isNotNull(), 2)
+             .when(F.col("_m1").isNotNull(), 1).otherwise(0))
+    chosen = (F.when(F.col("_m3").isNotNull(), F.col("_m3")).when(F.col("_m2").isNotNull(), F.col("_m2"))
+              .when(F.col("_m1").isNotNull(), F.col("_m1")).otherwise(F.col("_m0")))
+    return (t.withColumn("level", level)
+            .withColumn("rank", F.try_element_at(chosen, F.col("y")))
+            .drop("_m3", "_m2", "_m1", "_m0")
+            .withColumn("is_anomaly", F.col("rank").isNull() | (F.col("rank") > F.lit(top_k))))
 
 
 def accuracy(scored: DataFrame, top_k: int) -> DataFrame:

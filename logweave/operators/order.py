@@ -29,34 +29,40 @@ def _sort_cols(keys, ascending):
 
 
 def dense_index(df: DataFrame, keys, ascending=None, out: str = "seq", groups=(),
-                checkpoint: bool = True) -> DataFrame:
+                checkpoint: bool = True, keep=None) -> DataFrame:
     """Add a dense 1-based position ``out`` in ``keys`` order (restarting per ``groups``).
 
     The sort key should be a total order; equal keys get an arbitrary but
     fixed order. With ``checkpoint`` the sorted, id-tagged rows are written
-    once to the checkpoint folder, so the count pass and the numbering pass
-    read identical rows and a lost executor cannot renumber them.
+    once as a table in the checkpoint folder, so the count pass and the
+    numbering pass read identical rows and a lost executor cannot renumber
+    them. ``keep`` limits the columns carried past the sort.
     """
+    from logweave.operators.joins import broadcast_if_small
+    from logweave.session import materialize
     groups = list(groups)
     order = _sort_cols(groups, None) + _sort_cols(list(keys), ascending)
     tagged = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
+    if keep is not None:
+        tagged = tagged.select(*dict.fromkeys(groups + list(keep) + ["_mid"]))
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
-        tagged = tagged.checkpoint(eager=True)
-    part = F.shiftright(F.col("_mid"), 33)
-    counts = tagged.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per sorted partition: bounded by the partition count, safe to broadcast
-    offsets = counts.select("_p", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    idx = (tagged.join(F.broadcast(offsets), part == F.col("_p"))
-           .withColumn("_gidx", F.col("_off") + (F.col("_mid") - F.col("_m0")) + 1)
-           .drop("_p", "_m0", "_off", "_mid"))
-    if not groups:
-        return idx.withColumnRenamed("_gidx", out)
-    # restart per group: subtract the group's first global position
-    starts = idx.groupBy(*groups).agg(F.min("_gidx").alias("_g0"))
-    return (idx.join(starts, groups).withColumn(out, F.col("_gidx") - F.col("_g0") + 1)
-            .drop("_gidx", "_g0"))
+        tagged = materialize(tagged, "dense-index")
+    tagged = tagged.withColumn("_p", F.shiftright(F.col("_mid"), 33))
+    # rows of one group inside one sorted partition are contiguous
+    counts = tagged.groupBy("_p", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    w = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per (sorted partition, group present in it): small for few groups,
+    # broadcast only after a size check
+    offsets = counts.select("_p", *[F.col(g).alias(f"_g_{g}") for g in groups], "_m0",
+                            F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    offsets = broadcast_if_small(offsets)
+    cond = tagged["_p"] == offsets["_p"]
+    for g in groups:
+        cond = cond & tagged[g].eqNullSafe(offsets[f"_g_{g}"])
+    return (tagged.join(offsets, cond)
+            .withColumn(out, F.col("_off") + (F.col("_mid") - F.col("_m0")) + 1)
+            .drop("_p", "_m0", "_off", "_mid", *[f"_g_{g}" for g in groups]))
 
 
 def running_sum(df: DataFrame, idx: str, value: str, out: str, groups=(), chunk: int = DEFAULT_CHUNK) -> DataFrame:

@@ -9,6 +9,7 @@ from logweave.operators import templates as T
 from logweave.operators.order import dense_index, time_gap
 from logweave.operators.parse import parse_log, parsed_rows
 from logweave.session import ensure_checkpoint_dir
+from logweave.session import materialize as materialize_table
 from logweave.sources.derived import document_lines, event_log_lines
 
 # Fixed value: X1 train / test split point (event time).
@@ -27,7 +28,7 @@ def keyed_lines(lines: DataFrame, content: str = "content", pos: str = "pos", ma
     m = T.mask_column(lines, content, "_masked").withColumn("tokens", T.tokenize(F.col("_masked"))).drop("_masked")
     if materialize:
         ensure_checkpoint_dir(lines.sparkSession)
-        m = m.checkpoint(eager=True)
+        m = materialize_table(m, "tokenized-lines")
     return T.leaf_keys(m, "tokens", pos)
 
 
@@ -35,7 +36,7 @@ def mine_catalogue(keyed: DataFrame, sim_th: float = T.SIM_TH) -> tuple[DataFram
     """Run the per-leaf miner once; the (small) mined output is checkpointed so
     the catalogue, the change feed and the match pass reuse it."""
     ensure_checkpoint_dir(keyed.sparkSession)
-    mined = T.mine(keyed, sim_th).checkpoint(eager=True)
+    mined = materialize_table(T.mine(keyed, sim_th), "mined-clusters")
     return mined, T.catalogue(mined)
 
 

@@ -35,7 +35,7 @@ def lineitem_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = code_ids(ev)
     ev = ev.join(ids, "code")
     seq = dense_index(ev.select("split", "code", "EventId", *LINEITEM_ORDER), LINEITEM_ORDER,
-                      out="seq", groups=["split"])
+                      out="seq", groups=["split"], keep=["EventId", "code", "l_orderkey", "l_linenumber"])
     return seq.select("split", "seq", "EventId", "code", "l_orderkey", "l_linenumber")
 
 

@@ -72,3 +72,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` once as parquet under the checkpoint folder
+    and reading it back (one computation, columnar, column pruning on re-read).
+    The folder is the cluster's shared ``spark.checkpoint.dir``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
