@@ -200,7 +200,7 @@ class _LeafState:
         self.last_idx = None
         self.last_pos = None
 
-    def add(self, pos, toks, sim_th, out):
+    def add(self, pos, toks, sim_th, out, count: int = 1):
         if self.last_pos is not None and pos < self.last_pos:
             raise ValueError("rows of a leaf must arrive in position order")
         self.last_pos = pos
@@ -208,7 +208,7 @@ class _LeafState:
         ids = self.vocab.encode(toks)
         if self.last_idx is not None and np.array_equal(ids, self.last_ids):
             # a repeat of the previous line joins the same cluster unchanged
-            self.sizes[self.last_idx] += 1
+            self.sizes[self.last_idx] += count
             return
         n_tokens, leaf_token = self.key
         best = -1
@@ -227,7 +227,7 @@ class _LeafState:
         if best >= 0:
             row = self.tpl[best, :n]
             merged = np.where(row == ids, row, 0)
-            self.sizes[best] += 1
+            self.sizes[best] += count
             if not np.array_equal(merged, row):
                 self.tpl[best, :n] = merged
                 out.append(("change", n_tokens, leaf_token, best + 1, pos, "cluster_template_changed",
@@ -237,10 +237,10 @@ class _LeafState:
             if self.m == self.tpl.shape[0]:
                 self.tpl = np.vstack([self.tpl, np.zeros_like(self.tpl)])
             self.tpl[self.m, :n] = ids
-            self.sizes.append(1)
+            self.sizes.append(count)
             self.first.append(pos)
             self.m += 1
-            out.append(("change", n_tokens, leaf_token, self.m, pos, "cluster_created", list(toks), 1))
+            out.append(("change", n_tokens, leaf_token, self.m, pos, "cluster_created", list(toks), count))
             self.last_idx = self.m - 1
         self.last_ids = ids
 
@@ -276,14 +276,15 @@ def _cluster_partition(batches: Iterator[pd.DataFrame], sim_th: float) -> Iterat
         out: list = []
         leaf_n = pdf["n_tokens"].tolist()
         leaf_t = pdf["leaf_token"].tolist()
-        for n, t, pos, toks in zip(leaf_n, leaf_t, pdf["pos"].tolist(), pdf["tokens"].tolist()):
+        runs = pdf["_run"].tolist() if "_run" in pdf.columns else [1] * len(pdf)
+        for n, t, pos, toks, run in zip(leaf_n, leaf_t, pdf["pos"].tolist(), pdf["tokens"].tolist(), runs):
             t = None if (t is None or t != t) else t  # NaN from pandas means null
             key = (int(n), t)
             if state is None or state.key != key:
                 if state is not None:
                     state.flush(out)
                 state = _LeafState(key, vocab)
-            state.add(pos, list(toks), sim_th, out)
+            state.add(pos, list(toks), sim_th, out, int(run))
         if out:
             yield pd.DataFrame(out, columns=_MINE_COLS)
     if state is not None:
@@ -304,11 +305,21 @@ def mine(keyed: DataFrame, sim_th: float = SIM_TH) -> DataFrame:
     leaf = ["n_tokens", "leaf_token"]
     prepared = (keyed.select(*leaf, "pos", "tokens")
                 .repartition(*leaf).sortWithinPartitions(*leaf, "pos"))
+    # Exact volume cut: consecutive repeats inside a leaf join the cluster of
+    # the first line unchanged, so only run heads (with run lengths) go to
+    # Python. The windows reuse the leaf partitioning and sort above.
+    w = Window.partitionBy(*leaf).orderBy("pos")
+    marked = (prepared.withColumn("_rn", F.row_number().over(w))
+              .withColumn("_prev", F.lag("tokens").over(w))
+              .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*leaf))))
+    heads = marked.where(F.col("_prev").isNull() | (F.col("_prev") != F.col("tokens")))
+    heads = heads.withColumn("_run", F.coalesce(F.lead("_rn").over(w), F.col("_cnt") + 1) - F.col("_rn")) \
+        .select(*leaf, "pos", "tokens", "_run")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return _cluster_partition(batches, sim_th)
 
-    return prepared.mapInPandas(run, schema=MINE_SCHEMA)
+    return heads.mapInPandas(run, schema=MINE_SCHEMA)
 
 
 def catalogue(mined: DataFrame) -> DataFrame:
@@ -386,6 +397,10 @@ def position_templates(keyed: DataFrame) -> DataFrame:
 
 
 MATCH_OUT = "EventId int, EventTemplate string, param array<string>"
+# Distinct (leaf, tokens) rows with their match broadcast to the line join
+# only below this many rows; past it the join is a shuffle join (AQE splits
+# a hot template's partition).
+MATCH_BROADCAST_ROWS = 200_000
 
 
 def _match_partition(batches: Iterator[pd.DataFrame], carry: list[str]) -> Iterator[pd.DataFrame]:
@@ -448,23 +463,35 @@ def match(keyed: DataFrame, cat: DataFrame) -> DataFrame:
     (template tokens, empty when unmatched) and ``match`` (1/0).
     """
     from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
-    carry = list(keyed.columns)
     leaf = ["n_tokens", "leaf_token"]
+    # Matching depends only on (leaf, tokens): match each distinct row once.
+    distinct_rows = keyed.select(*leaf, "tokens").distinct()
     params = F.size(F.filter("tokens", lambda t: t == F.lit(PARAM)))
     templates = cat.select(*leaf, "tokens", F.lit(0).alias("_kind"), (-params).cast("long").alias("_o1"),
                            F.col("cluster_id").cast("long").alias("_o2"), F.col("cluster_id").alias("_cid"),
                            F.col("template").alias("_text"))
-    lines = keyed.select(*carry, F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_o1"),
-                         F.lit(0).cast("long").alias("_o2"), F.lit(None).cast("int").alias("_cid"),
-                         F.lit(None).cast("string").alias("_text"))
-    both = (lines.unionByName(templates, allowMissingColumns=True).repartition(*leaf)
+    lines = distinct_rows.select(*leaf, "tokens", F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_o1"),
+                                 F.lit(0).cast("long").alias("_o2"), F.lit(None).cast("int").alias("_cid"),
+                                 F.lit(None).cast("string").alias("_text"))
+    both = (lines.unionByName(templates).repartition(*leaf)
             .sortWithinPartitions(*leaf, "_kind", "_o1", "_o2"))
-    schema = StructType(list(keyed.schema.fields) + [
+    carry = leaf + ["tokens"]
+    schema = StructType([keyed.schema[c] for c in carry] + [
         StructField("EventId", IntegerType()), StructField("EventTemplate", StringType()),
         StructField("param", ArrayType(StringType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return _match_partition(batches, carry)
 
-    out = both.mapInPandas(run, schema=schema)
+    # written once (it is one row per distinct line shape), so the size check
+    # and the join below do not run the Python pass twice
+    from logweave.session import materialize
+    found = broadcast_if_small(materialize(both.mapInPandas(run, schema=schema), "matched-shapes"),
+                               MATCH_BROADCAST_ROWS)
+    k = keyed.alias("k")
+    f = found.alias("f")
+    cond = ((F.col("k.n_tokens") == F.col("f.n_tokens")) & F.col("k.leaf_token").eqNullSafe(F.col("f.leaf_token"))
+            & (F.col("k.tokens") == F.col("f.tokens")))
+    out = k.join(f, cond, "left").select("k.*", "f.EventId", "f.EventTemplate",
+                                          F.coalesce(F.col("f.param"), F.array().cast("array<string>")).alias("param"))
     return out.withColumn("match", F.when(F.col("EventId").isNotNull(), 1).otherwise(0))
