@@ -38,10 +38,15 @@ def _split_order(c):
     return F.when(c == "train", 0).otherwise(1)
 
 
-def words_long(rows: DataFrame) -> DataFrame:
-    """One row per (row, text, word) with the word's first-occurrence order key."""
+def words_long(rows: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """One row per (row, text, word) with the word's first-occurrence order key.
+
+    With ``keep_empty`` a text without words still yields one row (null word),
+    so every (row, text) is present.
+    """
     ex = rows.select("split", "EventId", "k", "LineId", F.posexplode("texts").alias("t", "text"))
-    ex = ex.select("*", F.posexplode(tokenizer_words(F.col("text"))).alias("w", "word"))
+    gen = F.posexplode_outer if keep_empty else F.posexplode
+    ex = ex.select("*", gen(tokenizer_words(F.col("text"))).alias("w", "word"))
     return ex.withColumn("_order", F.struct(_split_order(F.col("split")).alias("s"), "k", "t", "w"))
 
 
@@ -62,21 +67,23 @@ def vocabulary(rows: DataFrame, fit_on: str = "both") -> DataFrame:
 def encode(rows: DataFrame, vocab: DataFrame) -> DataFrame:
     """J-c / M4b: word ids of each text, flattened to one vector per row.
 
-    A text without known words encodes to ``[0]``. Rows are rebuilt from the
-    long form with a group by row key (no per-key collection).
+    Long form (row, text, word) joined with the vocabulary on (key, word),
+    then one group by row builds the vector; a text without known words
+    encodes to ``[0]``.
     """
-    w = words_long(rows).join(vocab.select("EventId", "word", "word_id"), ["EventId", "word"], "left")
-    w = w.withColumn("word_id", F.coalesce("word_id", F.lit(0)))
-    per_text = (w.groupBy("split", "EventId", "k", "t")
-                .agg(F.sort_array(F.collect_list(F.struct("w", "word_id"))).alias("_ids")))
-    base = rows.select("split", "EventId", "k", "LineId", F.posexplode("texts").alias("t", "_text")).drop("_text")
-    per_text = base.join(per_text, ["split", "EventId", "k", "t"], "left").withColumn(
-        "ids", F.when(F.col("_ids").isNull() | (F.size("_ids") == 0), F.array(F.lit(0)))
-        .otherwise(F.transform("_ids", lambda s: s["word_id"])))
-    vec = (per_text.groupBy("split", "EventId", "k", "LineId")
-           .agg(F.sort_array(F.collect_list(F.struct("t", "ids"))).alias("_t"))
-           .select("split", "EventId", "k", "LineId", F.flatten(F.transform("_t", lambda s: s["ids"])).alias("vec")))
-    return vec
+    w = words_long(rows, keep_empty=True).join(vocab.select("EventId", "word", "word_id"),
+                                               ["EventId", "word"], "left")
+    grouped = (w.groupBy("split", "EventId", "k", "LineId")
+               .agg(F.sort_array(F.collect_list(F.struct("t", "w", F.col("word").isNotNull().alias("has"),
+                                                         F.coalesce("word_id", F.lit(0)).alias("id"))))
+                    .alias("_e"), F.max("t").alias("_nt")))
+
+    def ids_of(t):
+        ids = F.transform(F.filter(F.col("_e"), lambda e: (e["t"] == t) & e["has"]), lambda e: e["id"])
+        return F.when(F.size(ids) == 0, F.array(F.lit(0))).otherwise(ids)
+
+    return grouped.select("split", "EventId", "k", "LineId",
+                          F.flatten(F.transform(F.sequence(F.lit(0), F.col("_nt")), ids_of)).alias("vec"))
 
 
 def ragged_check(vectors: DataFrame) -> DataFrame:

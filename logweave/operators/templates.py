@@ -400,7 +400,7 @@ MATCH_OUT = "EventId int, EventTemplate string, param array<string>"
 # Distinct (leaf, tokens) rows with their match broadcast to the line join
 # only below this many rows; past it the join is a shuffle join (AQE splits
 # a hot template's partition).
-MATCH_BROADCAST_ROWS = 200_000
+MATCH_BROADCAST_ROWS = 50_000
 
 
 def _match_partition(batches: Iterator[pd.DataFrame], carry: list[str]) -> Iterator[pd.DataFrame]:
@@ -451,43 +451,65 @@ def _match_partition(batches: Iterator[pd.DataFrame], carry: list[str]) -> Itera
             yield out
 
 
-def match(keyed: DataFrame, cat: DataFrame) -> DataFrame:
-    """Match each line to a finished template of its leaf, no new clusters.
-
-    A template matches when every non-wildcard position equals the line's
-    token; among matches the one with more wildcards wins, then the older one.
-    Lines and templates are hash partitioned by leaf together and sorted so a
-    leaf's templates (best first) precede its lines; one streaming Python pass
-    per partition keeps only the current leaf's templates as an int matrix.
-    Adds ``EventId`` (null when unmatched), ``EventTemplate``, ``param``
-    (template tokens, empty when unmatched) and ``match`` (1/0).
-    """
-    from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+def _sorted_match_input(lines: DataFrame, cat: DataFrame, carry: list[str]) -> DataFrame:
+    """Lines and templates of a leaf in one partition: templates first (best
+    first: more wildcards, then older), then the lines."""
     leaf = ["n_tokens", "leaf_token"]
-    # Matching depends only on (leaf, tokens): match each distinct row once.
-    distinct_rows = keyed.select(*leaf, "tokens").distinct()
     params = F.size(F.filter("tokens", lambda t: t == F.lit(PARAM)))
     templates = cat.select(*leaf, "tokens", F.lit(0).alias("_kind"), (-params).cast("long").alias("_o1"),
                            F.col("cluster_id").cast("long").alias("_o2"), F.col("cluster_id").alias("_cid"),
                            F.col("template").alias("_text"))
-    lines = distinct_rows.select(*leaf, "tokens", F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_o1"),
-                                 F.lit(0).cast("long").alias("_o2"), F.lit(None).cast("int").alias("_cid"),
-                                 F.lit(None).cast("string").alias("_text"))
-    both = (lines.unionByName(templates).repartition(*leaf)
+    rows = lines.select(*dict.fromkeys(carry + leaf + ["tokens"]), F.lit(1).alias("_kind"),
+                        F.lit(0).cast("long").alias("_o1"), F.lit(0).cast("long").alias("_o2"),
+                        F.lit(None).cast("int").alias("_cid"), F.lit(None).cast("string").alias("_text"))
+    return (rows.unionByName(templates, allowMissingColumns=True).repartition(*leaf)
             .sortWithinPartitions(*leaf, "_kind", "_o1", "_o2"))
-    carry = leaf + ["tokens"]
-    schema = StructType([keyed.schema[c] for c in carry] + [
+
+
+def _match_schema(df: DataFrame, carry: list[str]):
+    from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+    return StructType([df.schema[c] for c in carry] + [
         StructField("EventId", IntegerType()), StructField("EventTemplate", StringType()),
         StructField("param", ArrayType(StringType()))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return _match_partition(batches, carry)
 
-    # written once (it is one row per distinct line shape), so the size check
-    # and the join below do not run the Python pass twice
+def match(keyed: DataFrame, cat: DataFrame, strategy: str = "auto") -> DataFrame:
+    """Match each line to a finished template of its leaf, no new clusters.
+
+    A template matches when every non-wildcard position equals the line's
+    token; among matches the one with more wildcards wins, then the older one.
+    Lines and templates are hash partitioned by leaf together and sorted so a
+    leaf's templates precede its lines; one streaming Python pass per
+    partition keeps only the current leaf's templates as an int matrix.
+
+    ``strategy``: ``'direct'`` streams every line through the matcher;
+    ``'distinct'`` matches each distinct (leaf, tokens) shape once and joins
+    the result back (log lines repeat their templates, so this is far less
+    Python work); ``'auto'`` picks ``distinct`` when an approximate distinct
+    count of shapes is under half the lines.
+
+    Adds ``EventId`` (null when unmatched), ``EventTemplate``, ``param``
+    (template tokens, empty when unmatched) and ``match`` (1/0).
+    """
     from logweave.session import materialize
-    found = broadcast_if_small(materialize(both.mapInPandas(run, schema=schema), "matched-shapes"),
-                               MATCH_BROADCAST_ROWS)
+    leaf = ["n_tokens", "leaf_token"]
+    if strategy == "auto":
+        st = keyed.agg(F.count(F.lit(1)).alias("n"),
+                       F.approx_count_distinct(F.xxhash64(*leaf, "tokens")).alias("d")).first()
+        strategy = "distinct" if st["d"] < 0.5 * max(st["n"], 1) else "direct"
+    if strategy == "direct":
+        carry = list(keyed.columns)
+        both = _sorted_match_input(keyed, cat, carry)
+        out = both.mapInPandas(lambda it: _match_partition(it, carry), schema=_match_schema(keyed, carry))
+        return out.withColumn("match", F.when(F.col("EventId").isNotNull(), 1).otherwise(0))
+    carry = leaf + ["tokens"]
+    shapes = keyed.select(*carry).distinct()
+    both = _sorted_match_input(shapes, cat, carry)
+    # written once (one row per distinct shape), so the size check and the
+    # join below do not run the Python pass twice
+    found = materialize(both.mapInPandas(lambda it: _match_partition(it, carry), schema=_match_schema(keyed, carry)),
+                        "matched-shapes")
+    found = broadcast_if_small(found, MATCH_BROADCAST_ROWS)
     k = keyed.alias("k")
     f = found.alias("f")
     cond = ((F.col("k.n_tokens") == F.col("f.n_tokens")) & F.col("k.leaf_token").eqNullSafe(F.col("f.leaf_token"))

@@ -82,11 +82,13 @@ def test_leaf_parallel_equals_sequential(spark, seed, max_children):
     keyed = T.leaf_keys(df, "tokens", "pos", max_children=max_children)
     cat = T.catalogue(T.mine(keyed)).orderBy("cluster_id").collect()
     assert [(r.template, r.size) for r in cat] == sequential_mine(lines, max_children=max_children)
-    m1 = T.match(keyed, T.catalogue(T.mine(keyed)))
-    m2 = T.match_join(keyed, T.catalogue(T.mine(keyed)))
-    a = sorted((r.pos, r.EventId) for r in m1.collect())
-    b = sorted((r.pos, r.EventId) for r in m2.collect())
-    assert a == b
+    cat2 = T.catalogue(T.mine(keyed))
+    got = {}
+    for strategy in ("direct", "distinct"):
+        got[strategy] = sorted((r.pos, r.EventId) for r in T.match(keyed, cat2, strategy).collect())
+    b = sorted((r.pos, r.EventId) for r in T.match_join(keyed, cat2).collect())
+    a = got["direct"]
+    assert a == b == got["distinct"]
     # with templates fitted on every line, each line matches some template
     assert all(e is not None for _, e in a)
 
