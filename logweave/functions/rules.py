@@ -45,14 +45,16 @@ def rules_table(spark: SparkSession, rules=DEFAULT_RULES) -> DataFrame:
     return spark.createDataFrame(list(rules), "log_name string, rule_name string, pattern string")
 
 
-def label_with_rule_table(parsed: DataFrame, rules: DataFrame, rule_name: str = "default") -> DataFrame:
-    """Label every row by the pattern of its ``log_name``.
+def label_with_rule_table(parsed: DataFrame, rules: DataFrame, rule_name: str | None = "default") -> DataFrame:
+    """Label every row by the pattern(s) of its ``log_name``.
 
     The rule table has a handful of rows, so it is broadcast (size is fixed by
     the rule list, not by the data); the pattern is a column, evaluated with
-    ``rlike`` per row.
+    ``rlike`` per row. With ``rule_name=None`` every rule set of the log is
+    applied in the same pass (one output row per line and rule set).
     """
-    r = F.broadcast(rules.where(F.col("rule_name") == rule_name).select("log_name", "pattern"))
+    sel = rules if rule_name is None else rules.where(F.col("rule_name") == rule_name)
+    r = F.broadcast(sel.select("log_name", "rule_name", "pattern"))
     return (parsed.join(r, "log_name", "left")
             .withColumn("Label", F.coalesce(
                 F.expr(f"message rlike concat('{FLAGS}', pattern)").cast("int"), F.lit(0)))

@@ -97,12 +97,7 @@ SELECT line_id, rule_name, Label FROM (
 def q_label_rule_table(spark, sf_dir):
     """The sysmonitor log labelled by every rule set in the rule table."""
     parsed = parsed_rows(parse_log(event_log_lines(spark, sf_dir))).withColumn("log_name", F.lit("sysmonitor"))
-    rules = R.rules_table(spark)
-    outs = []
-    for name in ["default"] + list(R.SYSMONITOR_ALTERNATIVES):
-        outs.append(R.label_with_rule_table(parsed, rules, name)
-                    .select("line_id", F.lit(name).alias("rule_name"), "Label"))
-    return L.union_labels(*outs)
+    return R.label_with_rule_table(parsed, R.rules_table(spark), None).select("line_id", "rule_name", "Label")
 
 
 @register("label_projection", X1 + """
