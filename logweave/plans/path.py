@@ -49,9 +49,19 @@ def class_count(seq: DataFrame, split: str = "train") -> DataFrame:
     return seq.where(F.col("split") == split).agg((F.max("EventId") + 1).alias("K"))
 
 
-def execution_path(seq: DataFrame, top_k: int = PATH_TOP_K, weight: str = "count") -> tuple[DataFrame, DataFrame]:
-    """M3: fit on the train split, score the test split; returns (model, scored test windows)."""
+def execution_path(seq: DataFrame, top_k: int = PATH_TOP_K, weight: str = "count",
+                   model_path: str | None = None, fit_id: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """M3: fit on the train split (or reuse the stored model of ``fit_id``),
+    score the test split; returns (model, scored test windows)."""
     win = path_windows(seq)
-    model = NE.fit(win.where(F.col("split") == "train"), weight=weight)
+
+    def fit():
+        return NE.fit(win.where(F.col("split") == "train"), weight=weight)
+
+    if model_path and fit_id:
+        from logweave.plans.models import load_or_fit
+        model = load_or_fit(seq.sparkSession, model_path, fit_id, fit)
+    else:
+        model = fit()
     scored = NE.score(win.where(F.col("split") == "test"), model, top_k)
     return model, scored

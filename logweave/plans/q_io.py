@@ -36,6 +36,15 @@ def q_scan_lines(spark, sf_dir):
     return written_log(spark, sf_dir).select("line_id", "line")
 
 
+@register("line_number")
+def q_line_number(spark, sf_dir):
+    """S2 per file: each part file of the written log numbered from 1 on its own."""
+    path = scratch_path(spark, "x1-text-files")
+    event_log_lines(spark, sf_dir).orderBy("line_id").select("line").write.text(path)
+    lines = read_lines(spark, path, log_name="x1")
+    return lines.select(F.element_at(F.split("file_path", "/"), -1).alias("file"), "line_id", "line")
+
+
 @register("utf8_rejects")
 def q_utf8_rejects(spark, sf_dir):
     """S3: lines of the scanned text that are not valid UTF-8 (reason ``bad_utf8``)."""

@@ -73,3 +73,27 @@ def test_stream_equals_batch(spark):
     batch = sorted(tuple(r) for r in bucket_label_table({"messages": lines, "sysmonitor": lines}).collect())
     stream = sorted(tuple(r) for r in SL.stream_bucket_labels(spark, SF_SMALL).collect())
     assert batch == stream
+
+
+def test_model_table_reuse(spark, tmp_path):
+    from logweave.plans.models import load_or_fit
+    calls = []
+
+    def fit():
+        calls.append(1)
+        return spark.createDataFrame([(1, 2.0)], "EventId int, coef double")
+
+    path = str(tmp_path / "models")
+    a = load_or_fit(spark, path, "run1", fit).collect()
+    b = load_or_fit(spark, path, "run1", fit).collect()
+    load_or_fit(spark, path, "run2", fit)
+    assert a == b and len(calls) == 2
+
+
+def test_line_number_per_file(spark):
+    import __spark_entry__ as E
+    df = E.queries()["line_number"](spark, SF_SMALL)
+    per_file = df.groupBy("file").agg(F.min("line_id").alias("lo"), F.max("line_id").alias("hi"),
+                                      F.count("*").alias("n")).collect()
+    assert all(r.lo == 1 and r.hi == r.n for r in per_file)
+    assert sum(r.n for r in per_file) == event_log_lines(spark, SF_SMALL).count()
