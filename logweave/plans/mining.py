@@ -54,8 +54,9 @@ def structured_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The structured log of X1.
 
     ``(split, LineId, seq, timestamp, Content, line, EventTemplate, EventId,
-    param, match, time_gap, ParameterList)``; ``time_gap`` is text and
-    ``ParameterList`` is ``struct(tokens, gap)`` as in the reference.
+    param, match, values, time_gap, ParameterList)``; ``time_gap`` is text,
+    ``ParameterList`` is ``struct(tokens, gap)`` as in the reference and
+    ``values`` holds the line's tokens at the template's wildcards (Q18).
     """
     keyed = keyed_lines(event_log_mining_input(spark, sf_dir))
     _, cat = mine_catalogue(keyed)
@@ -65,6 +66,7 @@ def structured_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gapped.select(
         "split", F.col("line_id").alias("LineId"), "seq", F.col("epoch").cast("double").alias("timestamp"),
         F.col("content").alias("Content"), "line", "EventTemplate", "EventId", "param", "match",
+        T.template_values(F.col("tokens"), F.col("param")).alias("values"),
         F.col("time_gap").cast("string").alias("time_gap"),
         F.struct(F.col("param").alias("tokens"), F.col("time_gap").cast("string").alias("gap")).alias("ParameterList"))
 

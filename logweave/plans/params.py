@@ -11,7 +11,8 @@ from logweave.plans.mining import structured_event_log
 
 def param_rows(spark: SparkSession, sf_dir: str, mode: str = "tokens") -> DataFrame:
     """Structured X1 rows with ``k`` (position in key) and the two parameter texts."""
-    s = structured_event_log(spark, sf_dir).select("split", "LineId", "seq", "EventId", "param", "time_gap", "Content")
+    s = structured_event_log(spark, sf_dir).select("split", "LineId", "seq", "EventId", "param", "values",
+                                                   "time_gap", "Content")
     return PV.param_texts(PV.keyed_rows(s), mode)
 
 

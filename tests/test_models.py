@@ -97,3 +97,11 @@ def test_line_number_per_file(spark):
                                       F.count("*").alias("n")).collect()
     assert all(r.lo == 1 and r.hi == r.n for r in per_file)
     assert sum(r.n for r in per_file) == event_log_lines(spark, SF_SMALL).count()
+
+
+def test_values_mode_texts(spark):
+    df = spark.createDataFrame([(["rhost=1.2.3.4", "user=root"], ["u", "<*>"], "5")],
+                               "values array<string>, param array<string>, time_gap string")
+    tok = PV.param_texts(df, "tokens").first().texts
+    val = PV.param_texts(df, "values").first().texts
+    assert tok == ["u<*>", "5"] and val == ["1234userroot", "5"]
