@@ -37,7 +37,7 @@ def freq_of_freq(fd: DataFrame, bins: DataFrame | int | None = None) -> DataFram
     """``(r, Nr)``; the ``r = 0`` row is ``bins - B`` (0 without ``bins``).
 
     ``bins`` is a number or a one-row DataFrame with a ``bins`` column (e.g.
-    the size of a vocabulary computed by Spark).
+    the size of a vocabulary computed by Spark); it enters as a scalar subquery.
     """
     pos = fd.where(F.col("cnt") > 0)
     nr = pos.groupBy(F.col("cnt").cast("long").alias("r")).agg(F.count(F.lit(1)).cast("long").alias("Nr"))
@@ -45,22 +45,15 @@ def freq_of_freq(fd: DataFrame, bins: DataFrame | int | None = None) -> DataFram
     if bins is None:
         zero = b.select(F.lit(0).cast("long").alias("r"), F.lit(0).cast("long").alias("Nr"))
     else:
-        bins_df = bins.select("bins") if isinstance(bins, DataFrame) else \
-            fd.sparkSession.range(1).select(F.lit(bins).alias("bins"))
-        zero = b.crossJoin(bins_df).select(F.lit(0).cast("long").alias("r"),
-                                           (F.col("bins") - F.col("_B")).cast("long").alias("Nr"))
+        bins_col = bins.select("bins").scalar() if isinstance(bins, DataFrame) else F.lit(bins)
+        zero = b.select(F.lit(0).cast("long").alias("r"), (bins_col - F.col("_B")).cast("long").alias("Nr"))
     return nr.unionByName(zero)
 
 
 def relative(fd: DataFrame) -> DataFrame:
-    """``cnt / N`` per sample, 0 when the table is empty.
-
-    N is a one-row aggregate joined back (a broadcast of one row).
-    """
-    n = totals(fd).select("N")
-    return (fd.crossJoin(F.broadcast(n))
-            .select("sample", F.when(F.col("N") == 0, F.lit(0.0))
-                    .otherwise(F.col("cnt") / F.col("N")).alias("freq")))
+    """``cnt / N`` per sample, 0 when the table is empty (N as a scalar subquery)."""
+    n = totals(fd).select("N").scalar()
+    return fd.select("sample", F.when(n == 0, F.lit(0.0)).otherwise(F.col("cnt") / n).alias("freq"))
 
 
 def _order(fd: DataFrame):
@@ -105,9 +98,8 @@ def cumulative(fd: DataFrame, n: int | None = None, percents: bool = False) -> D
     from logweave.operators.order import running_sum
     out = running_sum(ranked, "rank", "cnt", "cum_cnt")
     if percents:
-        total = out.agg(F.max("cum_cnt").alias("_tot"))
-        out = (out.crossJoin(F.broadcast(total))
-               .withColumn("cum_pct", F.col("cum_cnt") / F.col("_tot") * 100).drop("_tot"))
+        total = ranked.agg(F.sum("cnt")).scalar()
+        out = out.withColumn("cum_pct", F.col("cum_cnt") / total * 100)
     return out
 
 

@@ -26,9 +26,9 @@ def windows(grams: DataFrame) -> DataFrame:
 
 
 def scale_context(win: DataFrame, k_classes: DataFrame) -> DataFrame:
-    """Context divided by K (one-row DataFrame ``K``), as the model input."""
-    return (win.crossJoin(F.broadcast(k_classes.select("K")))
-            .withColumns({f"x{i}": F.col(f"c{i}") / F.col("K") for i in (1, 2, 3)}).drop("K"))
+    """Context divided by K (one-row DataFrame ``K``, a scalar subquery), as the model input."""
+    k = k_classes.select("K").scalar()
+    return win.withColumns({f"x{i}": F.col(f"c{i}") / k for i in (1, 2, 3)})
 
 
 def fit(train_windows: DataFrame, weight: str = "count") -> DataFrame:
@@ -80,7 +80,7 @@ def score(test_windows: DataFrame, model: DataFrame, top_k: int) -> DataFrame:
     t = test_windows
     for level in (3, 2, 1):
         t = t.join(tables[level], CTX[3 - level:], "left")
-    t = t.crossJoin(F.broadcast(tables[0]))
+    t = t.withColumn("_m0", tables[0].select("_m0").scalar())
     level = (F.when(F.col("_m3").isNotNull(), 3).when(F.col("_m2").isNotNull(), 2)
              .when(F.col("_m1").isNotNull(), 1).otherwise(0))
     chosen = (F.when(F.col("_m3").isNotNull(), F.col("_m3")).when(F.col("_m2").isNotNull(), F.col("_m2"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from logweave.session import ensure_checkpoint_dir
 
-DEFAULT_CHUNK = 1 << 20  # rows per window task for chunked windows
+DEFAULT_CHUNK = 1 << 16  # rows per window partition key (halo cost: n rows per chunk)
 _LOW33 = (1 << 33) - 1
 
 

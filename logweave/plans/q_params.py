@@ -158,15 +158,14 @@ def q_event_key_union(spark, sf_dir):
 
 
 @register("empty_events", P + """
-SELECT s.split, k.EventId FROM (SELECT DISTINCT EventId FROM sl) k CROSS JOIN (SELECT DISTINCT split FROM sl) s
+SELECT s.split, k.EventId FROM (SELECT DISTINCT EventId FROM sl) k, (VALUES ('train'), ('test')) s(split)
 WHERE NOT EXISTS (SELECT 1 FROM sl x WHERE x.split = s.split AND x.EventId = k.EventId)""")
 def q_empty_events(spark, sf_dir):
-    """(split, key) pairs with no rows: all keys anti-joined with keys present per split."""
+    """(split, key) pairs with no rows: per key, the splits it is missing from."""
     s = structured_event_log(spark, sf_dir)
-    keys = s.select("EventId").distinct()
-    splits = s.select("split").distinct()
-    return keys.crossJoin(splits).join(s.select("split", "EventId").distinct(), ["split", "EventId"], "left_anti") \
-        .select("split", "EventId")
+    all_splits = F.array(F.lit("train"), F.lit("test"))
+    per_key = s.groupBy("EventId").agg(F.collect_set("split").alias("_present"))
+    return per_key.select(F.explode(F.array_except(all_splits, F.col("_present"))).alias("split"), "EventId")
 
 
 @register("scorable_events", P + """
