@@ -60,8 +60,10 @@ def vocabulary(rows: DataFrame, fit_on: str = "both") -> DataFrame:
     if fit_on == "train":
         w = w.where(F.col("split") == "train")
     counts = w.groupBy("EventId", "word").agg(F.count(F.lit(1)).alias("cnt"), F.min("_order").alias("_first"))
-    rank = Window.partitionBy("EventId").orderBy(F.col("cnt").desc(), F.col("_first"))
-    return counts.withColumn("word_id", F.row_number().over(rank).cast("int")).drop("_first")
+    # rank inside each key with a distributed sort: a key holding most of the
+    # distinct words (e.g. one id per line) is spread over many tasks
+    ranked = dense_index(counts, ["cnt", "_first"], ascending=[False, True], out="word_id", groups=["EventId"])
+    return ranked.withColumn("word_id", F.col("word_id").cast("int")).drop("_first")
 
 
 def encode(rows: DataFrame, vocab: DataFrame) -> DataFrame:
