@@ -272,6 +272,7 @@ def _cluster_partition(batches: Iterator[pd.DataFrame], sim_th: float) -> Iterat
     """Leaves arrive one after another (rows sorted by leaf, then position)."""
     state = None
     vocab = _Vocab()
+    done: set = set()
     for pdf in batches:
         out: list = []
         leaf_n = pdf["n_tokens"].tolist()
@@ -283,6 +284,9 @@ def _cluster_partition(batches: Iterator[pd.DataFrame], sim_th: float) -> Iterat
             if state is None or state.key != key:
                 if state is not None:
                     state.flush(out)
+                    done.add(state.key)
+                if key in done:
+                    raise ValueError(f"rows of leaf {key} are not contiguous in the partition")
                 state = _LeafState(key, vocab)
             state.add(pos, list(toks), sim_th, out, int(run))
         if out:
@@ -407,6 +411,7 @@ def _match_partition(batches: Iterator[pd.DataFrame], carry: list[str]) -> Itera
     """Rows sorted by (leaf, kind): a leaf's templates (kind 0, best first),
     then its lines (kind 1). Each line gets the first template that matches."""
     vocab = _Vocab()
+    done: set = set()
     cur_key = None
     tpl = None
     ids_list: list = []
@@ -419,8 +424,14 @@ def _match_partition(batches: Iterator[pd.DataFrame], carry: list[str]) -> Itera
             t = None if (t is None or t != t) else t
             key = (int(n), t)
             if key != cur_key:
+                if cur_key is not None:
+                    done.add(cur_key)
+                if key in done:
+                    raise ValueError(f"rows of leaf {key} are not contiguous in the partition")
                 cur_key, tpl, ids_list, tpl_rows = key, None, [], []
             if kind == 0:
+                if tpl is not None:
+                    raise ValueError("templates of a leaf must precede its lines")
                 ids_list.append(vocab.encode(list(toks)))
                 tpl_rows.append((int(cid), text, list(toks)))
                 tpl = None
