@@ -100,3 +100,21 @@ def accuracy(scored: DataFrame, top_k: int) -> DataFrame:
     ).select("n_windows", "n_top1", "n_topk",
              F.round(F.col("n_top1") / F.col("n_windows"), 6).alias("acc_top1"),
              F.round(F.col("n_topk") / F.col("n_windows"), 6).alias("acc_topk"))
+
+
+def accuracy_on_fit(model: DataFrame, top_k: int) -> DataFrame:
+    """M7 on the training windows themselves, from the model table alone.
+
+    Every training window is one occurrence of a full 4-gram, counted in the
+    level-3 rows, and its own context is always seen: summing ``cnt`` over
+    level-3 rows by rank gives the same numbers as scoring each window
+    (``weight='count'`` models), with no join back to the windows.
+    """
+    m = model.where(F.col("level") == 3)
+    return m.agg(
+        F.sum("cnt").cast("long").alias("n_windows"),
+        F.sum(F.when(F.col("rank") == 1, F.col("cnt")).otherwise(0)).cast("long").alias("n_top1"),
+        F.sum(F.when(F.col("rank") <= top_k, F.col("cnt")).otherwise(0)).cast("long").alias("n_topk"),
+    ).select("n_windows", "n_top1", "n_topk",
+             F.round(F.col("n_top1") / F.col("n_windows"), 6).alias("acc_top1"),
+             F.round(F.col("n_topk") / F.col("n_windows"), 6).alias("acc_topk"))

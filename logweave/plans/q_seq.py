@@ -135,6 +135,5 @@ def q_next_event_accuracy(spark, sf_dir):
     """M7: accuracy of the model on its own training windows."""
     seq = PATH.lineitem_sequence(spark, sf_dir)
     win = PATH.path_windows(seq)
-    train = win.where(F.col("split") == "train")
-    model = NE.fit(train)
-    return NE.accuracy(NE.score(train, model, PATH.PATH_TOP_K), PATH.PATH_TOP_K)
+    model = NE.fit(win.where(F.col("split") == "train"))
+    return NE.accuracy_on_fit(model, PATH.PATH_TOP_K)

@@ -105,3 +105,11 @@ def test_values_mode_texts(spark):
     tok = PV.param_texts(df, "tokens").first().texts
     val = PV.param_texts(df, "values").first().texts
     assert tok == ["u<*>", "5"] and val == ["1234userroot", "5"]
+
+
+def test_accuracy_from_model_equals_scoring(spark):
+    from logweave.operators import nextevent as NE
+    seq = PATH.lineitem_sequence(spark, SF_SMALL)
+    train = PATH.path_windows(seq).where(F.col("split") == "train")
+    model = NE.fit(train)
+    assert NE.accuracy_on_fit(model, 10).collect() == NE.accuracy(NE.score(train, model, 10), 10).collect()
