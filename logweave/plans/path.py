@@ -19,12 +19,11 @@ PATH_TOP_K = 10
 def code_ids(events: DataFrame, code: str = "code") -> DataFrame:
     """Integer event ids 1..V for the distinct codes, in code order.
 
-    The window runs on the distinct-code table, whose size is the code
-    vocabulary (42 for lineitem), not the data size.
+    Ranked with the distributed dense index, so a large code vocabulary is
+    not ranked in a single task.
     """
-    from pyspark.sql import Window
-    return (events.select(code).distinct()
-            .withColumn("EventId", F.dense_rank().over(Window.orderBy(code)).cast("int")))
+    ids = dense_index(events.select(code).distinct(), [code], out="EventId")
+    return ids.withColumn("EventId", F.col("EventId").cast("int"))
 
 
 def lineitem_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
