@@ -7,18 +7,22 @@ from pyspark.sql import functions as F
 
 from logweave.operators import params as PV
 from logweave.plans.mining import structured_event_log
+from logweave.session import materialize
 
 
 def param_rows(spark: SparkSession, sf_dir: str, mode: str = "tokens") -> DataFrame:
     """Structured X1 rows with ``k`` (position in key) and the two parameter texts."""
     s = structured_event_log(spark, sf_dir).select("split", "LineId", "seq", "EventId", "param", "values",
                                                    "time_gap", "Content")
-    return PV.param_texts(PV.keyed_rows(s), mode)
+    rows = PV.param_texts(PV.keyed_rows(s), mode)
+    # read by both the vocabulary fit and the encoding: written once
+    return materialize(rows.select("split", "EventId", "k", "LineId", "seq", "Content", "texts"), "param-rows")
 
 
 def param_vectors(rows: DataFrame, fit_on: str = "both") -> DataFrame:
-    """Encoded vectors, ragged rows marked (Q27)."""
-    return PV.ragged_check(PV.encode(rows, PV.vocabulary(rows, fit_on)))
+    """Encoded vectors, ragged rows marked (Q27); written once, as
+    windows, key counts and models all read them."""
+    return materialize(PV.ragged_check(PV.encode(rows, PV.vocabulary(rows, fit_on))), "param-vectors")
 
 
 def param_value(rows: DataFrame, forecaster: str = "mean", threshold: float = PV.MSE_THRESHOLD) -> DataFrame:
