@@ -45,17 +45,19 @@ def rules_table(spark: SparkSession, rules=DEFAULT_RULES) -> DataFrame:
     return spark.createDataFrame(list(rules), "log_name string, rule_name string, pattern string")
 
 
-def label_with_rule_table(parsed: DataFrame, rules: DataFrame, rule_name: str | None = "default") -> DataFrame:
-    """Label every row by the pattern(s) of its ``log_name``.
+def label_with_rule_table(parsed: DataFrame, rules=DEFAULT_RULES, rule_name: str | None = "default") -> DataFrame:
+    """Label every row by the rule set(s) of its ``log_name``.
 
-    The rule table has a handful of rows, so it is broadcast (size is fixed by
-    the rule list, not by the data); the pattern is a column, evaluated with
-    ``rlike`` per row. With ``rule_name=None`` every rule set of the log is
-    applied in the same pass (one output row per line and rule set).
+    ``rules`` is the small fixed rule list ``(log_name, rule_name, pattern)``.
+    Each pattern is a constant ``rlike`` (compiled once per task, codegen);
+    with ``rule_name=None`` every rule set of the log is applied in the same
+    pass, one output row per line and rule set (``inline`` of a struct array).
     """
-    sel = rules if rule_name is None else rules.where(F.col("rule_name") == rule_name)
-    r = F.broadcast(sel.select("log_name", "rule_name", "pattern"))
-    return (parsed.join(r, "log_name", "left")
-            .withColumn("Label", F.coalesce(
-                F.expr(f"message rlike concat('{FLAGS}', pattern)").cast("int"), F.lit(0)))
-            .drop("pattern"))
+    chosen = [r for r in rules if rule_name is None or r[1] == rule_name]
+    per_rule = []
+    for log_name, name, pattern in chosen:
+        per_rule.append(F.when(F.col("log_name") == log_name,
+                               F.struct(F.lit(name).alias("rule_name"), rule_label(F.col("message"), pattern)
+                                        .alias("Label"))))
+    arr = F.filter(F.array(*per_rule), lambda x: x.isNotNull())
+    return parsed.select("*", F.inline(arr))

@@ -97,7 +97,7 @@ SELECT line_id, rule_name, Label FROM (
 def q_label_rule_table(spark, sf_dir):
     """The sysmonitor log labelled by every rule set in the rule table."""
     parsed = parsed_rows(parse_log(event_log_lines(spark, sf_dir))).withColumn("log_name", F.lit("sysmonitor"))
-    return R.label_with_rule_table(parsed, R.rules_table(spark), None).select("line_id", "rule_name", "Label")
+    return R.label_with_rule_table(parsed, R.DEFAULT_RULES, None).select("line_id", "rule_name", "Label")
 
 
 @register("label_projection", X1 + """
