@@ -164,15 +164,14 @@ class _Vocab:
 
     def encode(self, toks) -> np.ndarray:
         ids = self.ids
-        out = np.empty(len(toks), dtype=np.int64)
-        for i, t in enumerate(toks):
-            v = ids.get(t)
-            if v is None:
-                v = len(self.words)
-                ids[t] = v
-                self.words.append(t)
-            out[i] = v
-        return out
+        try:
+            return np.fromiter((ids[t] for t in toks), dtype=np.int64, count=len(toks))
+        except KeyError:
+            for t in toks:
+                if t not in ids:
+                    ids[t] = len(self.words)
+                    self.words.append(t)
+            return np.fromiter((ids[t] for t in toks), dtype=np.int64, count=len(toks))
 
     def decode(self, arr) -> list:
         w = self.words
