@@ -20,10 +20,11 @@ WATERMARK_DELAY = "1 hour"
 BUCKET = "5 minutes"
 
 
-def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The ``events`` table as a file stream (schema from the batch table)."""
-    schema = table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None,
+                 pattern: str = "events.parquet", schema=None) -> DataFrame:
+    """The ``events`` table (files matching ``pattern`` in ``sf_dir``) as a file stream."""
+    schema = schema or table(spark, sf_dir, "events").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(sf_dir)
@@ -77,10 +78,13 @@ def latest_by_key(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "batch")
 
 
-def stream_bucket_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R1 end to end: final state of the streamed bucket flags (equals batch A1)."""
+def stream_bucket_labels(spark: SparkSession, sf_dir: str, events: DataFrame | None = None,
+                         delay: str = WATERMARK_DELAY) -> DataFrame:
+    """R1 end to end: final state of the streamed bucket flags (equals batch A1
+    when the delay covers the disorder of the input)."""
     base = scratch_path(spark, "stream-bucket-labels")
-    flags = bucket_flags(stream_labels(stream_log_lines(event_stream(spark, sf_dir)))).drop("w")
+    events = events if events is not None else event_stream(spark, sf_dir)
+    flags = bucket_flags(stream_labels(stream_log_lines(events)), delay).drop("w")
     run_upsert(flags, ["LogName", "TimeSlice"], f"{base}/out", f"{base}/checkpoint")
     return latest_by_key(spark, f"{base}/out", ["LogName", "TimeSlice"]).select("LogName", "TimeSlice", "Label")
 

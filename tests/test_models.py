@@ -113,3 +113,27 @@ def test_accuracy_from_model_equals_scoring(spark):
     train = PATH.path_windows(seq).where(F.col("split") == "train")
     model = NE.fit(train)
     assert NE.accuracy_on_fit(model, 10).collect() == NE.accuracy(NE.score(train, model, 10), 10).collect()
+
+
+def test_stream_drops_rows_later_than_watermark(spark, tmp_path):
+    import datetime as dt
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    t0 = dt.datetime(2024, 1, 1, 12, 0, 0)
+    first = [(i, t0 + dt.timedelta(minutes=10 * i), 1, "heartbeat", 0.0, "{}") for i in range(13)]  # to 14:00
+    second = [(50, t0 + dt.timedelta(minutes=150), 1, "heartbeat", 0.0, "{}")]                     # 14:30
+    late = [(100, t0, 1, "error", 0.0, "{}"),                                 # 2 h behind: dropped
+            (101, t0 + dt.timedelta(minutes=115), 1, "error", 0.0, "{}")]     # within the delay: kept
+    d = tmp_path / "ev"
+    import glob
+    import shutil
+    # Spark drops late rows by the watermark of the previous batch, so the
+    # late file comes third (one file per trigger)
+    for i, rows in enumerate([first, second, late], 1):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(d / f"p{i}"))
+        shutil.copy(glob.glob(str(d / f"p{i}" / "*.parquet"))[0], str(d / f"events-{i}.parquet"))
+    ev = SL.event_stream(spark, str(d), max_files_per_trigger=1, pattern="events-*.parquet", schema=schema)
+    out = {(r.LogName, r.TimeSlice): r.Label for r in SL.stream_bucket_labels(spark, str(d), events=ev).collect()}
+    b_late = int((t0 - dt.datetime(1970, 1, 1)).total_seconds()) // 300
+    b_kept = b_late + 23
+    assert out[("messages", b_late)] == 0      # the late error row did not change the closed bucket
+    assert out[("messages", b_kept)] == 1      # the in-watermark error row did
