@@ -127,3 +127,24 @@ def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         acc = np.zeros(len(codes) + 1, np.uint64)
         np.cumsum(codes * p[:len(codes)], out=acc[1:])
         return mix64((acc[ends] - acc[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
+
+
+# Bits of the table that ``likely_rows`` broadcasts: 1 MB, whatever the input.
+LIKELY_BITS = 1 << 23
+
+
+def likely_rows(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose long ``key`` may be among ``wanted``'s values of the same column.
+
+    A bitmap of fixed size (256 rows of 4 KB, so safe to broadcast) spares the
+    shuffle of most rows that an exact join would drop anyway; that join must
+    follow. With more wanted keys than bits nearly all rows pass.
+    """
+    slot = F.pmod(F.col(key), F.lit(LIKELY_BITS))
+    bits = (wanted.select(slot.alias("_slot")).groupBy(F.expr("_slot div 32768").alias("_bucket"))
+            .agg(F.expr("bitmap_construct_agg(_slot % 32768)").alias("_bitmap")))
+    byte = F.conv(F.hex(F.expr("substring(_bitmap, cast(_slot % 32768 div 8 + 1 as int), 1)")), 16, 10).cast("int")
+    found = rows.withColumn("_slot", slot).withColumn("_bucket", F.expr("_slot div 32768"))
+    return (found.join(F.broadcast(bits), "_bucket").withColumn("_byte", byte)
+            .filter(F.expr("shiftright(_byte, cast(_slot % 8 as int)) & 1") == 1)
+            .drop("_slot", "_bucket", "_bitmap", "_byte"))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import SPACE, materialize, shuffle_partitions, small_batches
+from logweave.llm.common import SPACE, likely_rows, materialize, shuffle_partitions, small_batches
 
 FP_BITS = 48
 # Rows after which a sender closes a run and starts the next (bounds its memory).
@@ -165,10 +165,10 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     suspects = marked.filter("suspect")
 
     # Byte verification: the suspects' texts, grouped by their bytes.
-    ids = suspects.select(F.coalesce("doc_id", F.lit(-1)).alias("k"), F.col("doc_id").isNull().alias("no_id")).distinct()
-    keyed = docs.withColumn("k", F.coalesce("doc_id", F.lit(-1))).withColumn("no_id", F.col("doc_id").isNull())
+    ids = suspects.select(F.xxhash64("doc_id").alias("k")).distinct()
+    keyed = likely_rows(docs.withColumn("k", F.xxhash64("doc_id")), "k", ids)
     norm = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", "")
-    texts = (keyed.join(ids, ["k", "no_id"], "left_semi").select(norm.alias("norm"))
+    texts = (keyed.join(ids, "k", "left_semi").select(norm.alias("norm"))
              .groupBy("norm").agg(F.count("*").alias("n")).select(F.sha2("norm", 256).alias("sha"))
              .groupBy("sha").agg(F.count("*").alias("n_texts")))
     # most code points first, then the smallest id, as one number: points * 2**64 + (2**63 - 1 - id)

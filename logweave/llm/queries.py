@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import exact_dedup, lang_id, suffix_dedup
+from logweave.llm import exact_dedup, lang_id, ngram_join, suffix_dedup
 from logweave.llm.common import bucket_is, table
 from logweave.llm.registry import register
 
@@ -23,6 +23,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 
+@register("op1_ngram_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 @register("op3_suffix_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import BYTE_CODE, _power_tables, drop_table, materialize, mix64, small_batches, text_bytes
+from logweave.llm.common import BYTE_CODE, _power_tables, likely_rows, materialize, mix64, small_batches, text_bytes
 
 SPAN = 200
 ANCHOR = 64
@@ -338,9 +338,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             .select("did", "dkey", F.col("r.starts").alias("start"), F.col("r.widths").alias("width"),
                     F.col("r.anchors").alias("anchor")))
     twice = runs.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
-    spans = (runs.join(twice, "anchor", "left_semi").groupBy("did", "dkey")
-             .agg(F.collect_set(F.struct("start", "width", "anchor")).alias("found")))  # bounded by the text itself
-    held = materialize(docs.join(spans.withColumnRenamed("did", "d").withColumnRenamed("dkey", "k"),
+    spans = materialize(runs.join(twice, "anchor", "left_semi").groupBy("did", "dkey")  # a group is bounded by its text
+                        .agg(F.collect_set(F.struct("start", "width", "anchor")).alias("found")), "suffix-spans")
+    held = materialize(likely_rows(docs, "dkey", spans.select("dkey")).join(spans.withColumnRenamed("did", "d").withColumnRenamed("dkey", "k"),
                                  (F.coalesce("doc_id", F.lit(-1)) == F.col("d")) & (F.col("dkey") == F.col("k")))
                        .select("doc_id", "dkey", "text", "found"), "suffix-held")
 
