@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import exact_dedup, lang_id, ngram_join, suffix_dedup
+from logweave.llm import exact_dedup, lang_id, lm_score, ngram_join, suffix_dedup
 from logweave.llm.common import bucket_is, table
 from logweave.llm.registry import register
 
@@ -34,6 +34,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@register("op8_lm_score")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = bucket_is("doc_id", 5, 1)
+    model, counts = lm_score.train(docs.filter(~held))
+    return lm_score.score(docs, held, model, counts)
+
+
 @register("op9_exact_dedup", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
