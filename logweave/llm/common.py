@@ -133,8 +133,9 @@ def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 LIKELY_BITS = 1 << 23
 
 
-def likely_rows(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """The rows whose long ``key`` may be among ``wanted``'s values of the same column.
+def likely_rows(rows: DataFrame, key: str, wanted: DataFrame, every: bool = False) -> DataFrame:
+    """The rows whose long ``key`` may be among ``wanted``'s values of the same column; with ``every``,
+    all rows and a column ``likely``.
 
     A bitmap of fixed size (256 rows of 4 KB, so safe to broadcast) spares the
     shuffle of most rows that an exact join would drop anyway; that join must
@@ -144,7 +145,8 @@ def likely_rows(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     bits = (wanted.select(slot.alias("_slot")).groupBy(F.expr("_slot div 32768").alias("_bucket"))
             .agg(F.expr("bitmap_construct_agg(_slot % 32768)").alias("_bitmap")))
     byte = F.conv(F.hex(F.expr("substring(_bitmap, cast(_slot % 32768 div 8 + 1 as int), 1)")), 16, 10).cast("int")
-    found = rows.withColumn("_slot", slot).withColumn("_bucket", F.expr("_slot div 32768"))
-    return (found.join(F.broadcast(bits), "_bucket").withColumn("_byte", byte)
-            .filter(F.expr("shiftright(_byte, cast(_slot % 8 as int)) & 1") == 1)
-            .drop("_slot", "_bucket", "_bitmap", "_byte"))
+    found = (rows.withColumn("_slot", slot).withColumn("_bucket", F.expr("_slot div 32768"))
+             .join(F.broadcast(bits), "_bucket", "left" if every else "inner").withColumn("_byte", F.coalesce(byte, F.lit(0)))
+             .withColumn("likely", F.expr("shiftright(_byte, cast(_slot % 8 as int)) & 1") == 1)
+             .drop("_slot", "_bucket", "_bitmap", "_byte"))
+    return found if every else found.filter("likely").drop("likely")

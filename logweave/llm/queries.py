@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import exact_dedup, lang_id, lm_score, ngram_join, suffix_dedup
+from logweave.llm import exact_dedup, lang_id, line_dedup, lm_score, ngram_join, suffix_dedup
 from logweave.llm.common import bucket_is, table
 from logweave.llm.registry import register
 
@@ -34,6 +34,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@register("op5_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 @register("op8_lm_score")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
