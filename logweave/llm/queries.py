@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import exact_dedup, lang_id, line_dedup, lm_score, ngram_join, suffix_dedup
+from logweave.llm import (chat_format, decontaminate, exact_dedup, html_text, lang_id, line_dedup, lm_score, ngram_join, packing,
+                          suffix_dedup)
 from logweave.llm.common import bucket_is, table
 from logweave.llm.registry import register
 
@@ -28,17 +29,37 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+@register("op2_html_text")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.html_text(table(spark, sf_dir, "pages"))
+
+
 @register("op3_suffix_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@register("op4_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @register("op5_line_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
 
+@register("op6_decontaminate")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op7_chat_format", chat_format.ORACLE_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.rotate(table(spark, sf_dir, "conversations"))
+
+
 @register("op8_lm_score")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
