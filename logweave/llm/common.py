@@ -11,6 +11,7 @@ Conventions used by every operator:
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.session import ensure_checkpoint_dir, materialize, scratch_path  # noqa: F401
+from logweave import session
+from logweave.session import ensure_checkpoint_dir
 from logweave.sources.tables import table  # noqa: F401
 
 BATCH_ROWS = 500
@@ -32,6 +34,19 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below ``spark.checkpoint.dir`` and read it back (cuts the lineage).
+
+    The shuffle files behind it are of no use any more; Spark deletes them when
+    the driver's garbage is collected, which is asked for here, because a long
+    job would otherwise keep all of them until its end.
+    """
+    out = session.materialize(df, name)
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return out
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -150,3 +165,10 @@ def likely_rows(rows: DataFrame, key: str, wanted: DataFrame, every: bool = Fals
              .withColumn("likely", F.expr("shiftright(_byte, cast(_slot % 8 as int)) & 1") == 1)
              .drop("_slot", "_bucket", "_bitmap", "_byte"))
     return found if every else found.filter("likely").drop("likely")
+
+
+def without(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows whose long ``key`` is not in ``gone`` (a written table with that column); most rows need no shuffle."""
+    marked = likely_rows(rows, key, gone, every=True)
+    return (marked.filter("not likely").drop("likely")
+            .unionByName(marked.filter("likely").drop("likely").join(gone, key, "left_anti")))

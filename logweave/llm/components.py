@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import drop_table, materialize
+from logweave.llm.common import drop_table
+from logweave.session import materialize
 
 
 def _state(edges: DataFrame) -> tuple:

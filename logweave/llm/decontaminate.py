@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import small_batches
+from logweave.llm.common import materialize, small_batches, without
 
 RATE = 0.05
 MIN_CHARS = 20
@@ -156,5 +156,6 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     keyed = docs.withColumn("_row_key", F.xxhash64("doc_id", "text"))
-    found = leaks(keyed.select(F.col("_row_key").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("_row_key")).distinct()
-    return keyed.join(found, "_row_key", "left_anti").drop("_row_key")
+    found = leaks(keyed.select(F.col("_row_key").alias("doc_id"), "text"), items)
+    found = materialize(found.select(F.col("doc_id").alias("_row_key")).distinct(), "leaks")
+    return without(keyed, "_row_key", found).drop("_row_key")

@@ -138,41 +138,62 @@ def train(labelled: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
     return Model(sorted({lang for _, lang in totals}), kept, totals)
 
 
+class Predictor:
+    """Scores texts; the scores of words met before are kept at hand (and dropped when they are many)."""
+
+    def __init__(self, model: Model):
+        self.model, self.k = model, len(model.langs)
+        self.at: dict[str, int] = {}
+        self.rows = np.zeros((1024, max(self.k, 1)))
+
+    def __call__(self, text: str | None) -> tuple[str, float]:
+        words = words_of(text) if text is not None else []
+        if not words or not self.k:
+            return "und", 0.0
+        if len(self.at) > HOLD:
+            self.at.clear()
+        ids = []
+        for w in words:
+            i = self.at.get(w)
+            if i is None:
+                i = self.at[w] = len(self.at)
+                if i >= len(self.rows):
+                    self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+                self.rows[i] = self.model.word(w)
+            ids.append(i)
+        total = self.rows[np.array(ids)].sum(axis=0)
+        best = int(total.argmax())
+        return self.model.langs[best], float(1 / np.exp(total - total[best]).sum())
+
+
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        k = len(model.langs)
-        at: dict[str, int] = {}
-        rows = np.zeros((1024, max(k, 1)))
+        predictor = Predictor(shared.value)
         for b in batches:
-            preds, scores = [], []
-            for text in b.column(1).to_pylist():
-                words = words_of(text) if text is not None else []
-                if not words or not k:
-                    preds.append("und")
-                    scores.append(0.0)
-                    continue
-                if len(at) > HOLD:
-                    at.clear()
-                ids = []
-                for w in words:
-                    i = at.get(w)
-                    if i is None:
-                        i = at[w] = len(at)
-                        if i >= len(rows):
-                            rows = np.concatenate([rows, np.zeros_like(rows)])
-                        rows[i] = model.word(w)
-                    ids.append(i)
-                total = rows[np.array(ids)].sum(axis=0)
-                best = int(total.argmax())
-                preds.append(model.langs[best])
-                scores.append(float(1 / np.exp(total - total[best]).sum()))
+            found = [predictor(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
+                [b.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 ["doc_id", "lang_pred", "score"])
     return run
 
 
+def _accept(shared, least: float, spot: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predictor = Predictor(shared.value)
+        for b in batches:
+            found = [predictor(t) for t in b.column(spot).to_pylist()]
+            yield b.filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
+    return run
+
+
+def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose language is told with a score of at least ``least``."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(model)
+    return docs.mapInArrow(_accept(shared, least, docs.columns.index("text")), docs.schema)
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score for every row; only the text is looked at."""
     spark: SparkSession = docs.sparkSession

@@ -7,7 +7,10 @@ shingles (64-bit hashes); two sets link when 100 x overlap >= percent x union.
 2. *Routing.* With a global order of shingles, two sets that link share one of
    their first ``n - ceil(percent n / 100) + 1`` shingles. The order is by hash,
    with the very frequent shingles last (a bounded list; any list is right).
-   Only shingles that at least two prefixes hold route anything.
+   Only shingles that at least two prefixes hold route anything. Taking ``l - 1``
+   more shingles into the prefix, linked sets share at least ``l`` of them; with
+   ``l`` a twentieth of the set, sets that share fewer with all others together
+   (a passage or two) are out before anything else is looked at.
 3. *Signature trees.* The sets of one bucket (a shingle's holders, split by a
    hash when they are many) form a tree: nodes hold the OR of the members'
    bitmaps and the range of their sizes. A dual traversal prunes the node pairs
@@ -35,11 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm.common import (LOWER_CODE, drop_table, likely_rows, materialize, mix64, shuffle_partitions, slices, small_batches,
-                                 span_hashes, text_bytes)
+                                 span_hashes, text_bytes, without)
 from logweave.llm.components import components
 
 # A shingle is frequent with a share of 1 / FREQUENT of all prefix entries: at most so many.
 FREQUENT = 20_000
+# Part of a set that its longer prefix has to share.
+SHARE = 20
 BITS = 1024
 FAN = 16
 # Shingles of the sets that one bucket compares exactly, and sets of one block in the last traversal.
@@ -55,6 +60,11 @@ def prefix_size(n: int, percent: int) -> int:
     return n + 1 - -(-percent * n // 100)
 
 
+def least_shared(n: int) -> int:
+    """Shingles that the longer prefix of a set has in common with those of a set as large that links with it."""
+    return max(1, n // SHARE)
+
+
 def shingle_sets(raw: np.ndarray, off: np.ndarray, width: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text ``raw[off[i]:off[i + 1]]``."""
     n = len(off) - 1
@@ -223,7 +233,7 @@ def _describe(width: int, percent: int, shared):
                 late = np.zeros(len(s), bool)
                 if len(last):
                     late = last[np.minimum(at, len(last) - 1)] == s
-                tokens.append(np.concatenate([s[~late], s[late]])[:prefix_size(len(s), percent) if len(s) else 0])
+                tokens.append(np.concatenate([s[~late], s[late]])[:prefix_size(len(s), percent) + least_shared(len(s)) - 1 if len(s) else 0])
                 bits.append(bitmap(s).tobytes())
             ends = np.cumsum([0] + [len(t) for t in tokens]).astype(np.int32)
             flat = np.concatenate(tokens).view(np.int64) if tokens else np.zeros(0, np.int64)
@@ -295,6 +305,36 @@ def _verify(width: int, percent: int):
 
 def ngram_join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id that links reach) for every row."""
+    rows = _grouped(docs, width, percent)
+    smallest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id")).filter("component is not null")
+    return (rows.join(smallest, "component", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"),
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` (all columns) that stay when each group keeps the document with the smallest id.
+
+    Rows without an id come last; rows with one id are told apart by a hash of the text, and rows that repeat
+    entirely stay once. Texts without words are no group and all stay."""
+    rows = _grouped(docs, width, percent).filter("n > 0")
+    first = rows.groupBy("component").agg(
+        F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "row_key")).alias("keeper"))
+    keys = rows.groupBy("component", "row_key").agg(F.count("*").alias("copies"))
+    keys = materialize(keys.join(first, "component").select(
+        F.col("row_key").alias("_row_key"), "copies", (F.col("row_key") == F.col("keeper.row_key")).alias("stays")), "join-keys")
+    keyed = docs.withColumn("_row_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    left = without(keyed, "_row_key", keys.filter("not stays").select("_row_key"))
+    often = keys.filter("stays and copies > 1").select("_row_key")
+    marked = likely_rows(left, "_row_key", often, every=True)
+    maybe = marked.filter("likely").drop("likely").join(often.withColumn("_often", F.lit(True)), "_row_key", "left")
+    return (marked.filter("not likely").drop("likely")
+            .unionByName(maybe.filter("_often is null").drop("_often"))
+            .unionByName(maybe.filter("_often").drop("_often").dropDuplicates(["_row_key"]))).drop("_row_key")
+
+
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, row_key, n, component (the same number for all rows of a group; null for an empty set) of every row."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -304,15 +344,17 @@ def ngram_join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         _describe(width, percent, shared),
         "doc_id long, n long, d1 long, d2 long, tokens array<long>, bits binary, row_key long"), "join-described")
     sets = materialize(described.filter("n > 0").groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.first("n").alias("n"))
+        F.min("doc_id").alias("doc_id"), F.first("row_key").alias("row_key"), F.first("n").alias("n"),
+        F.first("tokens").alias("tokens"), F.first("bits").alias("bits"))
         .withColumn("rid", F.monotonically_increasing_id()), "join-sets")
-    reps = described.select("row_key", "tokens", "bits").join(
-        sets.select("rid", "row_key", "n"), "row_key").dropDuplicates(["rid"])
-
-    entries = materialize(reps.select("rid", F.explode("tokens").alias("token")), "join-prefixes")
+    of_docs = materialize(described.select("doc_id", "row_key", "n", "d1", "d2"), "join-docs")
+    drop_table(described)
+    prefixes = sets.select("rid", F.posexplode("tokens").alias("at", "token"))
+    entries = materialize(_shared(_shared(prefixes, sets, percent), sets, percent)
+                          .join(sets.select("rid", "n"), "rid").filter(F.col("at") < _prefix_column(percent))
+                          .select("rid", "n", "token"), "join-prefixes")
     common = entries.groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1")
-    entries = entries.join(common, "token").join(sets.select("rid", "n"), "rid")
-    entries = materialize(entries, "join-entries")
+    entries = materialize(entries.join(common, "token"), "join-entries")
     load = materialize(entries.groupBy("token").agg(F.sum("n").alias("load")), "join-load")
 
     def route(rows: DataFrame, turn: int) -> DataFrame:
@@ -336,7 +378,7 @@ def ngram_join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     label = _label(edges)
     left = materialize(_unresolved(entries, label), "join-left")
 
-    pairs = materialize(_candidates(left, described, sets, percent, spark), "join-pairs")
+    pairs = materialize(_candidates(left, sets, percent, spark), "join-pairs")
     one = (pairs.groupBy("cu", "cv").agg(F.min(F.struct(F.xxhash64("u", "v"), "u", "v")).alias("p"))
            .select("p.u", "p.v"))
     edges = materialize(edges.unionByName(_exact(one, texts, width, percent)), "join-edges")
@@ -346,12 +388,24 @@ def ngram_join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     drop_table(texts)
     drop_table(entries)
 
-    named = sets.join(label, "rid", "left").select("d1", "d2", "doc_id", F.coalesce("component", "rid").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    final = named.join(smallest, "component").select("d1", "d2", "component_id")
-    return (described.select("doc_id", "n", "d1", "d2").join(final, ["d1", "d2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+    named = sets.join(label, "rid", "left").select("d1", "d2", F.coalesce("component", "rid").alias("component"))
+    return materialize(of_docs.join(named, ["d1", "d2"], "left").select("doc_id", "row_key", "n", "component"), "join-groups")
+
+
+def _prefix_column(percent: int):
+    return F.col("n") + 1 + F.floor(-F.col("n") * percent / 100)
+
+
+def _shared(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Entries (rid, at, token) whose shingle has another holder, of the sets that have enough of them.
+
+    The partner may be as small as ``percent`` of the set, and then need only share its own twentieth."""
+    common = entries.groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1").select("token")
+    kept = materialize(entries.join(common, "token", "left_semi"), "join-shared")
+    need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / SHARE))
+    enough = (kept.groupBy("rid").agg(F.count("*").alias("c")).join(sets.select("rid", "n"), "rid")
+              .filter(F.col("c") >= need).select("rid"))
+    return kept.join(enough, "rid", "left_semi")
 
 
 def _compared(routed: DataFrame, width: int, percent: int, spark) -> DataFrame:
@@ -373,11 +427,9 @@ def _unresolved(entries: DataFrame, label: DataFrame) -> DataFrame:
     return named.join(mixed, "token", "left_semi")
 
 
-def _candidates(left: DataFrame, described: DataFrame, sets: DataFrame, percent: int, spark) -> DataFrame:
+def _candidates(left: DataFrame, sets: DataFrame, percent: int, spark) -> DataFrame:
     blocks = F.ceil(F.col("holders") / BLOCK_SETS).cast("int")
-    own = sets.join(left.select("rid").distinct(), "rid", "left_semi").select("rid", "row_key")
-    bits = described.select("row_key", "bits").join(own, "row_key").dropDuplicates(["rid"]).select("rid", "bits")
-    wide = (left.join(bits, "rid").withColumn("blocks", blocks)
+    wide = (left.join(sets.select("rid", "bits"), "rid").withColumn("blocks", blocks)
             .withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
@@ -398,3 +450,4 @@ def _exact(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     joined = (pairs.join(texts.select(F.col("rid").alias("u"), F.col("text").alias("a")), "u")
               .join(texts.select(F.col("rid").alias("v"), F.col("text").alias("b")), "v").select("u", "v", "a", "b"))
     return joined.mapInArrow(_verify(width, percent), "u long, v long")
+

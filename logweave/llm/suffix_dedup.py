@@ -8,10 +8,10 @@ else too (same text included; overlaps count; judged on the input).
    and neighbours mostly share it, so a text becomes a few *pieces*: a run of
    starts with one anchor. An anchor that occurs once in all texts cannot hold
    a repeat; its pieces are never shipped.
-2. *Pieces.* Equal pieces are counted as one before any shuffle of bytes. An
-   anchor with very many different pieces (a common line in ever new
-   surroundings) is split: its windows are routed by the hash of the whole
-   window instead, again only those whose hash occurs twice.
+2. *Pieces.* Equal pieces (by a 128-bit digest) are counted, and the bytes of
+   one of them are shipped. An anchor with very many different pieces (a common
+   line in ever new surroundings) is split: its windows are routed one by one by
+   their own digest, and a digest met twice is a repeat.
 3. *Column-wise construction* (one bucket of pieces at a time): each round adds
    one symbol in front of every string and merges the new suffixes into the
    order of all earlier ones. The order is kept as Burrows-Wheeler columns
@@ -40,7 +40,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import BYTE_CODE, _power_tables, likely_rows, materialize, mix64, small_batches, text_bytes
+from logweave.llm.common import (BYTE_CODE, _power_tables, likely_rows, materialize, mix64, shuffle_partitions, small_batches,
+                                 text_bytes)
 
 SPAN = 200
 ANCHOR = 64
@@ -49,7 +50,7 @@ DEPTH = SPAN // UNIT
 # Different pieces of one anchor above which its windows are routed one by one.
 HOT_PIECES = 2_000
 # Bytes of pieces that one construction handles.
-BUCKET_BYTES = 6_000_000
+BUCKET_BYTES = 1_500_000
 _BLOCK = 1 << 21
 # Longest stretch of common-prefix values that a minimum is taken over directly.
 _NEAR = 32
@@ -123,52 +124,65 @@ def _digest(piece: bytes) -> tuple[int, int]:
     return int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pieces of a text, with their bytes."""
-    for b in batches:
-        anchors, pieces = [], []
-        for text, found in zip(b.column(0), b.column(1)):
-            raw = text.as_buffer().to_pybytes()
-            for f in found.as_py():
-                anchors.append(f["anchor"])
-                pieces.append(raw[f["start"]:f["start"] + f["width"] + SPAN - 1])
-            if len(pieces) > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(anchors, pa.int64()), pa.array(pieces, pa.binary())], ["anchor", "piece"])
-                anchors, pieces = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(anchors, pa.int64()), pa.array(pieces, pa.binary())], ["anchor", "piece"])
-
-
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Where each piece is: text key, start, digest of the piece."""
+    """Where each piece is: text key, start, number of starts, anchor, digest of the piece."""
     for b in batches:
         rows: list[tuple] = []
         for did, key, text, found in zip(*(b.column(i) for i in range(4))):
             raw, did, key = text.as_buffer().to_pybytes(), did.as_py(), key.as_py()
-            rows += [(did, key, f["start"], *_digest(raw[f["start"]:f["start"] + f["width"] + SPAN - 1]))
+            rows += [(did, key, f["start"], f["width"], f["anchor"], *_digest(raw[f["start"]:f["start"] + f["width"] + SPAN - 1]))
                      for f in found.as_py()]
-        cols = list(zip(*rows)) or [[]] * 5
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["did", "dkey", "start", "p1", "p2"])
+        cols = list(zip(*rows)) or [[]] * 7
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                         ["did", "dkey", "start", "width", "anchor", "p1", "p2"])
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the chosen pieces of each text."""
+    kinds = (pa.int64(), pa.int64(), pa.binary())
+    for b in batches:
+        rows: list[tuple] = []
+        for text, chosen in zip(b.column(0), b.column(1)):
+            raw = text.as_buffer().to_pybytes()
+            rows += [(f["anchor"], f["n"], raw[f["start"]:f["start"] + f["width"] + SPAN - 1]) for f in chosen.as_py()]
+        for lo in range(0, len(rows), 20_000):
+            cols = list(zip(*rows[lo:lo + 20_000]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["anchor", "n", "piece"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every window of a piece: piece digest, start, digest of the window, number of such pieces."""
+    for b in batches:
+        for n, piece in zip(b.column(1).to_pylist(), b.column(2)):
+            raw = piece.as_buffer().to_pybytes()
+            own = np.array([_digest(raw[i:i + SPAN]) for i in range(len(raw) - SPAN + 1)], np.int64)
+            p1, p2 = _digest(raw)
+            k = len(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(k, p1)), pa.array(np.full(k, p2)), pa.array(np.arange(k, dtype=np.int32)),
+                 pa.array(own[:, 0]), pa.array(own[:, 1]), pa.array(np.full(k, n))], ["p1", "p2", "shift", "w1", "w2", "n"])
 
 
 class _Columns:
-    """Columns in files of one folder: read whole in sequence, written whole in sequence."""
+    """Columns in files of one folder: read whole in sequence (and then deleted), written whole in sequence."""
 
     def __init__(self, folder: str, kinds: dict[str, type]):
         self.folder, self.kinds, self.turn = folder, kinds, 0
 
-    def _path(self, name: str, turn: int) -> str:
-        return os.path.join(self.folder, f"{name}{turn % 2}")
-
     def read(self) -> dict[str, np.ndarray]:
-        if self.turn == 0:
-            return {k: np.zeros(0, t) for k, t in self.kinds.items()}
-        return {k: np.fromfile(self._path(k, self.turn), t) for k, t in self.kinds.items()}
+        out = {}
+        for name, kind in self.kinds.items():
+            path = os.path.join(self.folder, name)
+            out[name] = np.fromfile(path, kind) if self.turn else np.zeros(0, kind)
+            if self.turn:
+                os.unlink(path)
+        return out
 
     def write(self, columns: dict[str, np.ndarray]) -> None:
         self.turn += 1
-        for k, v in columns.items():
-            v.tofile(self._path(k, self.turn))
+        for name, column in columns.items():
+            column.tofile(os.path.join(self.folder, name))
 
 
 def repeated_starts(pieces: list[bytes], counts: list[int], folder: str | None = None) -> list[np.ndarray]:
@@ -281,20 +295,6 @@ def _bucket(t: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.binary()))], names=["p1", "p2", "bits"])
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of a hot anchor's piece: piece digest, start, hash of the window."""
-    for b in batches:
-        for piece, n in zip(b.column(0), b.column(1).to_pylist()):
-            raw = piece.as_buffer().to_pybytes()
-            h = _kmers(np.frombuffer(raw, np.uint8), SPAN).view(np.int64)
-            p1, p2 = _digest(raw)
-            k = len(h)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(k, p1)), pa.array(np.full(k, p2)), pa.array(np.arange(k, dtype=np.int32)), pa.array(h),
-                 pa.array(np.full(k, n)), pa.array([raw[i:i + SPAN] for i in range(k)], pa.binary())],
-                ["p1", "p2", "start", "hash", "n", "window"])
-
-
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
@@ -315,16 +315,6 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"])
 
 
-def _repeats(pieces: DataFrame) -> DataFrame:
-    """p1, p2, bits (one bit per start of the piece) for pieces (route, piece, n) with a repeat."""
-    spark = pieces.sparkSession
-    total = pieces.agg(F.sum(F.length("piece"))).first()[0] or 0
-    buckets = max(1, int(total // BUCKET_BYTES) + 1)
-    return (pieces.withColumn("bucket", F.pmod(F.xxhash64("route"), F.lit(buckets)))
-            .repartition(max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bucket")
-            .groupBy("bucket").applyInArrow(_bucket, "p1 long, p2 long, bits binary"))
-
-
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, where bytes were removed, kept_bytes."""
     spark = docs.sparkSession
@@ -332,55 +322,52 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     docs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
             .select("doc_id", F.xxhash64("doc_id", "text").alias("dkey"), "text"))
-    did = F.coalesce("doc_id", F.lit(-1)).alias("did")
+    did = F.coalesce("doc_id", F.lit(-1))
     base = materialize(docs.mapInArrow(_survey, _BASE_SCHEMA), "suffix-base")
-    runs = (base.select(did, "dkey", F.explode(F.arrays_zip("starts", "widths", "anchors")).alias("r"))
+    runs = (base.select(did.alias("did"), "dkey", F.explode(F.arrays_zip("starts", "widths", "anchors")).alias("r"))
             .select("did", "dkey", F.col("r.starts").alias("start"), F.col("r.widths").alias("width"),
                     F.col("r.anchors").alias("anchor")))
     twice = runs.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
     spans = materialize(runs.join(twice, "anchor", "left_semi").groupBy("did", "dkey")  # a group is bounded by its text
                         .agg(F.collect_set(F.struct("start", "width", "anchor")).alias("found")), "suffix-spans")
-    held = materialize(likely_rows(docs, "dkey", spans.select("dkey")).join(spans.withColumnRenamed("did", "d").withColumnRenamed("dkey", "k"),
-                                 (F.coalesce("doc_id", F.lit(-1)) == F.col("d")) & (F.col("dkey") == F.col("k")))
-                       .select("doc_id", "dkey", "text", "found"), "suffix-held")
-
-    pieces = materialize(held.select("text", "found").mapInArrow(_cut, "anchor long, piece binary")
-                         .groupBy("anchor", "piece").agg(F.count("*").alias("n")), "suffix-pieces")
-    per_anchor = pieces.groupBy("anchor").agg(F.count("*").alias("c"), F.sum("n").alias("all")).filter("all > 1")
-    usual = pieces.join(per_anchor.filter(F.col("c") <= HOT_PIECES), "anchor", "left_semi") \
-        .select(F.col("anchor").alias("route"), "piece", "n")
-    hot = pieces.join(per_anchor.filter(F.col("c") > HOT_PIECES), "anchor", "left_semi")
-    windows = hot.select("piece", "n").mapInArrow(
-        _windows, "p1 long, p2 long, start int, hash long, n long, window binary")
-    again = windows.groupBy("hash").agg(F.sum("n").alias("c")).filter("c > 1").select("hash")
-    candidates = windows.join(again, "hash", "left_semi")
-    window_pieces = (candidates.groupBy("hash", "window").agg(F.sum("n").alias("n"))
-                     .select(F.col("hash").alias("route"), F.col("window").alias("piece"), "n"))
-    window_repeats = _repeats(window_pieces).select("p1", "p2").withColumnsRenamed({"p1": "w1", "p2": "w2"})
-    digested = candidates.select("p1", "p2", "start", "window").mapInArrow(
-        _window_digests, "p1 long, p2 long, start int, w1 long, w2 long")
-    hot_starts = (digested.join(window_repeats, ["w1", "w2"], "left_semi").select("p1", "p2", "start")
-                  .withColumn("bits", F.unhex(F.lit("80"))))
-    found = _repeats(usual).select("p1", "p2", F.lit(0).alias("start"), "bits").unionByName(hot_starts)
-    found = materialize(found, "suffix-found")
-
-    places = held.select(did, "dkey", "text", "found").mapInArrow(
-        _places, "did long, dkey long, start int, p1 long, p2 long")
-    per_doc = (places.join(found.withColumnRenamed("start", "shift"), ["p1", "p2"])
-               .groupBy("did", "dkey")
-               .agg(F.collect_set(F.struct((F.col("start") + F.col("shift")).alias("start"), "bits")).alias("marks"))
-               .withColumnsRenamed({"did": "d", "dkey": "k"}))
-    on = (F.coalesce("doc_id", F.lit(-1)) == F.col("d")) & (F.col("dkey") == F.col("k"))
+
+    def with_text(keyed: DataFrame, texts: DataFrame) -> DataFrame:
+        keyed = keyed.withColumnsRenamed({"did": "d", "dkey": "k"})
+        return texts.join(keyed, (did == F.col("d")) & (F.col("dkey") == F.col("k"))).drop("d", "k")
+
+    held = materialize(with_text(spans, likely_rows(docs, "dkey", spans.select("dkey"))), "suffix-held")
+    places = materialize(held.select(did.alias("did"), "dkey", "text", "found").mapInArrow(
+        _places, "did long, dkey long, start int, width int, anchor long, p1 long, p2 long"), "suffix-places")
+    pieces = places.groupBy("anchor", "p1", "p2").agg(
+        F.count("*").alias("n"), F.min(F.struct("did", "dkey", "start", "width")).alias("at"))
+    per_anchor = pieces.groupBy("anchor").agg(F.count("*").alias("c"))
+    chosen = materialize(pieces.join(per_anchor, "anchor")
+                         .select("at.*", "anchor", "n", (F.col("c") > HOT_PIECES).alias("hot")), "suffix-chosen")
+    total = chosen.filter("not hot").agg(F.sum(F.col("width") + SPAN - 1)).first()[0] or 0
+    buckets = int(total // BUCKET_BYTES) + 1
+
+    def cut(rows: DataFrame) -> DataFrame:
+        per_text = rows.groupBy("did", "dkey").agg(F.collect_list(F.struct("start", "width", "anchor", "n")).alias("chosen"))
+        return with_text(per_text, held.select("doc_id", "dkey", "text")).select("text", "chosen") \
+            .mapInArrow(_cut, "anchor long, n long, piece binary")
+
+    usual = (cut(chosen.filter("not hot")).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
+             .repartition(max(buckets, shuffle_partitions(spark)), "bucket")
+             .groupBy("bucket").applyInArrow(_bucket, "p1 long, p2 long, bits binary"))
+    windows = cut(chosen.filter("hot")).mapInArrow(_windows, "p1 long, p2 long, shift int, w1 long, w2 long, n long")
+    again = windows.groupBy("w1", "w2").agg(F.sum("n").alias("c")).filter("c > 1").select("w1", "w2")
+    hot = windows.join(again, ["w1", "w2"], "left_semi").select("p1", "p2", "shift", F.unhex(F.lit("80")).alias("bits"))
+    found = materialize(usual.select("p1", "p2", F.lit(0).alias("shift"), "bits").unionByName(hot), "suffix-found")
+
+    per_doc = (places.join(found, ["p1", "p2"]).groupBy("did", "dkey")
+               .agg(F.collect_set(F.struct((F.col("start") + F.col("shift")).alias("start"), "bits")).alias("marks")))
+    per_doc = materialize(per_doc, "suffix-marks")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary"
-    touched = held.join(per_doc, on).select("doc_id", "text", "marks").mapInArrow(_finish, schema)
-    whole = (base.join(per_doc.select("d", "k"), on, "left_anti")
-             .select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
+    touched = with_text(per_doc, held.select("doc_id", "dkey", "text")).select("doc_id", "text", "marks") \
+        .mapInArrow(_finish, schema)
+    none = F.lit(0).cast("long")
+    whole = (base.join(per_doc.select(F.col("did").alias("d"), F.col("dkey").alias("k")),
+                       (did == F.col("d")) & (F.col("dkey") == F.col("k")), "left_anti")
+             .select("doc_id", "n_bytes", none.alias("n_removed"), none.alias("n_spans"),
                      F.col("sha").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept_bytes")))
     return whole.unionByName(touched)
-
-
-def _window_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ds = [_digest(w.as_buffer().to_pybytes()) for w in b.column(3)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([d[0] for d in ds], pa.int64()),
-                                          pa.array([d[1] for d in ds], pa.int64())], ["p1", "p2", "start", "w1", "w2"])
