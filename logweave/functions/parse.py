@@ -65,7 +65,7 @@ def time_bucket(ts: Column, seconds: int = BUCKET_SECONDS) -> Column:
 
 def remainder(line: Column, tok: Column) -> Column:
     """Text after the token and one more character, stripped (Q1, Q2)."""
-    return strip_u(F.substring(ltrim_u(line), F.length(tok) + 2, 1 << 30))
+    return strip_u(F.substr(ltrim_u(line), F.length(tok) + 2))
 
 
 def split_reason_message(rest: Column) -> tuple[Column, Column, Column]:

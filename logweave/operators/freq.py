@@ -104,9 +104,11 @@ def cumulative(fd: DataFrame, n: int | None = None, percents: bool = False) -> D
 
 
 def _outer(a: DataFrame, b: DataFrame) -> DataFrame:
-    return (a.select("sample", F.col("cnt").alias("a"))
-            .join(b.select("sample", F.col("cnt").alias("b")), "sample", "full_outer")
-            .select("sample", F.coalesce("a", F.lit(0)).alias("a"), F.coalesce("b", F.lit(0)).alias("b")))
+    """Counts of both tables per sample (a null sample is a sample): union and one aggregate."""
+    zero = F.lit(0).cast("long")
+    u = (a.select("sample", F.col("cnt").cast("long").alias("a"), zero.alias("b"))
+         .unionByName(b.select("sample", zero.alias("a"), F.col("cnt").cast("long").alias("b"))))
+    return u.groupBy("sample").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
 
 
 def add(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -129,15 +131,14 @@ def union_max(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def intersect_min(a: DataFrame, b: DataFrame) -> DataFrame:
     """per-sample minimum over samples in both, positive only."""
-    j = a.select("sample", F.col("cnt").alias("a")).join(b.select("sample", F.col("cnt").alias("b")), "sample")
-    return j.select("sample", F.least("a", "b").alias("cnt")).where(F.col("cnt") > 0)
+    return _outer(a, b).select("sample", F.least("a", "b").alias("cnt")).where(F.col("cnt") > 0)
 
 
 def compare(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row ``(le, ge, lt, gt, eq)`` of multiset inclusion.
 
     ``a <= b``: every sample of ``a`` is in ``b`` with a count not larger.
-    Counted as violations after one full outer join.
+    Counted as violations after one union and aggregate.
     """
     o = _outer(a, b)
     agg = o.agg(
@@ -153,16 +154,17 @@ def compare(a: DataFrame, b: DataFrame) -> DataFrame:
 def set_count(fd: DataFrame, sample, cnt: int) -> DataFrame:
     """F13 ``fd[sample] = cnt``: replace or insert one entry."""
     row = fd.sparkSession.createDataFrame([(sample, cnt)], "sample string, cnt long")
-    return fd.select("sample", "cnt").where(F.col("sample") != F.lit(sample)).unionByName(row)
+    return delete(fd, sample).unionByName(row)
 
 
 def delete(fd: DataFrame, sample) -> DataFrame:
     """F13 ``del fd[sample]``."""
-    return fd.select("sample", "cnt").where(F.col("sample") != F.lit(sample))
+    return fd.select("sample", "cnt").where(~F.col("sample").eqNullSafe(F.lit(sample)))
 
 
 def setdefault(fd: DataFrame, sample, cnt: int) -> DataFrame:
     """F13 ``fd.setdefault(sample, cnt)``: insert only when absent (anti join)."""
     row = fd.sparkSession.createDataFrame([(sample, cnt)], "sample string, cnt long")
-    missing = row.join(fd.select("sample"), "sample", "left_anti")
+    have = fd.select(F.col("sample").alias("_have"))
+    missing = row.join(have, F.col("sample").eqNullSafe(F.col("_have")), "left_anti")
     return fd.select("sample", "cnt").unionByName(missing)

@@ -4,8 +4,8 @@ The reference trains a neural classifier on (3 previous events -> next
 event). Here the model is a table of context counts, fitted and applied with
 joins and aggregates only:
 
-* fit: counts of ``(c1,c2,c3,y)``, ``(c2,c3,y)``, ``(c3,y)`` and ``(y)``;
-  candidates of each context ranked by count, then event id.
+* fit: counts of ``(c1,c2,c3,y)`` in one pass, rolled up to ``(c2,c3,y)``,
+  ``(c3,y)`` and ``(y)``; candidates of each context ranked by count, then event id.
 * score: each window uses the longest context seen in training; it is an
   anomaly when its true next event is not among the top ``k`` candidates
   (or was never seen after that context).
@@ -40,54 +40,39 @@ def fit(train_windows: DataFrame, weight: str = "count") -> DataFrame:
     w = train_windows.select(*CTX, "y")
     if weight == "distinct":
         w = w.distinct()
-    levels = []
-    for level in (3, 2, 1, 0):
-        keep = CTX[3 - level:]
-        levels.append(w.groupBy(*keep, "y").agg(F.count(F.lit(1)).alias("cnt"))
-                      .select(F.lit(level).alias("level"),
-                              *[F.col(c) if c in keep else F.lit(None).cast("int").alias(c) for c in CTX],
-                              "y", "cnt"))
-    model = levels[0]
-    for m in levels[1:]:
-        model = model.unionByName(m)
+    # one pass over the windows; the shorter contexts are rolled up from the
+    # (small) table of distinct 4-grams
+    full = w.groupBy(*CTX, "y").agg(F.count(F.lit(1)).alias("n"))
+    model = (full.rollup("y", "c3", "c2", "c1")
+             .agg(F.sum("n").alias("cnt"), F.grouping("y").alias("_gy"),
+                  (3 - F.grouping("c1") - F.grouping("c2") - F.grouping("c3")).cast("int").alias("level"))
+             .where(F.col("_gy") == 0).select("level", *CTX, "y", "cnt"))
     rank_w = Window.partitionBy("level", *CTX).orderBy(F.col("cnt").desc(), F.col("y").asc())
     return model.withColumn("rank", F.row_number().over(rank_w).cast("long"))
 
 
-def lookup_tables(model: DataFrame) -> dict[int, DataFrame]:
-    """Per level, one row per context with ``map(next event -> rank)``.
-
-    A map holds at most one entry per event type, so rows stay small; the
-    tables are as large as the number of distinct contexts, not the data.
-    """
-    out = {}
-    for level in (3, 2, 1, 0):
-        keep = CTX[3 - level:]
-        m = model.where(F.col("level") == level)
-        out[level] = (m.groupBy(*keep)
-                      .agg(F.map_from_entries(F.collect_list(F.struct("y", "rank"))).alias(f"_m{level}")))
-    return out
-
-
 def score(test_windows: DataFrame, model: DataFrame, top_k: int) -> DataFrame:
     """M2: add ``level`` (longest context seen in training), ``rank`` of the
     true next event in it (null when unseen) and ``is_anomaly``.
 
-    One left join per context length; each both tells whether the context was
-    seen and gives the rank of the next event. The empty context is one row.
+    Each distinct 4-gram of the test windows is scored once: per context
+    length one join tells whether the context was seen and one gives the rank
+    of the next event after it. The windows then meet their 4-gram's score in
+    one join.
     """
-    tables = lookup_tables(model)
-    t = test_windows
-    for level in (3, 2, 1):
-        t = t.join(tables[level], CTX[3 - level:], "left")
-    t = t.withColumn("_m0", tables[0].select("_m0").scalar())
-    level = (F.when(F.col("_m3").isNotNull(), 3).when(F.col("_m2").isNotNull(), 2)
-             .when(F.col("_m1").isNotNull(), 1).otherwise(0))
-    chosen = (F.when(F.col("_m3").isNotNull(), F.col("_m3")).when(F.col("_m2").isNotNull(), F.col("_m2"))
-              .when(F.col("_m1").isNotNull(), F.col("_m1")).otherwise(F.col("_m0")))
-    return (t.withColumn("level", level)
-            .withColumn("rank", F.try_element_at(chosen, F.col("y")))
-            .drop("_m3", "_m2", "_m1", "_m0")
+    t = test_windows.select(*CTX, "y").distinct()
+    for level in (3, 2, 1, 0):
+        keep = CTX[3 - level:]
+        m = model.where(F.col("level") == level)
+        ranks = m.select(*keep, "y", F.col("rank").alias(f"_r{level}"))
+        t = t.join(ranks, [*keep, "y"], "left")
+        if level:
+            t = t.join(m.select(*keep).distinct().withColumn(f"_s{level}", F.lit(True)), keep, "left")
+    level = F.when(F.col("_s3"), 3).when(F.col("_s2"), 2).when(F.col("_s1"), 1).otherwise(0)
+    rank = F.when(F.col("_s3"), F.col("_r3")).when(F.col("_s2"), F.col("_r2")).when(F.col("_s1"), F.col("_r1")) \
+        .otherwise(F.col("_r0"))
+    scored = t.select(*CTX, "y", level.alias("level"), rank.alias("rank"))
+    return (test_windows.join(scored, [*CTX, "y"])
             .withColumn("is_anomaly", F.col("rank").isNull() | (F.col("rank") > F.lit(top_k))))
 
 

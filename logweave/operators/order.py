@@ -38,7 +38,6 @@ def dense_index(df: DataFrame, keys, ascending=None, out: str = "seq", groups=()
     numbering pass read identical rows and a lost executor cannot renumber
     them. ``keep`` limits the columns carried past the sort.
     """
-    from logweave.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
     from logweave.session import materialize
     groups = list(groups)
     order = _sort_cols(groups, None) + _sort_cols(list(keys), ascending)
@@ -53,12 +52,11 @@ def dense_index(df: DataFrame, keys, ascending=None, out: str = "seq", groups=()
     counts = tagged.groupBy("_p", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     # one row per (sorted partition, group present in it). Without groups that
-    # is one row per partition, a known bound; with groups the size is checked
+    # is one row per partition, a known bound, so it is broadcast; with groups
+    # the join is left to the planner
     offsets = counts.select("_p", *[F.col(g).alias(f"_g_{g}") for g in groups], "_m0",
                             F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    if groups:
-        offsets = broadcast_if_small(offsets)
-    elif tagged.rdd.getNumPartitions() <= BROADCAST_MAX_ROWS:
+    if not groups:
         offsets = F.broadcast(offsets)
     cond = tagged["_p"] == offsets["_p"]
     for g in groups:

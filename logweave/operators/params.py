@@ -136,16 +136,20 @@ def fit_ar1(train_vectors: DataFrame) -> DataFrame:
                  F.avg(F.col("p.y").cast("double")).alias("mean_y")))
 
 
+def _per_key(model: DataFrame) -> DataFrame:
+    """A model of one row per (key, dimension) as one row per key, coefficients in dimension order."""
+    cols = [c for c in model.columns if c not in ("EventId", "dim")]
+    return model.groupBy("EventId").agg(F.sort_array(F.collect_list(F.struct("dim", *cols))).alias("_m"))
+
+
 def predict_ar1(win: DataFrame, model: DataFrame, n_steps: int = N_STEPS) -> DataFrame:
-    """M5b forecast from the last vector; a constant dimension falls back to its mean."""
-    last = f"x{n_steps}"
-    ex = win.select("split", "EventId", "k", F.posexplode(last).alias("dim", "xl"))
-    ex = ex.join(model, ["EventId", "dim"]).withColumn(
-        "p", F.when(F.col("slope").isNull(), F.col("mean_y"))
-        .otherwise(F.col("intercept") + F.col("slope") * F.col("xl")))
-    pred = ex.groupBy("split", "EventId", "k").agg(F.sort_array(F.collect_list(F.struct("dim", "p"))).alias("_p")) \
-        .select("split", "EventId", "k", F.transform("_p", lambda s: s["p"]).alias("pred"))
-    return win.join(pred, ["split", "EventId", "k"])
+    """M5b forecast from the last vector; a constant dimension falls back to its mean.
+
+    The key's coefficients are joined in as one row; the forecast is a projection."""
+    z = F.arrays_zip(F.col(f"x{n_steps}").alias("x"), F.col("_m").alias("m"))
+    pred = F.transform(z, lambda e: F.when(e["m"]["slope"].isNull(), e["m"]["mean_y"])
+                       .otherwise(e["m"]["intercept"] + e["m"]["slope"] * e["x"]))
+    return win.join(_per_key(model), "EventId").withColumn("pred", pred).drop("_m")
 
 
 AR3_SCHEMA = "EventId int, dim int, coef array<double>"
@@ -153,38 +157,38 @@ AR3_SCHEMA = "EventId int, dim int, coef array<double>"
 
 def fit_ar3(train_win: DataFrame, n_steps: int = N_STEPS) -> DataFrame:
     """Per key and dimension, least squares on the last ``n_steps`` values
-    plus an intercept, in a grouped pandas function (one small solve per group).
+    plus an intercept.
+
+    The sums of products are SQL aggregates (partial sums before the shuffle);
+    only the small system of each (key, dimension) is solved in Python.
     """
+    names = [f"x{i}" for i in range(1, n_steps + 1)]
     ex = train_win.select("EventId", F.posexplode(F.arrays_zip(
-        *[F.col(f"x{i}").alias(f"x{i}") for i in range(1, n_steps + 1)], F.col("y").alias("y"))).alias("dim", "e"))
-    flat = ex.select("EventId", "dim", *[F.col(f"e.x{i}").cast("double").alias(f"x{i}") for i in range(1, n_steps + 1)],
+        *[F.col(x).alias(x) for x in names], F.col("y").alias("y"))).alias("dim", "e"))
+    flat = ex.select("EventId", "dim", F.lit(1.0).alias("x0"), *[F.col(f"e.{x}").cast("double").alias(x) for x in names],
                      F.col("e.y").cast("double").alias("y"))
+    terms = ["x0", *names]
+    pairs = [(a, b) for i, a in enumerate(terms) for b in terms[i:]]
+    sums = flat.groupBy("EventId", "dim").agg(
+        *[F.sum(F.col(a) * F.col(b)).alias(f"{a}{b}") for a, b in pairs],
+        *[F.sum(F.col(a) * F.col("y")).alias(f"{a}y") for a in terms])
 
-    def solve(key, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # normal equations accumulate batch by batch: memory is O(n_steps^2)
-        xtx = np.zeros((n_steps + 1, n_steps + 1))
-        xty = np.zeros(n_steps + 1)
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            x = np.column_stack([np.ones(len(pdf))] + [pdf[f"x{i}"].to_numpy() for i in range(1, n_steps + 1)])
-            xtx += x.T @ x
-            xty += x.T @ pdf["y"].to_numpy()
-        coef = np.linalg.lstsq(xtx, xty, rcond=None)[0]
-        yield pd.DataFrame({"EventId": [int(key[0])], "dim": [int(key[1])], "coef": [coef.tolist()]})
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return solve(key, batches)
+            coefs = []
+            for row in pdf.to_dict("records"):
+                xtx = np.array([[row.get(f"{a}{b}", row.get(f"{b}{a}")) for b in terms] for a in terms])
+                coefs.append(np.linalg.lstsq(xtx, np.array([row[f"{a}y"] for a in terms]), rcond=None)[0].tolist())
+            yield pd.DataFrame({"EventId": pdf["EventId"], "dim": pdf["dim"], "coef": coefs})
 
-    return flat.groupBy("EventId", "dim").applyInPandas(run, schema=AR3_SCHEMA)
+    return sums.mapInPandas(solve, schema=AR3_SCHEMA)
 
 
 def predict_ar3(win: DataFrame, model: DataFrame, n_steps: int = N_STEPS) -> DataFrame:
-    ex = win.select("split", "EventId", "k", F.posexplode(F.arrays_zip(
-        *[F.col(f"x{i}").alias(f"x{i}") for i in range(1, n_steps + 1)])).alias("dim", "e"))
-    ex = ex.join(model, ["EventId", "dim"]).withColumn(
-        "p", F.col("coef")[0] + sum(F.col("coef")[i] * F.col(f"e.x{i}") for i in range(1, n_steps + 1)))
-    pred = ex.groupBy("split", "EventId", "k").agg(F.sort_array(F.collect_list(F.struct("dim", "p"))).alias("_p")) \
-        .select("split", "EventId", "k", F.transform("_p", lambda s: s["p"]).alias("pred"))
-    return win.join(pred, ["split", "EventId", "k"])
+    z = F.arrays_zip(*[F.col(f"x{i}").alias(f"x{i}") for i in range(1, n_steps + 1)], F.col("_m").alias("m"))
+    pred = F.transform(z, lambda e: e["m"]["coef"][0] + sum(
+        e["m"]["coef"][i] * e[f"x{i}"] for i in range(1, n_steps + 1)))
+    return win.join(_per_key(model), "EventId").withColumn("pred", pred).drop("_m")
 
 
 def mse(pred_win: DataFrame) -> DataFrame:

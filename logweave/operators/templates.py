@@ -15,8 +15,13 @@ Pipeline, all on Spark:
    into wildcards). Leaves are independent, so ``groupBy(leaf)`` with an
    iterator-form ``applyInPandas`` is exact; the per-leaf state is the leaf's
    cluster list, rows stream through in batches.
-5. ``match``: second pass, every line against the finished templates of its
-   leaf (exact match, wildcards match anything), as a join.
+5. ``match``: second pass, every distinct line shape against the finished
+   templates of its leaf (exact match, wildcards match anything). Lines do not
+   depend on each other here, so a leaf's shapes are dealt to several tasks and
+   each gets the leaf's templates.
+
+The leaves are those of the tree that mined: ``own_leaves`` is the table of
+first tokens with a leaf of their own, ``route`` sends any lines through it.
 """
 
 from __future__ import annotations
@@ -29,7 +34,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweave.functions.parse import strip_u  # noqa: F401  (re-exported)
-from logweave.operators.joins import broadcast_if_small
 from logweave.operators.order import dense_index
 
 # Masking rules in application order (regex, mask name), the
@@ -47,9 +51,7 @@ MASK_PREFIX = "<:"
 MASK_SUFFIX = ":>"
 PARAM = "<*>"
 SIM_TH = 0.4
-DEPTH = 4
 MAX_CHILDREN = 100
-MAX_CLUSTERS = 1024
 EXTRA_DELIMITERS = ["_"]
 
 
@@ -70,16 +72,18 @@ def execution_pattern(pattern: str) -> str:
     return "(?U)" + p
 
 
-# Cheap necessary conditions per rule: a rule only runs on rows that can
-# match it, which skips most of the regex work on prose.
-_RULE_GUARDS = {
-    "ID": lambda c: (F.instr(c, ":") > 0) & c.rlike("[0-9a-f]{2}:"),
-    "IP": lambda c: (F.instr(c, ".") > 0) & c.rlike(r"(?U)\d\."),
-    "HEX": lambda c: F.instr(c, "0x") > 0,
-    "NUM": lambda c: c.rlike(r"(?U)\d"),
-    "CMD": lambda c: F.instr(c, "executed cmd ") > 0,
-}
-_SEQ_GUARDS = {0: lambda c: c.rlike("[0-9a-f]{6}"), 1: lambda c: c.rlike("[0-9A-F]{4}")}
+# Cheap necessary conditions of the rules above, by pattern: a rule only runs
+# on rows that can match it, which skips most of the regex work on prose. Any
+# other pattern, whatever its name, runs on every row.
+_GUARDS = {pattern: guard for (pattern, _), guard in zip(MASKING_RULES, (
+    lambda c: (F.instr(c, ":") > 0) & c.rlike("[0-9a-f]{2}:"),
+    lambda c: (F.instr(c, ".") > 0) & c.rlike(r"(?U)\d\."),
+    lambda c: c.rlike("[0-9a-f]{6}"),
+    lambda c: c.rlike("[0-9A-F]{4}"),
+    lambda c: F.instr(c, "0x") > 0,
+    lambda c: c.rlike(r"(?U)\d"),
+    lambda c: F.instr(c, "executed cmd ") > 0,
+), strict=True)}
 
 
 def mask(content: Column, rules=MASKING_RULES) -> Column:
@@ -95,14 +99,10 @@ def mask_column(df: DataFrame, src: str, dst: str, rules=MASKING_RULES) -> DataF
     its execution form and only on rows passing its cheap guard. Each step is
     its own projection, so the guarded value is computed once."""
     out = df.withColumn(dst, F.col(src))
-    seq_seen = 0
     for pattern, name in rules:
         c = F.col(dst)
         replaced = F.regexp_replace(c, execution_pattern(pattern), MASK_PREFIX + name + MASK_SUFFIX)
-        guard = _RULE_GUARDS.get(name)
-        if name == "SEQ":
-            guard = _SEQ_GUARDS.get(seq_seen)
-            seq_seen += 1
+        guard = _GUARDS.get(pattern)
         out = out.withColumn(dst, F.when(guard(c), replaced).otherwise(c) if guard else replaced)
     return out
 
@@ -125,33 +125,54 @@ def has_digit(tok: Column) -> Column:
     return tok.rlike(r"(?U)\d")
 
 
-def leaf_keys(lines: DataFrame, tokens: str = "tokens", pos: str = "pos",
-              max_children: int = MAX_CHILDREN) -> DataFrame:
-    """Add ``n_tokens`` and ``leaf_token`` (first token, ``<*>`` or null).
+def _with_first(lines: DataFrame, tokens: str) -> DataFrame:
+    return lines.withColumn("n_tokens", F.size(tokens)).withColumn(
+        "_first", F.when(F.col("n_tokens") >= 2, F.col(tokens).getItem(0)))
+
+
+def own_leaves(lines: DataFrame, tokens: str = "tokens", pos: str = "pos",
+               max_children: int = MAX_CHILDREN) -> DataFrame:
+    """``(n_tokens, first)`` of the first tokens that have a leaf of their own.
 
-    Own leaves go to the first ``max_children - 1`` distinct digit-free first
-    tokens of each length in order of first appearance; the rest share the
-    wildcard leaf. Lines of 0 or 1 tokens sit at the length node (null token).
+    These are the first ``max_children - 1`` distinct digit-free first tokens
+    of each length in order of first appearance; all others share the wildcard
+    leaf. At most ``max_children - 1`` rows per length.
     """
-    t = lines.withColumn("n_tokens", F.size(tokens)).withColumn(
-        "_first", F.when(F.col("n_tokens") >= 2, F.col(tokens).getItem(0)))
-    # Candidates for an own leaf: digit-free first tokens. No filter touches
-    # the token columns here: a pushed-down filter would re-evaluate the mask
-    # chain; nulls are grouped and ranked last instead.
+    t = _with_first(lines, tokens)
+    # No filter touches the token columns here: a pushed-down filter would
+    # re-evaluate the mask chain; nulls are grouped and ranked last instead.
     cand = F.when(~has_digit(F.col("_first")), F.col("_first"))
-    firsts = t.groupBy("n_tokens", cand.alias("_cand")).agg(F.min(pos).alias("_fp"))
+    firsts = t.groupBy("n_tokens", cand.alias("first")).agg(F.min(pos).alias("_fp"))
     # distinct first tokens per length: bounded by the vocabulary, not the lines
-    w = Window.partitionBy("n_tokens").orderBy(F.col("_cand").isNull(), "_fp", "_cand")
-    own = (firsts.withColumn("_r", F.row_number().over(w))
-           .where(F.col("_cand").isNotNull() & (F.col("_r") <= max_children - 1))
-           .select("n_tokens", F.col("_cand").alias("_first"), F.lit(True).alias("_own")))
-    t = t.join(own, ["n_tokens", "_first"], "left")
+    w = Window.partitionBy("n_tokens").orderBy(F.col("first").isNull(), "_fp", "first")
+    return (firsts.withColumn("_r", F.row_number().over(w))
+            .where(F.col("first").isNotNull() & (F.col("_r") <= max_children - 1))
+            .select("n_tokens", "first"))
+
+
+def route(lines: DataFrame, own: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """Add ``n_tokens`` and ``leaf_token`` (first token, ``<*>`` or null) by the own-leaf table
+    of the tree that mined. Lines of 0 or 1 tokens sit at the length node (null token)."""
+    t = _with_first(lines, tokens)
+    o = own.select("n_tokens", F.col("first").alias("_first"), F.lit(True).alias("_own"))
+    t = t.join(o, ["n_tokens", "_first"], "left")
     leaf = F.when(F.col("_first").isNull(), F.lit(None).cast("string")) \
         .when(F.col("_own"), F.col("_first")).otherwise(F.lit(PARAM))
     return t.withColumn("leaf_token", leaf).drop("_first", "_own")
 
 
-MINE_SCHEMA = ("kind string, n_tokens int, leaf_token string, local_id int, pos long, "
+def leaf_keys(lines: DataFrame, tokens: str = "tokens", pos: str = "pos",
+              max_children: int = MAX_CHILDREN) -> DataFrame:
+    """Route lines through the tree that they themselves grow."""
+    return route(lines, own_leaves(lines, tokens, pos, max_children), tokens)
+
+
+def order_key(hi: Column, lo: Column) -> Column:
+    """One sortable number for a pair of non-negative longs (no overflow at any size)."""
+    return (hi.cast("decimal(18,0)") * F.expr("9223372036854775808BD") + lo.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+MINE_SCHEMA = ("kind string, n_tokens int, leaf_token string, local_id int, pos decimal(38,0), "
                "change_type string, template array<string>, size long")
 
 
@@ -306,7 +327,7 @@ def mine(keyed: DataFrame, sim_th: float = SIM_TH) -> DataFrame:
     hurts.
     """
     leaf = ["n_tokens", "leaf_token"]
-    prepared = (keyed.select(*leaf, "pos", "tokens")
+    prepared = (keyed.select(*leaf, F.col("pos").cast("decimal(38,0)").alias("pos"), "tokens")
                 .repartition(*leaf).sortWithinPartitions(*leaf, "pos"))
     # Exact volume cut: consecutive repeats inside a leaf join the cluster of
     # the first line unchanged, so only run heads (with run lengths) go to
@@ -353,8 +374,8 @@ def match_join(keyed: DataFrame, cat: DataFrame) -> DataFrame:
 
     A template matches when every non-wildcard position equals the line's
     token. Among matches the one with more wildcards wins, then the older
-    one. The per-leaf template lists are one row per leaf (bounded by the
-    catalogue); they are broadcast only when the catalogue is small enough.
+    one. The per-leaf template lists are one row per leaf, so this form is for
+    small catalogues.
     Adds ``EventId`` (null when unmatched), ``EventTemplate``, ``param``
     (template tokens, empty when unmatched) and ``match`` (1/0).
     """
@@ -364,7 +385,6 @@ def match_join(keyed: DataFrame, cat: DataFrame) -> DataFrame:
                                     F.col("cluster_id"), F.col("tokens"), F.col("template")).alias("c"))
                 .groupBy(F.col("n_tokens").alias("_mn"), F.col("leaf_token").alias("_ml"))
                 .agg(F.sort_array(F.collect_list("c"), asc=False).alias("_cands")))
-    per_leaf = broadcast_if_small(per_leaf)
     j = keyed.join(per_leaf, (keyed.n_tokens == per_leaf._mn) & keyed.leaf_token.eqNullSafe(per_leaf._ml), "left")
     line_toks = F.col("tokens")
     hits = F.filter(F.coalesce(F.col("_cands"), F.array()),
@@ -400,16 +420,14 @@ def position_templates(keyed: DataFrame) -> DataFrame:
 
 
 MATCH_OUT = "EventId int, EventTemplate string, param array<string>"
-# Distinct (leaf, tokens) rows with their match broadcast to the line join
-# only below this many rows; past it the join is a shuffle join (AQE splits
-# a hot template's partition).
-MATCH_BROADCAST_ROWS = 50_000
+# Tasks a leaf's shapes are dealt to.
+MATCH_SALTS = 16
 
 
 def _match_partition(batches: Iterator[pd.DataFrame], carry: list[str]) -> Iterator[pd.DataFrame]:
     """Rows sorted by (leaf, kind): a leaf's templates (kind 0, best first),
     then its lines (kind 1). Each line gets the first template that matches."""
-    vocab = _Vocab()
+    vocab = _Vocab()  # the words of the current leaf's templates
     done: set = set()
     cur_key = None
     tpl = None
@@ -417,17 +435,17 @@ def _match_partition(batches: Iterator[pd.DataFrame], carry: list[str]) -> Itera
     tpl_rows: list = []
     for pdf in batches:
         res_id, res_tpl, res_par, keep = [], [], [], []
-        for idx, (n, t, kind, cid, toks, text) in enumerate(zip(
-                pdf["n_tokens"].tolist(), pdf["leaf_token"].tolist(), pdf["_kind"].tolist(),
+        for idx, (n, t, salt, kind, cid, toks, text) in enumerate(zip(
+                pdf["n_tokens"].tolist(), pdf["leaf_token"].tolist(), pdf["_salt"].tolist(), pdf["_kind"].tolist(),
                 pdf["_cid"].tolist(), pdf["tokens"].tolist(), pdf["_text"].tolist())):
             t = None if (t is None or t != t) else t
-            key = (int(n), t)
+            key = (int(n), t, int(salt))
             if key != cur_key:
                 if cur_key is not None:
                     done.add(cur_key)
                 if key in done:
                     raise ValueError(f"rows of leaf {key} are not contiguous in the partition")
-                cur_key, tpl, ids_list, tpl_rows = key, None, [], []
+                cur_key, tpl, ids_list, tpl_rows, vocab = key, None, [], [], _Vocab()
             if kind == 0:
                 if tpl is not None:
                     raise ValueError("templates of a leaf must precede its lines")
@@ -440,7 +458,8 @@ def _match_partition(batches: Iterator[pd.DataFrame], carry: list[str]) -> Itera
                 tpl = np.vstack(ids_list) if n > 0 else np.zeros((len(ids_list), 0), dtype=np.int64)
             hit = -1
             if tpl is not None and len(tpl):
-                line = vocab.encode(list(toks))
+                known = vocab.ids
+                line = np.fromiter((known.get(w, -1) for w in toks), dtype=np.int64, count=len(toks))
                 ok = ((tpl == line) | (tpl == 0)).all(axis=1)
                 if ok.any():
                     hit = int(np.argmax(ok))
@@ -462,13 +481,15 @@ def _match_partition(batches: Iterator[pd.DataFrame], carry: list[str]) -> Itera
 
 
 def _sorted_match_input(lines: DataFrame, cat: DataFrame, carry: list[str]) -> DataFrame:
-    """Lines and templates of a leaf in one partition: templates first (best
-    first: more wildcards, then older), then the lines."""
-    leaf = ["n_tokens", "leaf_token"]
+    """Shapes and templates of a leaf and salt in one partition: templates first
+    (best first: more wildcards, then older), then the shapes."""
+    leaf = ["n_tokens", "leaf_token", "_salt"]
     params = F.size(F.filter("tokens", lambda t: t == F.lit(PARAM)))
-    templates = cat.select(*leaf, "tokens", F.lit(0).alias("_kind"), (-params).cast("long").alias("_o1"),
+    templates = cat.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(MATCH_SALTS)])))
+    templates = templates.select(*leaf, "tokens", F.lit(0).alias("_kind"), (-params).cast("long").alias("_o1"),
                            F.col("cluster_id").cast("long").alias("_o2"), F.col("cluster_id").alias("_cid"),
                            F.col("template").alias("_text"))
+    lines = lines.withColumn("_salt", F.pmod(F.xxhash64("tokens"), F.lit(MATCH_SALTS)).cast("int"))
     rows = lines.select(*dict.fromkeys(carry + leaf + ["tokens"]), F.lit(1).alias("_kind"),
                         F.lit(0).cast("long").alias("_o1"), F.lit(0).cast("long").alias("_o2"),
                         F.lit(None).cast("int").alias("_cid"), F.lit(None).cast("string").alias("_text"))
@@ -483,43 +504,25 @@ def _match_schema(df: DataFrame, carry: list[str]):
         StructField("param", ArrayType(StringType()))])
 
 
-def match(keyed: DataFrame, cat: DataFrame, strategy: str = "auto") -> DataFrame:
+def match(keyed: DataFrame, cat: DataFrame) -> DataFrame:
     """Match each line to a finished template of its leaf, no new clusters.
 
     A template matches when every non-wildcard position equals the line's
     token; among matches the one with more wildcards wins, then the older one.
-    Lines and templates are hash partitioned by leaf together and sorted so a
-    leaf's templates precede its lines; one streaming Python pass per
-    partition keeps only the current leaf's templates as an int matrix.
-
-    ``strategy``: ``'direct'`` streams every line through the matcher;
-    ``'distinct'`` matches each distinct (leaf, tokens) shape once and joins
-    the result back (log lines repeat their templates, so this is far less
-    Python work); ``'auto'`` picks ``distinct`` when an approximate distinct
-    count of shapes is under half the lines.
-
-    Adds ``EventId`` (null when unmatched), ``EventTemplate``, ``param``
-    (template tokens, empty when unmatched) and ``match`` (1/0).
+    Each distinct (leaf, tokens) shape is matched once and joined back to its
+    lines. Shapes are dealt over ``MATCH_SALTS`` tasks a leaf, each of which
+    first reads the leaf's templates; a word that no template has needs no
+    entry of its own, so a task holds the current leaf's templates only.
+
+    ``keyed`` must be routed by the own-leaf table of the mined lines. Adds
+    ``EventId`` (null when unmatched), ``EventTemplate``, ``param`` (template
+    tokens, empty when unmatched) and ``match`` (1/0).
     """
     from logweave.session import materialize
-    leaf = ["n_tokens", "leaf_token"]
-    if strategy == "auto":
-        st = keyed.agg(F.count(F.lit(1)).alias("n"),
-                       F.approx_count_distinct(F.xxhash64(*leaf, "tokens")).alias("d")).first()
-        strategy = "distinct" if st["d"] < 0.5 * max(st["n"], 1) else "direct"
-    if strategy == "direct":
-        carry = list(keyed.columns)
-        both = _sorted_match_input(keyed, cat, carry)
-        out = both.mapInPandas(lambda it: _match_partition(it, carry), schema=_match_schema(keyed, carry))
-        return out.withColumn("match", F.when(F.col("EventId").isNotNull(), 1).otherwise(0))
-    carry = leaf + ["tokens"]
-    shapes = keyed.select(*carry).distinct()
-    both = _sorted_match_input(shapes, cat, carry)
-    # written once (one row per distinct shape), so the size check and the
-    # join below do not run the Python pass twice
+    carry = ["n_tokens", "leaf_token", "tokens"]
+    both = _sorted_match_input(keyed.select(*carry).distinct(), cat, carry)
     found = materialize(both.mapInPandas(lambda it: _match_partition(it, carry), schema=_match_schema(keyed, carry)),
                         "matched-shapes")
-    found = broadcast_if_small(found, MATCH_BROADCAST_ROWS)
     k = keyed.alias("k")
     f = found.alias("f")
     cond = ((F.col("k.n_tokens") == F.col("f.n_tokens")) & F.col("k.leaf_token").eqNullSafe(F.col("f.leaf_token"))

@@ -1,23 +1,23 @@
-"""Wide exports (S11): one column per key value."""
+"""Wide exports (S11): one column per key value of a given list.
+
+The scalable export is the long form itself (rows, key, value), written
+partitioned by key; a wide table is for a list of keys that someone chose.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Most key columns a wide export may have; past it the export fails loudly
-# instead of silently dropping keys.
-MAX_PIVOT_COLUMNS = 2000
 
+def long_form(df: DataFrame, rows: list[str], key: str, value: str) -> DataFrame:
+    """``(rows, key, value)``: one value (the largest) per row and key, for any number of keys."""
+    return df.groupBy(*rows, key).agg(F.max(value).alias(value))
 
-def pivot_by_key(df: DataFrame, rows: list[str], key: str, value: str, prefix: str = "") -> DataFrame:
-    """``groupBy(rows).pivot(key, ids).agg(max(value))`` with the ids listed.
 
-    The distinct key values (a catalogue-sized list, not data-sized) are read
-    once so Spark does not run its own discovery job and the columns are fixed.
-    """
-    ids = [r[0] for r in df.select(key).distinct().orderBy(key).limit(MAX_PIVOT_COLUMNS + 1).collect()]
-    if len(ids) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"more than {MAX_PIVOT_COLUMNS} keys for a wide export")
-    out = df.groupBy(*rows).pivot(key, ids).agg(F.max(value))
-    return out.select(*rows, *[F.col(str(i)).alias(f"{prefix}{i}") for i in ids])
+def pivot_by_key(df: DataFrame, rows: list[str], key: str, value: str, keys: Sequence, prefix: str = "") -> DataFrame:
+    """``groupBy(rows).pivot(key, keys).agg(max(value))``: a column for each of ``keys``, every row kept."""
+    out = df.groupBy(*rows).pivot(key, list(keys)).agg(F.max(value))
+    return out.select(*rows, *[F.col(str(i)).alias(f"{prefix}{i}") for i in keys])

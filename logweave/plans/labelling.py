@@ -54,7 +54,7 @@ def run_label_job(spark: SparkSession, test_path: str, result_path: str, train_p
     write ``predict.csv`` (header, no index) and then the ``predict_finish.csv``
     marker. ``train_path`` is accepted and unused, as in the reference (Q29).
     """
-    logs = {name: read_lines(spark, os.path.join(test_path, f"{name}_testset.txt"), log_name=name)
+    logs = {name: read_lines(spark, os.path.join(test_path, f"{name}_testset.txt"), log_name=name, numbered=False)
             for name in ("messages", "sysmonitor")}
     result = bucket_label_table(logs)
     # one row per (log, bucket): small enough for one output file

@@ -8,34 +8,34 @@ from pyspark.sql import functions as F
 from logweave.operators import templates as T
 from logweave.operators.order import dense_index, time_gap
 from logweave.operators.parse import parse_log, parsed_rows
-from logweave.session import ensure_checkpoint_dir
 from logweave.session import materialize as materialize_table
 from logweave.sources.derived import document_lines, event_log_lines
 
 # Fixed value: X1 train / test split point (event time).
 EVENTS_TRAIN_BEFORE = "2024-01-16 00:00:00"
-SPLIT_STRIDE = 1 << 40  # pos = split order * stride + line number
 
 
-def keyed_lines(lines: DataFrame, content: str = "content", pos: str = "pos", materialize: bool = True) -> DataFrame:
+def tokenized_lines(lines: DataFrame, content: str = "content") -> DataFrame:
+    """Mask and tokenize lines: adds ``tokens``. Written once to the checkpoint
+    folder (it feeds routing, miner and matcher), not run once per consumer."""
+    m = T.mask_column(lines, content, "_masked").withColumn("tokens", T.tokenize(F.col("_masked"))).drop("_masked")
+    return materialize_table(m, "tokenized-lines")
+
+
+def keyed_lines(lines: DataFrame, content: str = "content", pos: str = "pos", own: DataFrame | None = None) -> DataFrame:
     """Mask, tokenize and route lines: adds ``tokens, n_tokens, leaf_token``.
 
-    The tokenized lines feed the routing aggregate, the routing join, the
-    miner and the matcher. With ``materialize`` they are written once to the
-    checkpoint folder (reliable, survives executor loss) instead of running
-    the regex chain once per consumer.
+    Lines to be mined are routed by the tree they grow; lines to be matched
+    against a finished catalogue by ``own``, the own-leaf table of the lines
+    that were mined.
     """
-    m = T.mask_column(lines, content, "_masked").withColumn("tokens", T.tokenize(F.col("_masked"))).drop("_masked")
-    if materialize:
-        ensure_checkpoint_dir(lines.sparkSession)
-        m = materialize_table(m, "tokenized-lines")
-    return T.leaf_keys(m, "tokens", pos)
+    m = tokenized_lines(lines, content)
+    return T.route(m, T.own_leaves(m, "tokens", pos) if own is None else own, "tokens")
 
 
 def mine_catalogue(keyed: DataFrame, sim_th: float = T.SIM_TH) -> tuple[DataFrame, DataFrame]:
     """Run the per-leaf miner once; the (small) mined output is checkpointed so
     the catalogue, the change feed and the match pass reuse it."""
-    ensure_checkpoint_dir(keyed.sparkSession)
     mined = materialize_table(T.mine(keyed, sim_th), "mined-clusters")
     return mined, T.catalogue(mined)
 
@@ -46,8 +46,7 @@ def event_log_mining_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = p.withColumn("split", F.when(F.col("ts") < F.lit(EVENTS_TRAIN_BEFORE).cast("timestamp_ntz"), "train")
                      .otherwise("test"))
     return p.select("split", "line_id", "line", "epoch", F.col("message").alias("content"),
-                    (F.when(F.col("split") == "train", 0).otherwise(1) * F.lit(SPLIT_STRIDE)
-                     + F.col("line_id")).alias("pos"))
+                    T.order_key(F.when(F.col("split") == "train", 0).otherwise(1), F.col("line_id")).alias("pos"))
 
 
 def structured_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +75,7 @@ def document_mining_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = document_lines(spark, sf_dir)
     return d.where(F.length(T.strip_u(F.col("line"))) > 0).select(
         "doc_id", "line_no", F.col("line").alias("content"),
-        (F.col("doc_id") * F.lit(1 << 32) + F.col("line_no")).alias("pos"))
+        T.order_key(F.col("doc_id"), F.col("line_no")).alias("pos"))
 
 
 def benchmark_mining_input(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,4 +84,4 @@ def benchmark_mining_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = b.select("item_id", F.posexplode(F.split("text", "\r\n|\r|\n")).alias("i", "content"))
     return lines.where(F.length(T.strip_u(F.col("content"))) > 0).select(
         "item_id", (F.col("i") + 1).cast("long").alias("line_no"), "content",
-        (F.col("item_id") * F.lit(1 << 32) + F.col("i") + 1).alias("pos"))
+        T.order_key(F.col("item_id"), F.col("i") + 1).alias("pos"))

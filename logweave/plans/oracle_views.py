@@ -57,7 +57,7 @@ DOC_FREQ = "dfq AS (SELECT sample, CAST(count(*) AS BIGINT) AS cnt, min(pos) AS
 BENCH_FREQ = "bfq AS (SELECT sample, CAST(count(*) AS BIGINT) AS cnt, min(pos) AS first_seen FROM bw GROUP BY sample)"
 
 
-LI_SEQ = """
+LI_EVENTS = """
 li AS (
   SELECT *, CASE WHEN l_shipdate < TIMESTAMP '1998-06-01' THEN 'train' ELSE 'test' END AS split,
          l_returnflag || l_linestatus || CAST(l_linenumber AS VARCHAR) AS code
@@ -67,12 +67,10 @@ x3 AS (
   SELECT li.split, CAST(row_number() OVER (PARTITION BY li.split ORDER BY l_shipdate, l_orderkey, l_linenumber,
            l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS BIGINT) AS seq,
          codes.EventId, li.code, li.l_orderkey, li.l_linenumber
-  FROM li JOIN codes USING (code)),
-win AS (
-  SELECT * FROM (
-    SELECT split, seq, l_orderkey, l_linenumber,
-           lag(EventId, 3) OVER w AS c1, lag(EventId, 2) OVER w AS c2, lag(EventId, 1) OVER w AS c3, EventId AS y
-    FROM x3 WINDOW w AS (PARTITION BY split ORDER BY seq)) WHERE seq >= 4),
+  FROM li JOIN codes USING (code))"""
+
+# Path model over a view ``win`` (split, seq, c1, c2, c3, y): training windows, model, scored test windows.
+PATH_MODEL = """
 tw AS (SELECT * FROM win WHERE split = 'train'),
 model AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY level, c1, c2, c3 ORDER BY cnt DESC, y) AS BIGINT) AS rank FROM (
@@ -91,3 +89,10 @@ scored AS (
     AND m.c1 IS NOT DISTINCT FROM (CASE WHEN t.level >= 3 THEN t.c1 END)
     AND m.c2 IS NOT DISTINCT FROM (CASE WHEN t.level >= 2 THEN t.c2 END)
     AND m.c3 IS NOT DISTINCT FROM (CASE WHEN t.level >= 1 THEN t.c3 END))"""
+
+LI_SEQ = LI_EVENTS + "," + """
+win AS (
+  SELECT * FROM (
+    SELECT split, seq, l_orderkey, l_linenumber,
+           lag(EventId, 3) OVER w AS c1, lag(EventId, 2) OVER w AS c2, lag(EventId, 1) OVER w AS c3, EventId AS y
+    FROM x3 WINDOW w AS (PARTITION BY split ORDER BY seq)) WHERE seq >= 4)""" + "," + PATH_MODEL

@@ -64,3 +64,24 @@ def execution_path(seq: DataFrame, top_k: int = PATH_TOP_K, weight: str = "count
         model = fit()
     scored = NE.score(win.where(F.col("split") == "test"), model, top_k)
     return model, scored
+
+
+def log_sequence(structured: DataFrame) -> DataFrame:
+    """The structured log's known events as a sequence, renumbered per split without the unmatched lines (Q26)."""
+    known = structured.where(F.col("EventId").isNotNull()).select("split", "LineId", "EventId")
+    return dense_index(known, ["LineId"], out="seq", groups=["split"])
+
+
+def log_path(structured: DataFrame, top_k: int = PATH_TOP_K, weight: str = "count", model_path: str | None = None,
+             fit_id: str | None = None) -> DataFrame:
+    """M3 on the mined log: the structured test rows whose event is not among the ``top_k``
+    expected after the three events before it, with level and rank."""
+    _, scored = execution_path(log_sequence(structured), top_k, weight, model_path, fit_id)
+    flagged = scored.where("is_anomaly").select("split", "LineId", "level", "rank")
+    return structured.join(flagged, ["split", "LineId"])
+
+
+def null_events(structured: DataFrame) -> DataFrame:
+    """Q26: lines without an event per split, which the path model leaves out."""
+    return structured.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("EventId").isNull().cast("long")).alias("n_unmatched"))

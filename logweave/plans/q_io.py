@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import functions as F
 
 from logweave.operators import labels as L
-from logweave.operators import templates as T
 from logweave.operators.order import dense_index
 from logweave.operators.parse import parse_log, parsed_rows, reject_rows
 from logweave.plans import mining as MI
@@ -115,18 +112,3 @@ def q_fuse_labels(spark, sf_dir):
     labelled = label_lines(event_log_lines(spark, sf_dir), "sysmonitor").select("line_id", "Label")
     flags = PP.param_value(PP.param_rows(spark, sf_dir)).where("is_anomaly").select(F.col("LineId").alias("line_id"))
     return L.fuse_labels(labelled, flags)
-
-
-@register("rate_report")
-def q_rate_report(spark, sf_dir):
-    """Lines mined, clusters found, seconds and lines per second (observed metrics)."""
-    from pyspark.sql import Observation
-    obs = Observation("mining")
-    keyed = MI.keyed_lines(MI.document_mining_input(spark, sf_dir)).observe(obs, F.count(F.lit(1)).alias("lines"))
-    t0 = time.time()
-    _, cat = MI.mine_catalogue(keyed)
-    n_clusters = cat.count()
-    secs = max(time.time() - t0, 1e-9)
-    lines = obs.get["lines"]
-    return spark.createDataFrame([(int(lines), int(n_clusters), float(secs), float(lines / secs))],
-                                 "lines long, clusters long, seconds double, lines_per_sec double")

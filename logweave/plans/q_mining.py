@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from logweave.operators import templates as T
 from logweave.plans import mining as MI
 from logweave.plans.catalog import register
-from logweave.plans.oracle_views import X1_LINES, with_views
+from logweave.plans import path as PATH
+from logweave.plans.oracle_views import PATH_MODEL, X1_LINES, with_views
 
 X1_MINING = with_views(X1_LINES) + """,
 xm AS (
@@ -27,6 +28,10 @@ sl AS (
   FROM xm JOIN ids USING (content))"""
 
 
+# The X1 log has five events, so a path is unusual when its event is not the likeliest three.
+LOG_TOP_K = 3
+
+
 def _docs_keyed(spark, sf_dir):
     return MI.keyed_lines(MI.document_mining_input(spark, sf_dir))
 
@@ -101,8 +106,10 @@ def q_template_values(spark, sf_dir):
 @register("unmatched_lines")
 def q_unmatched_lines(spark, sf_dir):
     """P18 / Q11 ``fit_on='train'``: templates mined on documents, benchmark lines that match none."""
-    _, cat = MI.mine_catalogue(_docs_keyed(spark, sf_dir))
-    bench = MI.keyed_lines(MI.benchmark_mining_input(spark, sf_dir))
+    lines = MI.tokenized_lines(MI.document_mining_input(spark, sf_dir))
+    own = T.own_leaves(lines)
+    _, cat = MI.mine_catalogue(T.route(lines, own))
+    bench = MI.keyed_lines(MI.benchmark_mining_input(spark, sf_dir), own=own)
     m = T.match(bench, cat)
     return m.where(F.col("EventId").isNull()).select("item_id", "line_no", "content")
 
@@ -134,3 +141,23 @@ def q_parameter_list(spark, sf_dir):
     s = MI.structured_event_log(spark, sf_dir)
     return s.select("split", "LineId", F.array_join("ParameterList.tokens", " ").alias("param_text"),
                     F.col("ParameterList.gap").alias("gap"))
+
+
+@register("log_path_anomalies", X1_MINING + """,
+win AS (
+  SELECT * FROM (
+    SELECT split, LineId, seq, lag(EventId, 3) OVER w AS c1, lag(EventId, 2) OVER w AS c2, lag(EventId, 1) OVER w AS c3,
+           EventId AS y FROM sl WINDOW w AS (PARTITION BY split ORDER BY seq)) WHERE seq >= 4),""" + PATH_MODEL + f"""
+SELECT split, LineId, y AS EventId, level, rank FROM scored WHERE rank IS NULL OR rank > {LOG_TOP_K}""")
+def q_log_path_anomalies(spark, sf_dir):
+    """M3 on the mined log: structured test rows whose event is not the expected one."""
+    s = MI.structured_event_log(spark, sf_dir)
+    return PATH.log_path(s, top_k=LOG_TOP_K).select("split", "LineId", "EventId", "level", "rank")
+
+
+@register("log_null_events", X1_MINING + """
+SELECT split, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (EventId IS NULL) AS BIGINT) AS n_unmatched
+FROM sl GROUP BY split""")
+def q_log_null_events(spark, sf_dir):
+    """Q26: lines of the structured log without an event, per split."""
+    return PATH.null_events(MI.structured_event_log(spark, sf_dir))

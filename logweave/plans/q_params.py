@@ -187,6 +187,10 @@ def q_group_rows(spark, sf_dir):
     return r.select("split", "EventId", "k", "LineId", "Content")
 
 
+# Fixed value: the keys that the wide export has a column for.
+X1_EVENT_IDS = (1, 2, 3, 4, 5)
+
+
 @register("pivot_by_event", P + """
 SELECT split, k, max(CASE WHEN EventId = 1 THEN LineId END) AS e1, max(CASE WHEN EventId = 2 THEN LineId END) AS e2,
        max(CASE WHEN EventId = 3 THEN LineId END) AS e3, max(CASE WHEN EventId = 4 THEN LineId END) AS e4,
@@ -196,7 +200,14 @@ def q_pivot_by_event(spark, sf_dir):
     """Wide export, one column per key, rows by position within the key."""
     from logweave.operators.wide import pivot_by_key
     r = rows(spark, sf_dir)
-    return pivot_by_key(r, ["split", "k"], "EventId", "LineId", prefix="e")
+    return pivot_by_key(r, ["split", "k"], "EventId", "LineId", X1_EVENT_IDS, prefix="e")
+
+
+@register("long_by_event", P + " SELECT split, k, EventId, LineId FROM pk")
+def q_long_by_event(spark, sf_dir):
+    """The export in long form, for any number of keys."""
+    from logweave.operators.wide import long_form
+    return long_form(rows(spark, sf_dir), ["split", "k"], "EventId", "LineId")
 
 
 @register("trace_anomalies", P + """

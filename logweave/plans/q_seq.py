@@ -10,12 +10,10 @@ from logweave.operators.order import dense_index, time_gap
 from logweave.operators.parse import parse_log, parsed_rows
 from logweave.plans import path as PATH
 from logweave.plans.catalog import register
+from logweave.plans.mining import EVENTS_TRAIN_BEFORE
 from logweave.plans.oracle_views import LI_SEQ, X1_LINES, with_views
 from logweave.sources.derived import conversation_roles, event_log_lines
 
-# Fixed value: X1 train / test split point (event time).
-EVENTS_TRAIN_BEFORE = "2024-01-16 00:00:00"
-
 X1 = with_views(X1_LINES)
 LI = with_views(LI_SEQ)
 

@@ -26,6 +26,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+               .config("spark.logweave.scan.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("LOGWEAVE_DRIVER_MEMORY", "16g")))
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)

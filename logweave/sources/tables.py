@@ -25,14 +25,12 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
 
 
 def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash-repartition ``df`` by ``cols`` only when the scan gives fewer
-    partitions than the cluster's default parallelism.
+    """Hash-repartition ``df`` by ``cols`` into the number of partitions that the
+    setting ``spark.logweave.scan.partitions`` names; unchanged when unset.
 
-    A large input already arrives in many splits and is left alone; a single
-    big row group (one scan task) would otherwise run all per-row CPU work
-    (regexes, tokenising) in one task.
+    For tables of one small file with one row group, which a scan cannot split
+    (the test tables). Whether rows are dealt anew is up to the setting alone,
+    never to the data.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *cols)
+    target = df.sparkSession.conf.get("spark.logweave.scan.partitions", None)
+    return df.repartition(int(target), *cols) if target else df

@@ -37,28 +37,33 @@ def number_lines(raw: DataFrame, value_col: str = "value", across_files: bool =
     w = Window.partitionBy(*part).orderBy("file_path", "block_start").rowsBetween(Window.unboundedPreceding, -1)
     # one row per input split: small and bounded by the number of splits
     offsets = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    return (tagged.join(offsets.select("file_path", "block_start", "_first_mid", "_offset"),
-                        ["file_path", "block_start"])
+    offsets = offsets.select("file_path", "block_start", "_first_mid", "_offset")
+    return (tagged.join(F.broadcast(offsets), ["file_path", "block_start"])
             .select("file_path",
                     (F.col("_offset") + (F.col("_mid") - F.col("_first_mid")) + 1).alias("line_id"),
                     "line"))
 
 
 def read_lines(spark: SparkSession, paths, log_name: str | None = None, split: str | None = None,
-               binary_safe: bool = True, across_files: bool = False) -> DataFrame:
+               binary_safe: bool = True, across_files: bool = False, numbered: bool = True) -> DataFrame:
     """Read text logs into ``(log_name, split, file_path, line_id, line, utf8_ok)``.
 
+    Line numbers take a second look at the files (a count per split); without
+    ``numbered`` they are left out and ``line_id`` is null.
+
     With ``binary_safe`` the files are read as bytes per line so that a bad
     UTF-8 byte becomes a reject instead of a silently replaced character (S3).
     """
     if isinstance(paths, str):
         paths = [paths]
     raw = spark.read.text(paths)
-    numbered = number_lines(raw, across_files=across_files)
-    out = numbered.withColumn("utf8_ok", F.lit(True))
-    if binary_safe:
-        # the text reader keeps raw bytes; a bad byte is detected, not replaced
-        out = numbered.withColumn("utf8_ok", F.expr("is_valid_utf8(line)"))
+    if numbered:
+        out = number_lines(raw, across_files=across_files)
+    else:
+        out = raw.select(F.col("_metadata.file_path").alias("file_path"), F.lit(None).cast("long").alias("line_id"),
+                         F.col("value").alias("line"))
+    # the text reader keeps raw bytes; a bad byte is detected, not replaced
+    out = out.withColumn("utf8_ok", F.expr("is_valid_utf8(line)") if binary_safe else F.lit(True))
     return out.select(F.lit(log_name).cast("string").alias("log_name"),
                       F.lit(split).cast("string").alias("split"),
                       "file_path", "line_id", "line", "utf8_ok")

@@ -53,3 +53,15 @@ def test_edit(spark):
     assert as_dict(FQ.delete(f, "a")) == {"b": 1}
     assert as_dict(FQ.setdefault(f, "a", 9)) == {"a": 2, "b": 1}
     assert as_dict(FQ.setdefault(f, "z", 9)) == {"a": 2, "b": 1, "z": 9}
+
+
+def test_a_null_sample_is_a_sample(spark):
+    a = spark.createDataFrame([("x", 3), (None, 2)], "sample string, cnt long")
+    b = spark.createDataFrame([("y", 1), (None, 5)], "sample string, cnt long")
+    assert as_dict(FQ.delete(a, "x")) == {None: 2}
+    assert as_dict(FQ.delete(a, None)) == {"x": 3}
+    assert as_dict(FQ.set_count(a, "x", 9)) == {"x": 9, None: 2}
+    assert as_dict(FQ.setdefault(a, None, 7)) == {"x": 3, None: 2}
+    assert as_dict(FQ.intersect_min(a, b)) == {None: 2}
+    assert as_dict(FQ.add(a, b)) == {"x": 3, "y": 1, None: 7}
+    assert FQ.compare(a, a).first().eq and not FQ.compare(a, b).first().le

@@ -83,12 +83,9 @@ def test_leaf_parallel_equals_sequential(spark, seed, max_children):
     cat = T.catalogue(T.mine(keyed)).orderBy("cluster_id").collect()
     assert [(r.template, r.size) for r in cat] == sequential_mine(lines, max_children=max_children)
     cat2 = T.catalogue(T.mine(keyed))
-    got = {}
-    for strategy in ("direct", "distinct"):
-        got[strategy] = sorted((r.pos, r.EventId) for r in T.match(keyed, cat2, strategy).collect())
+    a = sorted((r.pos, r.EventId) for r in T.match(keyed, cat2).collect())
     b = sorted((r.pos, r.EventId) for r in T.match_join(keyed, cat2).collect())
-    a = got["direct"]
-    assert a == b == got["distinct"]
+    assert a == b
     # with templates fitted on every line, each line matches some template
     assert all(e is not None for _, e in a)
 
@@ -110,3 +107,45 @@ def test_tokenize_and_values(spark):
     v = spark.range(1).select(T.template_values(F.array(*[F.lit(x) for x in ["u", "7", "x"]]),
                                                 F.array(*[F.lit(x) for x in ["u", PARAM, PARAM]])).alias("v"))
     assert v.first().v == ["7", "x"]
+
+
+def test_new_lines_are_routed_by_the_tree_that_mined(spark):
+    """Foreign lines meet the catalogue's own leaves, whatever first words they have themselves."""
+    mined = [[f, "x", str(k % 3)] for k, f in enumerate(["alpha", "beta", "alpha", "gamma", "gamma", "delta"])]
+    new = [["omega", "x", "1"], ["gamma", "x", "9"], ["alpha", "y", "z"], ["delta", "x", "2"], ["beta"]]
+    rows = lambda lines: spark.createDataFrame(list(enumerate(lines)), "pos long, tokens array<string>")
+    own = T.own_leaves(rows(mined), max_children=3)
+    assert sorted((r.n_tokens, r.first) for r in own.collect()) == [(3, "alpha"), (3, "beta")]
+    cat = T.catalogue(T.mine(T.route(rows(mined), own)))
+    got = {r.pos: r.EventTemplate for r in T.match(T.route(rows(new), own), cat).collect()}
+    leaves = {}
+    for r in cat.collect():
+        leaves.setdefault((r.n_tokens, r.leaf_token), []).append(r.tokens)
+    for pos, toks in enumerate(new):
+        leaf = None if len(toks) < 2 else toks[0] if toks[0] in ("alpha", "beta") else PARAM
+        fits = [t for t in leaves.get((len(toks), leaf), []) if all(a in (PARAM, b) for a, b in zip(t, toks))]
+        assert (got[pos] is not None) == bool(fits), toks
+    assert got[3] is not None and got[4] is None
+
+
+def test_a_hot_leaf_is_matched_by_several_tasks(spark):
+    df = spark.range(3000).select("id", F.array(F.lit("hot"), F.concat(F.lit("w"), F.col("id").cast("string"))).alias("tokens"))
+    keyed = T.leaf_keys(df.withColumnRenamed("id", "pos"))
+    assert keyed.select("leaf_token").distinct().count() == 1
+    cat = T.catalogue(T.mine(keyed))
+    both = T._sorted_match_input(keyed.select("n_tokens", "leaf_token", "tokens").distinct(), cat, ["n_tokens", "leaf_token", "tokens"])
+    sizes = [n for n in both.where("_kind = 1").rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect() if n]
+    assert len(sizes) > 1 and max(sizes) < 3000
+    assert T.match(keyed, cat).where("match = 1").count() == 3000
+
+
+def test_line_order_holds_beyond_32_bits(spark):
+    big = 2**33
+    df = spark.createDataFrame([(big, 2), (big, 1), (2**41, 0), (5, 2**40)], "hi long, lo long")
+    got = [tuple(r) for r in df.orderBy(T.order_key(F.col("hi"), F.col("lo"))).collect()]
+    assert got == [(5, 2**40), (big, 1), (big, 2), (2**41, 0)]
+
+
+def test_a_user_rule_is_not_guarded_by_its_name(spark):
+    df = spark.createDataFrame([("port abc down",)], "c string")
+    assert T.mask_column(df, "c", "m", [("abc", "NUM")]).first().m == "port <:NUM:> down"
