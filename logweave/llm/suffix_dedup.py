@@ -8,8 +8,9 @@ else too (same text included; overlaps count; judged on the input).
    and neighbours mostly share it, so a text becomes a few *pieces*: a run of
    starts with one anchor. An anchor that occurs once in all texts cannot hold
    a repeat; its pieces are never shipped.
-2. *Pieces.* Equal pieces (by a 128-bit digest) are counted, and the bytes of
-   one of them are shipped. An anchor with very many different pieces (a common
+2. *Pieces.* Equal pieces (by a 128-bit digest) are counted. A piece met twice
+   repeats by that alone; where an anchor has pieces met once, the bytes of one
+   of each of its pieces are shipped. An anchor with very many different pieces (a common
    line in ever new surroundings) is split: its windows are routed one by one by
    their own digest, and a digest met twice is a repeat.
 3. *Column-wise construction* (one bucket of pieces at a time): each round adds
@@ -36,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +47,7 @@ from logweave.llm.common import (BYTE_CODE, _power_tables, likely_rows, material
 
 SPAN = 200
 ANCHOR = 64
-UNIT = 8
+UNIT = 20
 DEPTH = SPAN // UNIT
 # Different pieces of one anchor above which its windows are routed one by one.
 HOT_PIECES = 2_000
@@ -124,18 +126,26 @@ def _digest(piece: bytes) -> tuple[int, int]:
     return int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
 
 
+def _fields(lists: pa.ListArray) -> tuple[np.ndarray, pa.StructArray]:
+    """Lengths and flattened structs of a list column."""
+    return np.diff(lists.offsets.to_numpy()), lists.flatten()
+
+
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Where each piece is: text key, start, number of starts, anchor, digest of the piece."""
     for b in batches:
-        rows: list[tuple] = []
-        for did, key, text, found in zip(*(b.column(i) for i in range(4))):
-            raw, did, key = text.as_buffer().to_pybytes(), did.as_py(), key.as_py()
-            rows += [(did, key, f["start"], f["width"], f["anchor"], *_digest(raw[f["start"]:f["start"] + f["width"] + SPAN - 1]))
-                     for f in found.as_py()]
-        cols = list(zip(*rows)) or [[]] * 7
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                         ["did", "dkey", "start", "width", "anchor", "p1", "p2"])
+        raw, off = text_bytes(b.column(2))
+        data = raw.tobytes()
+        n, found = _fields(b.column(3))
+        start, width = (found.field(x).to_numpy().astype(np.int64) for x in ("start", "width"))
+        lo = start + np.repeat(off[:-1], n)
+        digests = b"".join([xxhash.xxh3_128_digest(data[x:y]) for x, y in zip(lo.tolist(), (lo + width + SPAN - 1).tolist())])
+        pair = np.frombuffer(digests, ">i8").astype(np.int64).reshape(-1, 2)
+        row = np.repeat(np.arange(len(b)), n)
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), found.field("start"), found.field("width"),
+             found.field("anchor"), pa.array(pair[:, 0]), pa.array(pair[:, 1])],
+            ["did", "dkey", "start", "width", "anchor", "p1", "p2"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,6 +207,18 @@ def repeated_starts(pieces: list[bytes], counts: list[int], folder: str | None =
     return out
 
 
+def _symbols(raw: bytes) -> np.ndarray:
+    """A number for the UNIT bytes from each place on; equal numbers for equal bytes only."""
+    width = 8
+    ranks = np.ndarray((len(raw) - width + 1,), "<u8", raw, strides=(1,))
+    ranks = np.unique(ranks, return_inverse=True)[1]
+    while width < UNIT:  # equal now and some bytes on: equal over both stretches
+        step = min(width, UNIT - width)
+        ranks = np.unique(ranks[:-step] * len(raw) + ranks[step:], return_inverse=True)[1]
+        width += step
+    return ranks.astype(np.int32)
+
+
 def _construct(pieces: list[bytes], scratch: str) -> np.ndarray:
     raw = b"".join(pieces)
     sizes = np.array([len(p) for p in pieces], np.int64)
@@ -204,10 +226,7 @@ def _construct(pieces: list[bytes], scratch: str) -> np.ndarray:
     mark = np.zeros(len(raw), bool)
     if len(raw) < SPAN:
         return mark
-    units = np.ndarray((len(raw) - UNIT + 1,), ">u8", raw, strides=(1,)).astype(np.uint64)
-    _, ranks = np.unique(units, return_inverse=True)
-    ranks = ranks.astype(np.int32)
-    del units
+    ranks = _symbols(raw)
     # one string per piece and phase: its first start and its number of whole symbols
     head = (base[:, None] + np.arange(UNIT)).ravel()
     room = ((sizes[:, None] - np.arange(UNIT)) // UNIT).ravel()
@@ -254,8 +273,8 @@ def _prefixes(merged: dict[str, np.ndarray], common: np.ndarray, new: np.ndarray
     and those share the minimum over the positions between them.
     """
     n = len(merged["first"])
-    at = np.union1d(new, new + 1)
-    at = at[(at > 0) & (at < n)]
+    at = np.sort(np.concatenate([new, new + 1]), kind="stable")
+    at = at[(np.diff(at, prepend=0) > 0) & (at < n)]  # each once, the very first place left out
     same = merged["first"][at] == merged["first"][at - 1]
     merged["common"][at[~same]] = 0
     at = at[same]
@@ -296,19 +315,27 @@ def _bucket(t: pa.Table) -> pa.Table:
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Remove the bytes that repeated starts cover."""
     for b in batches:
+        raw, off = text_bytes(b.column(1))
+        n, marks = _fields(b.column(2))
+        bits = marks.field("bits")
+        packed = np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in bits), np.uint8)
+        sizes = 8 * pc.binary_length(bits).to_numpy(zero_copy_only=False).astype(np.int64)
+        base = marks.field("start").to_numpy().astype(np.int64) + np.repeat(off[:-1], n) - (np.cumsum(sizes) - sizes)
+        on = np.flatnonzero(np.unpackbits(packed))
+        start = on + np.repeat(base, sizes)[on]
+        seen = np.zeros(len(raw) + SPAN, np.int64)  # starts up to here; a span that begins in a text ends in it
+        seen[start + SPAN - 1] = 1
+        seen = np.cumsum(seen > 0)
+        gone = np.empty(len(raw), bool)
+        gone[:] = seen[SPAN - 1:SPAN - 1 + len(raw)] > np.concatenate([[0], seen])[:len(raw)]
         rows = []
-        for did, text, found in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
-            raw = np.frombuffer(text.as_buffer().to_pybytes(), np.uint8)
-            edge = np.zeros(len(raw) + 1, np.int32)
-            for f in found or []:
-                bits = np.flatnonzero(np.unpackbits(np.frombuffer(f["bits"], np.uint8))) + f["start"]
-                np.add.at(edge, bits, 1)
-                np.add.at(edge, bits + SPAN, -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
-            rows.append((did, len(raw), int(gone.sum()), spans, hashlib.sha256(raw[~gone].tobytes()).hexdigest(),
-                         raw[~gone].tobytes()))
+        for did, lo, hi in zip(b.column(0).to_pylist(), off[:-1], off[1:]):
+            g = gone[lo:hi]
+            kept = raw[lo:hi][~g].tobytes()
+            spans = int(np.count_nonzero(np.diff(g.astype(np.int8), prepend=0) == 1))
+            rows.append((did, int(hi - lo), int(g.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
         cols = list(zip(*rows)) or [[]] * 6
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
@@ -340,9 +367,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         _places, "did long, dkey long, start int, width int, anchor long, p1 long, p2 long"), "suffix-places")
     pieces = places.groupBy("anchor", "p1", "p2").agg(
         F.count("*").alias("n"), F.min(F.struct("did", "dkey", "start", "width")).alias("at"))
-    per_anchor = pieces.groupBy("anchor").agg(F.count("*").alias("c"))
-    chosen = materialize(pieces.join(per_anchor, "anchor")
-                         .select("at.*", "anchor", "n", (F.col("c") > HOT_PIECES).alias("hot")), "suffix-chosen")
+    per_anchor = pieces.groupBy("anchor").agg(F.count("*").alias("c"), F.min("n").alias("least"))
+    chosen = materialize(pieces.join(per_anchor, "anchor").select(
+        "at.*", "anchor", "n", "p1", "p2", (F.col("c") > HOT_PIECES).alias("hot"), (F.col("least") > 1).alias("plain")),
+        "suffix-chosen")
+    # one bit for every start of the piece, the rest of the last byte 0
+    bits = F.unhex(F.expr("concat(repeat('FF', width div 8), if(width % 8 = 0, '', hex(cast(256 - shiftleft(1, 8 - width % 8) as bigint))))"))
+    plain = chosen.filter("plain").select("p1", "p2", F.lit(0).alias("shift"), bits.alias("bits"))
+    chosen = chosen.filter("not plain")
     total = chosen.filter("not hot").agg(F.sum(F.col("width") + SPAN - 1)).first()[0] or 0
     buckets = int(total // BUCKET_BYTES) + 1
 
@@ -357,7 +389,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     windows = cut(chosen.filter("hot")).mapInArrow(_windows, "p1 long, p2 long, shift int, w1 long, w2 long, n long")
     again = windows.groupBy("w1", "w2").agg(F.sum("n").alias("c")).filter("c > 1").select("w1", "w2")
     hot = windows.join(again, ["w1", "w2"], "left_semi").select("p1", "p2", "shift", F.unhex(F.lit("80")).alias("bits"))
-    found = materialize(usual.select("p1", "p2", F.lit(0).alias("shift"), "bits").unionByName(hot), "suffix-found")
+    found = usual.select("p1", "p2", F.lit(0).alias("shift"), "bits").unionByName(hot).unionByName(plain)
+    found = materialize(found, "suffix-found")
 
     per_doc = (places.join(found, ["p1", "p2"]).groupBy("did", "dkey")
                .agg(F.collect_set(F.struct((F.col("start") + F.col("shift")).alias("start"), "bits")).alias("marks")))
