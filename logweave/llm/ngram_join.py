@@ -19,7 +19,7 @@ shingles (64-bit hashes); two sets link when 100 x overlap >= percent x union.
    Two rounds give each text one bucket, by its first unresolved shingle.
 4. Shingles whose holders are still in several components are traversed whole,
    with bitmaps only (blocks against blocks where holders are many); the pairs
-   left, across components, are compared exactly.
+   left, across components, that share enough prefix shingles are compared exactly.
 5. Components of all links found.
 
 No text, no words: the set is empty and links with nothing. Null ids: rows are
@@ -167,20 +167,19 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def join_sets(ids: list[int], sets: list[np.ndarray], known: list[int], percent: int) -> list[tuple[int, int]]:
-    """Links (a spanning set of them) between sets that are not yet in one known component."""
+    """New links between known components of the sets: each joined component with the smallest it is now one with."""
     order = sorted(range(len(ids)), key=lambda k: (len(sets[k]), ids[k]))
     ids, sets, known = ([x[k] for k in order] for x in (ids, sets, known))
-    label = np.unique(np.array(known, np.int64), return_inverse=True)[1]
+    names, label = np.unique(np.array(known, np.int64), return_inverse=True)
+    own = label.copy()
     sizes = np.array([len(s) for s in sets], np.int64)
     bits = np.array([bitmap(s) for s in sets], np.uint8).view(np.uint64)
-    found = []
     for i, j in Tree(sizes, bits, percent).pairs():
         apart = label[i] != label[j]
         for a, b in zip(i[apart].tolist(), j[apart].tolist()):
             if label[a] != label[b] and linked(sets[a], sets[b], percent):
-                found.append((ids[a], ids[b]))
-                label[label == label[b]] = label[a]
-    return found
+                label[np.isin(label, [label[a], label[b]])] = min(label[a], label[b])  # names rise with labels
+    return sorted({(int(names[o]), int(names[m])) for o, m in zip(own, label) if o != m})
 
 
 def _frequent(width: int, percent: int):
@@ -291,7 +290,9 @@ def _cross(percent: int):
                 if key[1] != key[2]:
                     ok &= block[i] != block[j]
                 u, v = ids[i[ok]], ids[j[ok]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+                need = np.maximum(1, sizes[i[ok]] // SHARE)  # sizes rise, so that of the smaller set
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(need)],
+                                                 ["u", "v", "need"])
     return run
 
 
@@ -299,7 +300,7 @@ def _verify(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = [linked(x, y, percent) for x, y in zip(sets_of(b.column(2), width), sets_of(b.column(3), width))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(ok, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(0)], ["u", "v"]).filter(pa.array(ok, pa.bool_()))
     return run
 
 
@@ -349,10 +350,9 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
         .withColumn("rid", F.monotonically_increasing_id()), "join-sets")
     of_docs = materialize(described.select("doc_id", "row_key", "n", "d1", "d2"), "join-docs")
     drop_table(described)
-    prefixes = sets.select("rid", F.posexplode("tokens").alias("at", "token"))
+    prefixes = sets.select("rid", F.explode("tokens").alias("token"))
     entries = materialize(_shared(_shared(prefixes, sets, percent), sets, percent)
-                          .join(sets.select("rid", "n"), "rid").filter(F.col("at") < _prefix_column(percent))
-                          .select("rid", "n", "token"), "join-prefixes")
+                          .join(sets.select("rid", "n"), "rid").select("rid", "n", "token"), "join-prefixes")
     common = entries.groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1")
     entries = materialize(entries.join(common, "token"), "join-entries")
     load = materialize(entries.groupBy("token").agg(F.sum("n").alias("load")), "join-load")
@@ -369,22 +369,20 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     texts = materialize(likely_rows(docs.select("row_key", "text"), "row_key", start).join(start, "row_key")
                         .dropDuplicates(["rid"]), "join-texts")
 
-    edges = _compared(texts, width, percent, spark)
-    edges = materialize(edges, "join-edges")
-    label = _label(edges)
+    # every set is in one part: the links found are its component already
+    label = materialize(_compared(texts, width, percent, spark).select(F.col("u").alias("rid"), F.col("v").alias("component")),
+                        "join-label")
     left = materialize(_unresolved(entries, label), "join-left")
     again = route(left, 1).join(texts.select("rid", "text"), "rid")
-    edges = materialize(edges.unionByName(_compared(again, width, percent, spark)), "join-edges")
-    label = _label(edges)
+    label = _merged(label, _compared(again, width, percent, spark))
     left = materialize(_unresolved(entries, label), "join-left")
 
     pairs = materialize(_candidates(left, sets, percent, spark), "join-pairs")
     one = (pairs.groupBy("cu", "cv").agg(F.min(F.struct(F.xxhash64("u", "v"), "u", "v")).alias("p"))
-           .select("p.u", "p.v"))
-    edges = materialize(edges.unionByName(_exact(one, texts, width, percent)), "join-edges")
-    rest = _labelled(pairs.select("u", "v"), _label(edges)).filter("cu <> cv").select("u", "v")
-    edges = materialize(edges.unionByName(_exact(rest, texts, width, percent)), "join-edges")
-    label = _label(edges)
+           .select("cu", "cv", "p.u", "p.v"))
+    label = _merged(label, _exact(one, texts, width, percent))
+    rest = _labelled(pairs.select("u", "v"), label).filter("cu <> cv")
+    label = _merged(label, _exact(rest, texts, width, percent))
     drop_table(texts)
     drop_table(entries)
 
@@ -392,12 +390,8 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return materialize(of_docs.join(named, ["d1", "d2"], "left").select("doc_id", "row_key", "n", "component"), "join-groups")
 
 
-def _prefix_column(percent: int):
-    return F.col("n") + 1 + F.floor(-F.col("n") * percent / 100)
-
-
 def _shared(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Entries (rid, at, token) whose shingle has another holder, of the sets that have enough of them.
+    """Entries (rid, token) whose shingle has another holder, of the sets that have enough of them.
 
     The partner may be as small as ``percent`` of the set, and then need only share its own twentieth."""
     common = entries.groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1").select("token")
@@ -415,8 +409,18 @@ def _compared(routed: DataFrame, width: int, percent: int, spark) -> DataFrame:
             .mapInArrow(_compare(width, percent), "u long, v long"))
 
 
-def _label(edges: DataFrame) -> DataFrame:
-    return materialize(components(edges), "join-label").withColumnRenamed("node", "rid")
+def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The (rid, component) table after joining the components that ``links`` (u, v) name."""
+    links = materialize(links, "join-links")
+    if links.isEmpty():
+        return label
+    now = materialize(components(links), "join-merged")
+    known = label.join(now, label["component"] == now["node"], "left").select(
+        "rid", F.coalesce(now["component"], label["component"]).alias("component"))
+    # a component of one set has no row so far
+    alone = now.filter("node <> component").join(label, now["node"] == label["rid"], "left_anti").select(
+        F.col("node").alias("rid"), "component")
+    return materialize(known.unionByName(alone), "join-label")
 
 
 def _unresolved(entries: DataFrame, label: DataFrame) -> DataFrame:
@@ -435,7 +439,9 @@ def _candidates(left: DataFrame, sets: DataFrame, percent: int, spark) -> DataFr
             .select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
                     "rid", "component", "n", "bits", "block"))
     pairs = (wide.repartition(4 * shuffle_partitions(spark), "token", "x", "y").sortWithinPartitions("token", "x", "y")
-             .mapInArrow(_cross(percent), "u long, v long").distinct())
+             .mapInArrow(_cross(percent), "u long, v long, need long")
+             .groupBy("u", "v").agg(F.count("*").alias("common"), F.max("need").alias("need"))
+             .filter("common >= need").select("u", "v"))  # linked sets share so many prefix shingles
     return _labelled(pairs, left.select("rid", "component").distinct())
 
 
@@ -447,7 +453,7 @@ def _labelled(pairs: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def _exact(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (u, v) of components: those of the pairs (cu, cv, u, v) whose sets u and v link."""
     joined = (pairs.join(texts.select(F.col("rid").alias("u"), F.col("text").alias("a")), "u")
-              .join(texts.select(F.col("rid").alias("v"), F.col("text").alias("b")), "v").select("u", "v", "a", "b"))
+              .join(texts.select(F.col("rid").alias("v"), F.col("text").alias("b")), "v").select("cu", "cv", "a", "b"))
     return joined.mapInArrow(_verify(width, percent), "u long, v long")
-
