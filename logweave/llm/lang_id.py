@@ -99,17 +99,19 @@ class Model:
                     counts.setdefault(gram, np.zeros(len(langs)))[at[lang]] = n
             total = np.array([totals.get((width, lang), 0) for lang in langs], float)
             low = np.log(total + SMOOTH * (len(counts) + 1))
-            self.tables[width] = {g: np.log(c + SMOOTH) - low for g, c in counts.items()}
+            self.tables[width] = {g: (np.log(c + SMOOTH) - low).tolist() for g, c in counts.items()}
 
-    def word(self, w: str) -> np.ndarray:
+    def word(self, w: str) -> list[float]:
+        """Score of a word in each language."""
         known = self.tables[0].get(w)
         if known is not None:
             return known
         for n in ORDERS:
-            found = [v for g in grams_of(w, n) if (v := self.tables[n].get(g)) is not None]
+            get = self.tables[n].get
+            found = [v for g in grams_of(w, n) if (v := get(g)) is not None]
             if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.langs))
+                return [sum(x) / len(found) for x in zip(*found)]
+        return [0.0] * len(self.langs)
 
 
 def _often(counts: DataFrame, width, most: int) -> tuple[DataFrame, DataFrame]:
