@@ -137,3 +137,44 @@ def test_stream_drops_rows_later_than_watermark(spark, tmp_path):
     b_kept = b_late + 23
     assert out[("messages", b_late)] == 0      # the late error row did not change the closed bucket
     assert out[("messages", b_kept)] == 1      # the in-watermark error row did
+
+
+def test_ar3_equals_least_squares_on_all_rows(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    rows = []
+    for event in (1, 2):
+        series = rng.normal(size=(60, 2)).cumsum(axis=0)
+        for k in range(3, 60):
+            rows.append((event, *[series[k - 3 + i].tolist() for i in range(3)], series[k].tolist()))
+    df = spark.createDataFrame(rows, "EventId int, x1 array<double>, x2 array<double>, x3 array<double>, y array<double>").repartition(4)
+    got = {(r.EventId, r.dim): r.coef for r in PV.fit_ar3(df).collect()}
+    for event in (1, 2):
+        own = [r for r in rows if r[0] == event]
+        for dim in (0, 1):
+            x = np.array([[1.0, r[1][dim], r[2][dim], r[3][dim]] for r in own])
+            y = np.array([r[4][dim] for r in own])
+            assert np.allclose(got[event, dim], np.linalg.lstsq(x, y, rcond=None)[0], atol=1e-6)
+
+
+def test_scores_of_distinct_windows_equal_the_rule(spark):
+    from collections import Counter
+
+    from logweave.operators import nextevent as NE
+    import random
+    rnd = random.Random(5)
+    seq = [rnd.randint(1, 5) for _ in range(300)]
+    win = [tuple(seq[i:i + 4]) for i in range(len(seq) - 3)]
+    train, test = win[:200], win[200:] + [(9, 9, 9, 1), (9, 9, 9, 77), (9, 1, 2, 3)]
+    cols = "c1 int, c2 int, c3 int, y int"
+    model = NE.fit(spark.createDataFrame(train, cols))
+    got = Counter((r.c1, r.c2, r.c3, r.y, r.level, r["rank"]) for r in NE.score(spark.createDataFrame(test, cols), model, 2).collect())
+    want = Counter()
+    for w in test:
+        for level in (3, 2, 1, 0):
+            seen = Counter(t[3] for t in train if t[3 - level:3] == w[3 - level:3])
+            if seen:
+                order = sorted(seen, key=lambda y: (-seen[y], y))
+                want[(*w, level, order.index(w[3]) + 1 if w[3] in seen else None)] += 1
+                break
+    assert got == want
