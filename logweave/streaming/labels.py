@@ -22,12 +22,17 @@ BUCKET = "5 minutes"
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None,
                  pattern: str = "events.parquet", schema=None) -> DataFrame:
-    """The ``events`` table (files matching ``pattern`` in ``sf_dir``) as a file stream."""
+    """The ``events`` table as a file stream: all part files if ``pattern`` names a folder in
+    ``sf_dir``, otherwise the files in ``sf_dir`` that match it."""
     schema = schema or table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(sf_dir)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{pattern}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    if found and any(f.isDirectory() for f in found):
+        return reader.parquet(path.toString())
+    return reader.option("pathGlobFilter", pattern).parquet(sf_dir)
 
 
 def stream_log_lines(events: DataFrame) -> DataFrame:

@@ -178,3 +178,10 @@ def test_scores_of_distinct_windows_equal_the_rule(spark):
                 want[(*w, level, order.index(w[3]) + 1 if w[3] in seen else None)] += 1
                 break
     assert got == want
+
+
+def test_stream_reads_a_folder_of_part_files(spark, tmp_path):
+    whole = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    whole.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    got = SL.stream_bucket_labels(spark, str(tmp_path)).collect()
+    assert got and sorted(got) == sorted(SL.stream_bucket_labels(spark, SF_SMALL).collect())
