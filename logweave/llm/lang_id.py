@@ -1,12 +1,15 @@
 """Language identification by word-first backoff.
 
-Words are maximal runs of letters, lower-cased. A word that the training texts
-use often enough in some language ("known": a share of at least 1 / ``WORDS``
-of that language's words, so at most ``WORDS`` words a language) scores its log
-frequency in each language. Any other word falls back to its character 4-grams
-(with edge marks), and if none of them is known, to its 3-grams, 2-grams and
-1-grams; it scores the mean log frequency of the known ones. All training texts
-are counted in full; the model kept is bounded by languages x (WORDS + 4 x GRAMS).
+Words are maximal runs of letters, lower-cased. A word that occurs in the training
+texts ("known") scores its log frequency in each language. Any other word falls
+back to its character 4-grams (with edge marks), and if none of them is known, to
+its 3-grams, 2-grams and 1-grams; it scores the mean log frequency of the known ones.
+
+All training texts are counted in full. Words with a share of at least 1 / ``WORDS``
+in some language are kept at hand in every task; the counts of all others stay a
+distributed table, which meets the distinct words of each chunk of texts by a join.
+Of the n-grams, those with a share of at least 1 / ``GRAMS`` in some language are
+kept, so the model kept at hand is bounded by languages x (WORDS + 4 x GRAMS).
 
 A null text or one without a letter gets ``und`` with score 0. The score of the
 others is the posterior of the best language (0 to 1); ties go to the first
@@ -24,15 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm.common import materialize, small_batches
+from logweave.llm.common import materialize, shuffle_partitions, small_batches
 
 WORDS = 20_000
 GRAMS = 20_000
 ORDERS = (4, 3, 2, 1)
 # Added count of a word or gram that a language does not use.
 SMOOTH = 0.5
-# Entries a task holds before it hands them on.
+# Entries a task holds before it hands them on, and bytes of text scored in one chunk.
 HOLD = 400_000
+CHUNK_BYTES = 20_000_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -86,11 +90,13 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Log frequencies: ``tables[0]`` for words, ``tables[n]`` for n-grams; rows of the matrices by key."""
+    """Log frequencies: ``tables[0]`` for frequent words, ``tables[n]`` for n-grams; rows of the matrices by key.
+    ``words`` (lang, gram, n) has the counts of all ``n_words`` words; it stays on the driver's side."""
 
-    def __init__(self, langs: list[str], rows: list[tuple[int, str, str, int]], totals: dict[tuple[int, str], int]):
-        self.langs = langs
-        at = {lang: i for i, lang in enumerate(langs)}
+    def __init__(self, langs: list[str], rows: list[tuple[int, str, str, int]], totals: dict[tuple[int, str], int],
+                 words: DataFrame, n_words: int):
+        self.langs, self.words = langs, words
+        self.at = at = {lang: i for i, lang in enumerate(langs)}
         self.tables: dict[int, dict[str, np.ndarray]] = {}
         for width in (0, *ORDERS):
             counts: dict[str, np.ndarray] = {}
@@ -98,12 +104,24 @@ class Model:
                 if w == width:
                     counts.setdefault(gram, np.zeros(len(langs)))[at[lang]] = n
             total = np.array([totals.get((width, lang), 0) for lang in langs], float)
-            low = np.log(total + SMOOTH * (len(counts) + 1))
+            low = np.log(total + SMOOTH * ((len(counts) if width else n_words) + 1))
+            if not width:
+                self.low = low
             self.tables[width] = {g: (np.log(c + SMOOTH) - low).tolist() for g, c in counts.items()}
 
-    def word(self, w: str) -> list[float]:
-        """Score of a word in each language."""
-        known = self.tables[0].get(w)
+    def __getstate__(self):
+        return {**self.__dict__, "words": None}
+
+    def rare(self, counts: pa.Table) -> dict[str, list[float]]:
+        """Log frequencies of the words of ``counts`` (lang, gram, n)."""
+        found: dict[str, np.ndarray] = {}
+        for lang, w, n in zip(*(counts.column(c).to_pylist() for c in ("lang", "gram", "n"))):
+            found.setdefault(w, np.zeros(len(self.langs)))[self.at[lang]] = n
+        return {w: (np.log(c + SMOOTH) - self.low).tolist() for w, c in found.items()}
+
+    def word(self, w: str, rare: dict[str, list[float]] = {}) -> list[float]:  # noqa: B006
+        """Score of a word in each language; ``rare`` has the known words that are not at hand."""
+        known = self.tables[0].get(w) or rare.get(w)
         if known is not None:
             return known
         for n in ORDERS:
@@ -124,7 +142,7 @@ def _often(counts: DataFrame, width, most: int) -> tuple[DataFrame, DataFrame]:
 
 
 def train(labelled: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
-    """Count all words of ``labelled`` (lang, text); keep the bounded model on the driver."""
+    """Count all words of ``labelled`` (lang, text); the bounded part of the model is kept on the driver."""
     small_batches(labelled.sparkSession)
     rows = (labelled.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
             .filter(F.col("lang").isNotNull() & F.col("text").isNotNull()))
@@ -137,14 +155,16 @@ def train(labelled: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
         t, k = _often(counts, width, most)
         totals |= {(r["width"], r["lang"]): r["total"] for r in t.collect()}
         kept += [(r["width"], r["lang"], r["gram"], r["n"]) for r in k.collect()]  # at most languages**2 x most
-    return Model(sorted({lang for _, lang in totals}), kept, totals)
+    return Model(sorted({lang for _, lang in totals}), kept, totals, counted, counted.select("gram").distinct().count())
 
 
 class Predictor:
-    """Scores texts; the scores of words met before are kept at hand (and dropped when they are many)."""
+    """Scores texts; the scores of words met before are kept at hand (and dropped when they are many).
+    ``rare`` has the known words of the texts that are not at hand; without it all are fetched (small models only)."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, rare: dict[str, list[float]] | None = None):
         self.model, self.k = model, len(model.langs)
+        self.rare = model.rare(model.words.toArrow()) if rare is None else rare
         self.at: dict[str, int] = {}
         self.rows = np.zeros((1024, max(self.k, 1)))
 
@@ -161,45 +181,59 @@ class Predictor:
                 i = self.at[w] = len(self.at)
                 if i >= len(self.rows):
                     self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                self.rows[i] = self.model.word(w)
+                self.rows[i] = self.model.word(w, self.rare)
             ids.append(i)
         total = self.rows[np.array(ids)].sum(axis=0)
         best = int(total.argmax())
         return self.model.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def _predict(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predictor = Predictor(shared.value)
-        for b in batches:
-            found = [predictor(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                ["doc_id", "lang_pred", "score"])
+def _rare_words(shared):
+    """The distinct words of a chunk that are not at hand."""
+    def run(t: pa.Table) -> pa.Table:
+        near, found = shared.value.tables[0], set()
+        for text in t.column("text"):
+            found.update(words_of(text.as_py() or ""))
+        rare = [w for w in found if w not in near]
+        return pa.table([pa.array([t.column("_chunk")[0].as_py()] * len(rare), pa.int64()), pa.array(rare, pa.string())],
+                        names=["_chunk", "gram"])
     return run
 
 
-def _accept(shared, least: float, spot: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predictor = Predictor(shared.value)
-        for b in batches:
-            found = [predictor(t) for t in b.column(spot).to_pylist()]
-            yield b.filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
+def _score_chunk(shared, finish):
+    def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
+        predictor = Predictor(shared.value, shared.value.rare(counts))
+        return finish(docs, [predictor(t.as_py()) for t in docs.column("text")])
     return run
 
 
+def _scored(docs: DataFrame, model: Model, finish, schema) -> DataFrame:
+    """``finish`` (rows, predictions) of each chunk of ``docs``."""
+    spark: SparkSession = docs.sparkSession
+    shared = spark.sparkContext.broadcast(model)  # bounded: see the module text
+    text = F.col("text").cast("string")
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    chunks = max(int(size // CHUNK_BYTES) + 1, 2 * spark.sparkContext.defaultParallelism)
+    dealt = (docs.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).cast("long"))
+             .repartition(min(chunks, 4 * shuffle_partitions(spark)), "_chunk"))
+    words = dealt.select("_chunk", text.alias("text")).groupBy("_chunk").applyInArrow(_rare_words(shared), "_chunk long, gram string")
+    met = words.join(model.words, "gram").select("_chunk", "lang", "gram", "n")
+    return dealt.groupBy("_chunk").cogroup(met.groupBy("_chunk")).applyInArrow(_score_chunk(shared, finish), schema)
+
+
 def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` (all columns) whose language is told with a score of at least ``least``."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
-    return docs.mapInArrow(_accept(shared, least, docs.columns.index("text")), docs.schema)
+    columns = docs.columns
+
+    def finish(t: pa.Table, found: list[tuple[str, float]]) -> pa.Table:
+        return t.select(columns).filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
+    return _scored(docs, model, finish, docs.schema)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score for every row; only the text is looked at."""
-    spark: SparkSession = docs.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)  # bounded: see the module text
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(_predict(shared), "doc_id long, lang_pred string, score double"))
+    def finish(t: pa.Table, found: list[tuple[str, float]]) -> pa.Table:
+        return pa.table([t.column("doc_id"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                        names=["doc_id", "lang_pred", "score"])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _scored(rows, model, finish, "doc_id long, lang_pred string, score double")

@@ -75,3 +75,18 @@ def test_language_id_without_training_rows(spark):
     df = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
     model = G.train(spark.createDataFrame([], "text string, lang string"))
     assert [(r.lang_pred, r.score) for r in G.predict(df, model).collect()] == [("und", 0.0)]
+
+
+def test_every_word_of_the_training_texts_is_known(spark):
+    common = " ".join(["mono"] * 50)
+    df = spark.createDataFrame([(f"{common} abcd", "x"), (f"{common} abce abce abce", "y")], "text string, lang string")
+    model = G.train(df, words=2)
+    assert set(model.tables[0]) == {"mono"}
+    got = G.predict(spark.createDataFrame([(1, "abcd"), (2, "abce"), (3, None)], "doc_id long, text string"), model).collect()
+    rows = {r.doc_id: r for r in got}
+    low = [51 + 0.5 * 4, 53 + 0.5 * 4]  # three different words and one more
+    p = [1.5 / low[0], 0.5 / low[1]]
+    assert rows[1].lang_pred == "x" and rows[1].score == pytest.approx(p[0] / sum(p))
+    p = [0.5 / low[0], 3.5 / low[1]]
+    assert rows[2].lang_pred == "y" and rows[2].score == pytest.approx(p[1] / sum(p))
+    assert rows[3].lang_pred == "und"
