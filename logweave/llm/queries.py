@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import (chat_format, decontaminate, exact_dedup, html_text, lang_id, line_dedup, lm_score, ngram_join, packing,
-                          suffix_dedup)
+from logweave.llm import (chat_format, decontaminate, exact_dedup, filter_audit, html_text, lang_id, line_dedup, lm_score, ngram_join,
+                          packing, suffix_dedup)
 from logweave.llm.common import bucket_is, table
 from logweave.llm.registry import register
 
@@ -80,3 +80,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = lang_id.train(docs.filter(~held))
     out = lang_id.predict(docs, model)
     return out.select("doc_id", bucket_is("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@register("op13_filter_audit", filter_audit.ORACLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
