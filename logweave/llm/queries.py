@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.llm import (chat_format, decontaminate, exact_dedup, filter_audit, html_text, lang_id, line_dedup, lm_score, ngram_join,
-                          packing, prefix_trie, suffix_dedup)
+                          packing, prefix_trie, suffix_dedup, toxicity)
 from logweave.llm.common import bucket_is, table
 from logweave.llm.registry import register
 
@@ -87,6 +87,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+@register("op12_toxicity")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op13_filter_audit", filter_audit.ORACLE_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
