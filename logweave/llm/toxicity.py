@@ -168,10 +168,11 @@ class Lexicon:
         self.words, self.stems, self.clean = words, stems, clean
         self.lengths = sorted({len(s) for s in stems})
         self.auto: Automaton | None = None
-        self.known: dict[str, float] = {}
+        self.known: dict[str, float] = {}   # weights of terms met before
+        self.plain: set[str] = set()        # words met before that are no term
 
     def __getstate__(self):
-        return {**self.__dict__, "auto": None, "known": {}}
+        return {**self.__dict__, "auto": None, "known": {}, "plain": set()}
 
     def fuzzy(self, word: str) -> float:
         """Weight as a misspelling (0: none)."""
@@ -181,16 +182,27 @@ class Lexicon:
         return FUZZY * self.words[hit[0]] if hit is not None and hit[1] else 0.0
 
     def weight(self, word: str) -> float:
+        if word in self.plain:
+            return 0.0
         w = self.known.get(word)
         if w is None:
-            w = max([self.words.get(word, 0.0), *(self.stems.get(word[:n], 0.0) for n in self.lengths)])
+            w = self.words.get(word, 0.0)
+            for n in self.lengths:
+                w = max(w, self.stems.get(word[:n], 0.0))
             if not w and word not in self.clean:
                 w = self.fuzzy(word)
-            if len(self.known) > HOLD:
+            if len(self.plain) + len(self.known) > HOLD:
+                self.plain.clear()
                 self.known.clear()
-            self.known[word] = w
+            if w:
+                self.known[word] = w
+            else:
+                self.plain.add(word)
         return w
 
+    def any_term(self, words: list[str]) -> bool:
+        return any([self.weight(w) for w in set(words).difference(self.plain)])
+
 
 def evidence(text: str | None, lexicon: Lexicon) -> tuple[float, int]:
     """Sum of weight x context over the hits of a text, and its number of words."""
@@ -203,7 +215,7 @@ def evidence(text: str | None, lexicon: Lexicon) -> tuple[float, int]:
     done, pending = 0.0, None  # pending: the last hit (place, weight, hits near it, quoted, reported), still open to its right
     for part in parts:
         tokens = _TOKEN.findall(part)
-        if not any(map(lexicon.weight, set(tokens))) and pending is None and total <= SEGMENT:
+        if total <= SEGMENT and not lexicon.any_term(tokens):
             return 0.0, len(tokens)
         for t in _MARKED.findall(part):
             head = t[0]
