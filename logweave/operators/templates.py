@@ -12,13 +12,13 @@ Pipeline, all on Spark:
 4. ``mine``: greedy clustering inside each leaf (published Drain procedure:
    similarity = equal non-wildcard positions / length, best match wins, ties
    to more wildcards then the older cluster; merge turns differing positions
-   into wildcards). Leaves are independent, so ``groupBy(leaf)`` with an
-   iterator-form ``applyInPandas`` is exact; the per-leaf state is the leaf's
-   cluster list, rows stream through in batches.
+   into wildcards). Leaves are independent; a large leaf is cut into chunks of
+   fixed length by position, whose catalogues are merged by the same rule in a
+   fixed tree. Rows stream through in batches, candidates come from an inverted
+   index, and mining can go on from a stored state.
 5. ``match``: second pass, every distinct line shape against the finished
-   templates of its leaf (exact match, wildcards match anything). Lines do not
-   depend on each other here, so a leaf's shapes are dealt to several tasks and
-   each gets the leaf's templates.
+   templates of its leaf (exact match, wildcards match anything) through a
+   discrimination tree. A leaf's shapes are dealt to several tasks.
 
 The leaves are those of the tree that mined: ``own_leaves`` is the table of
 first tokens with a leaf of their own, ``route`` sends any lines through it.
@@ -28,8 +28,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,20 +129,25 @@ def _with_first(lines: DataFrame, tokens: str) -> DataFrame:
 
 
 def own_leaves(lines: DataFrame, tokens: str = "tokens", pos: str = "pos",
-               max_children: int = MAX_CHILDREN) -> DataFrame:
+               max_children: int = MAX_CHILDREN, before: DataFrame | None = None) -> DataFrame:
     """``(n_tokens, first)`` of the first tokens that have a leaf of their own.
 
     These are the first ``max_children - 1`` distinct digit-free first tokens
     of each length in order of first appearance; all others share the wildcard
-    leaf. At most ``max_children - 1`` rows per length.
+    leaf. At most ``max_children - 1`` rows per length. ``before`` is the table
+    of the lines mined earlier: its leaves stay, new ones fill the room left.
     """
     t = _with_first(lines, tokens)
     # No filter touches the token columns here: a pushed-down filter would
     # re-evaluate the mask chain; nulls are grouped and ranked last instead.
     cand = F.when(~has_digit(F.col("_first")), F.col("_first"))
-    firsts = t.groupBy("n_tokens", cand.alias("first")).agg(F.min(pos).alias("_fp"))
+    firsts = t.groupBy("n_tokens", cand.alias("first")).agg(F.min(pos).alias("_fp")).withColumn("_new", F.lit(True))
+    if before is not None:
+        known = before.select("n_tokens", "first", F.lit(None).cast(firsts.schema["_fp"].dataType).alias("_fp"), F.lit(False).alias("_new"))
+        firsts = (firsts.unionByName(known).groupBy("n_tokens", "first")
+                  .agg(F.min("_fp").alias("_fp"), F.min("_new").alias("_new")))
     # distinct first tokens per length: bounded by the vocabulary, not the lines
-    w = Window.partitionBy("n_tokens").orderBy(F.col("first").isNull(), "_fp", "first")
+    w = Window.partitionBy("n_tokens").orderBy(F.col("first").isNull(), "_new", "_fp", "first")
     return (firsts.withColumn("_r", F.row_number().over(w))
             .where(F.col("first").isNotNull() & (F.col("_r") <= max_children - 1))
             .select("n_tokens", "first"))
@@ -172,178 +175,310 @@ def order_key(hi: Column, lo: Column) -> Column:
     return (hi.cast("decimal(18,0)") * F.expr("9223372036854775808BD") + lo.cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
-MINE_SCHEMA = ("kind string, n_tokens int, leaf_token string, local_id int, pos decimal(38,0), "
+MINE_SCHEMA = ("kind string, n_tokens int, leaf_token string, level int, piece long, local_id int, pos decimal(38,0), "
                "change_type string, template array<string>, size long")
+# Lines of a leaf that are clustered one after another, and catalogues merged by one task.
+CHUNK_ROWS = 32_768
+FAN = 64
 
 
-class _Vocab:
-    """Token strings to small ints within one Python worker; 0 is the wildcard."""
+class LeafClusters:
+    """Clusters of one leaf (or of one chunk of it) while lines are added in position order.
 
-    def __init__(self):
-        self.ids = {PARAM: 0}
-        self.words = [PARAM]
-
-    def encode(self, toks) -> np.ndarray:
-        ids = self.ids
-        try:
-            return np.fromiter((ids[t] for t in toks), dtype=np.int64, count=len(toks))
-        except KeyError:
-            for t in toks:
-                if t not in ids:
-                    ids[t] = len(self.words)
-                    self.words.append(t)
-            return np.fromiter((ids[t] for t in toks), dtype=np.int64, count=len(toks))
-
-    def decode(self, arr) -> list:
-        w = self.words
-        return [w[int(i)] for i in arr]
-
-
-class _LeafState:
-    """Clusters of one leaf while its rows stream by in position order.
-
-    Templates are rows of an int matrix (0 = wildcard), so scoring a line
-    against every cluster of the leaf is a few array operations.
+    ``index`` has, for every (position, token), the clusters whose template
+    holds that token there. A cluster is similar enough to a line only if it
+    shares ``need`` positions with it, so it occurs in at least one of the
+    line's entries that are left when the ``need - 1`` longest are dropped:
+    only those clusters are scored.
     """
 
-    __slots__ = ("key", "vocab", "tpl", "sizes", "first", "m", "last_ids", "last_idx", "last_pos")
+    __slots__ = ("sim_th", "index", "templates", "wild", "sizes", "first", "last", "last_at", "last_pos", "_need")
 
-    def __init__(self, key, vocab: _Vocab):
-        self.key = key
-        self.vocab = vocab
-        n = key[0]
-        self.tpl = np.zeros((8, max(n, 1)), dtype=np.int64)
+    def __init__(self, sim_th: float = SIM_TH):
+        self.sim_th = sim_th
+        self.index: dict[tuple[int, str], set[int]] = {}
+        self.templates: list[list[str]] = []
+        self.wild: list[int] = []
         self.sizes: list[int] = []
-        self.first: list[int] = []
-        self.m = 0
-        self.last_ids = None
-        self.last_idx = None
-        self.last_pos = None
-
-    def add(self, pos, toks, sim_th, out, count: int = 1):
+        self.first: list = []
+        self.last = self.last_pos = None
+        self.last_at = -1
+        self._need: dict[int, int] = {}
+
+    def need(self, n: int) -> int:
+        """The least number of equal positions that reaches the similarity threshold."""
+        k = self._need.get(n)
+        if k is None:
+            k = 0
+            while k < n and k / n < self.sim_th:
+                k += 1
+            self._need[n] = k
+        return k
+
+    def best(self, toks: list[str]) -> int:
+        """The cluster of highest similarity, then of more wildcards, then the oldest; -1 if none is similar enough."""
+        n = len(toks)
+        if n == 0:
+            return 0 if self.templates else -1
+        need = self.need(n)
+        get = self.index.get
+        lists = [e for i, t in enumerate(toks) if (e := get((i, t)))]
+        if len(lists) < need:
+            return -1
+        if need:
+            lists.sort(key=len)
+            near: set[int] | range = set().union(*lists[:len(lists) - need + 1])
+        else:
+            near = range(len(self.templates))
+        top, at = (need, -1, 0), -1
+        for c in near:
+            key = (sum([c in e for e in lists]), self.wild[c], -c)
+            if key > top:
+                top, at = key, c
+        return at
+
+    def _open(self, toks: list[str], size: int, pos) -> int:
+        c = len(self.templates)
+        for i, t in enumerate(toks):
+            if t != PARAM:
+                self.index.setdefault((i, t), set()).add(c)
+        self.templates.append(list(toks))
+        self.wild.append(sum(t == PARAM for t in toks))
+        self.sizes.append(size)
+        self.first.append(pos)
+        return c
+
+    def _merge(self, c: int, toks: list[str]) -> bool:
+        """Positions where template and line differ become wildcards; says whether there were any."""
+        tpl, changed = self.templates[c], False
+        for i, (a, b) in enumerate(zip(tpl, toks)):
+            if a != b and a != PARAM:
+                entry = self.index[i, a]
+                entry.discard(c)
+                if not entry:
+                    del self.index[i, a]
+                tpl[i] = PARAM
+                self.wild[c] += 1
+                changed = True
+        return changed
+
+    def add(self, pos, toks: list[str], count: int = 1) -> tuple[str, int] | None:
+        """Add a line (or a template that stands for ``count`` lines); the change it makes, if any, and its cluster."""
         if self.last_pos is not None and pos < self.last_pos:
             raise ValueError("rows of a leaf must arrive in position order")
         self.last_pos = pos
-        n = len(toks)
-        ids = self.vocab.encode(toks)
-        if self.last_idx is not None and np.array_equal(ids, self.last_ids):
+        if self.last_at >= 0 and toks == self.last:
             # a repeat of the previous line joins the same cluster unchanged
-            self.sizes[self.last_idx] += count
-            return
-        n_tokens, leaf_token = self.key
-        best = -1
-        if self.m:
-            if n == 0:
-                best = 0
-            else:
-                t = self.tpl[: self.m, :n]
-                wild = t == 0
-                sim_tokens = ((t == ids) & ~wild).sum(axis=1)
-                params = wild.sum(axis=1)
-                # highest similarity, then more wildcards, then the older cluster
-                cand = int(np.argmax(sim_tokens * (n + 1) + params))
-                if sim_tokens[cand] / n >= sim_th:
-                    best = cand
-        if best >= 0:
-            row = self.tpl[best, :n]
-            merged = np.where(row == ids, row, 0)
-            self.sizes[best] += count
-            if not np.array_equal(merged, row):
-                self.tpl[best, :n] = merged
-                out.append(("change", n_tokens, leaf_token, best + 1, pos, "cluster_template_changed",
-                            self.vocab.decode(merged), self.sizes[best]))
-            self.last_idx = best
+            self.sizes[self.last_at] += count
+            return None
+        c = self.best(toks)
+        if c < 0:
+            c, what = self._open(toks, count, pos), "cluster_created"
         else:
-            if self.m == self.tpl.shape[0]:
-                self.tpl = np.vstack([self.tpl, np.zeros_like(self.tpl)])
-            self.tpl[self.m, :n] = ids
-            self.sizes.append(count)
-            self.first.append(pos)
-            self.m += 1
-            out.append(("change", n_tokens, leaf_token, self.m, pos, "cluster_created", list(toks), count))
-            self.last_idx = self.m - 1
-        self.last_ids = ids
-
-    def clusters(self):
-        """``[local_id, template tokens, size, first_pos]`` per cluster."""
-        n = self.key[0]
-        return [[i + 1, self.vocab.decode(self.tpl[i, :n]), self.sizes[i], self.first[i]] for i in range(self.m)]
-
-    def restore(self, clusters):
-        """Load ``clusters()`` output back (streaming state)."""
-        for local_id, toks, size, first in clusters:
-            if self.m == self.tpl.shape[0]:
-                self.tpl = np.vstack([self.tpl, np.zeros_like(self.tpl)])
-            self.tpl[self.m, : self.key[0]] = self.vocab.encode(toks)
-            self.sizes.append(int(size))
-            self.first.append(int(first))
-            self.m += 1
-
-    def flush(self, out):
-        n_tokens, leaf_token = self.key
-        for c in self.clusters():
-            out.append(("cluster", n_tokens, leaf_token, c[0], c[3], None, c[1], c[2]))
-
-
-_MINE_COLS = ["kind", "n_tokens", "leaf_token", "local_id", "pos", "change_type", "template", "size"]
-
-
-def _cluster_partition(batches: Iterator[pd.DataFrame], sim_th: float) -> Iterator[pd.DataFrame]:
-    """Leaves arrive one after another (rows sorted by leaf, then position)."""
-    state = None
-    vocab = _Vocab()
-    done: set = set()
-    for pdf in batches:
-        out: list = []
-        leaf_n = pdf["n_tokens"].tolist()
-        leaf_t = pdf["leaf_token"].tolist()
-        runs = pdf["_run"].tolist() if "_run" in pdf.columns else [1] * len(pdf)
-        for n, t, pos, toks, run in zip(leaf_n, leaf_t, pdf["pos"].tolist(), pdf["tokens"].tolist(), runs):
-            t = None if (t is None or t != t) else t  # NaN from pandas means null
-            key = (int(n), t)
-            if state is None or state.key != key:
-                if state is not None:
-                    state.flush(out)
-                    done.add(state.key)
-                if key in done:
-                    raise ValueError(f"rows of leaf {key} are not contiguous in the partition")
-                state = _LeafState(key, vocab)
-            state.add(pos, list(toks), sim_th, out, int(run))
-        if out:
-            yield pd.DataFrame(out, columns=_MINE_COLS)
-    if state is not None:
-        out = []
-        state.flush(out)
-        yield pd.DataFrame(out, columns=_MINE_COLS)
-
-
-def mine(keyed: DataFrame, sim_th: float = SIM_TH) -> DataFrame:
-    """Per-leaf clustering. Returns change rows and final cluster rows.
-
-    ``keyed`` has ``n_tokens, leaf_token, pos, tokens``. Rows are hash
-    partitioned by leaf and sorted by (leaf, pos); each partition then streams
-    through one Python worker that keeps only the current leaf's clusters, so
-    neither many small leaves (per-group overhead) nor one hot leaf (memory)
-    hurts.
+            self.sizes[c] += count
+            what = "cluster_template_changed" if self._merge(c, toks) else None
+        # a template with wildcards is no line: its repeat is scored anew
+        self.last, self.last_at = list(toks), -1 if PARAM in toks else c
+        return (what, c) if what else None
+
+    def restore(self, template: list[str], size: int, pos) -> None:
+        """Take over a finished cluster as it is."""
+        self._open(template, size, pos)
+
+    def rows(self) -> Iterator[tuple]:
+        """(local id from 1, first position, template, size) of every cluster."""
+        for c, (tpl, size, pos) in enumerate(zip(self.templates, self.sizes, self.first)):
+            yield c + 1, pos, tpl, size
+
+
+# What the clustering stream reads, sorted by all but the last three. ``take`` rows are clusters
+# to be taken over, the others are lines (or templates) to be added.
+_STREAM = ["n_tokens", "leaf_token", "piece", "take", "pos", "local_id", "tokens", "size", "fresh"]
+
+
+def _cluster_stream(sim_th: float, level: int):
+    """mapInArrow function: one catalogue per (leaf, piece), and the changes made by ``fresh`` rows."""
+    import pyarrow as pa
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.decimal128(38, 0), pa.string(),
+             pa.list_(pa.string()), pa.int64()]
+    names = [c.split()[0] for c in MINE_SCHEMA.replace("decimal(38,0)", "decimal").split(", ")]
+
+    def batch(out: list[tuple]):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+
+    def run(batches):
+        key, clusters, done = None, None, set()
+
+        def flush():
+            return [("piece", key[0], key[1], level, key[2], i, pos, None, tpl, size) for i, pos, tpl, size in clusters.rows()]
+
+        for b in batches:
+            out: list[tuple] = []
+            for n, leaf, piece, take, pos, _, toks, size, fresh in zip(*(b.column(c).to_pylist() for c in _STREAM)):
+                if (n, leaf, piece) != key:
+                    if key is not None:
+                        out += flush()
+                    key, clusters = (n, leaf, piece), LeafClusters(sim_th)
+                    if key in done:
+                        raise ValueError(f"rows of leaf {key} are not contiguous in the partition")
+                    done.add(key)
+                if take == 0:
+                    clusters.restore(toks, size, pos)
+                    continue
+                change = clusters.add(pos, toks, size)
+                if change is not None and fresh:
+                    what, c = change
+                    out.append(("change", n, leaf, level, piece, c + 1, pos, what, list(clusters.templates[c]), clusters.sizes[c]))
+            for i in range(0, len(out), 10_000):
+                yield batch(out[i:i + 10_000])
+        if key is not None:
+            out = flush()
+            for i in range(0, len(out), 10_000):
+                yield batch(out[i:i + 10_000])
+
+    return run
+
+
+def _leaf_equal(a: DataFrame, b: DataFrame) -> Column:
+    return (a["n_tokens"] == b["n_tokens"]) & a["leaf_token"].eqNullSafe(b["leaf_token"])
+
+
+_PIECE = ["n_tokens", "leaf_token", "piece"]
+
+
+def _sorted_stream(rows: DataFrame) -> DataFrame:
+    return rows.select(*_STREAM).repartition(*_PIECE).sortWithinPartitions(*_PIECE, "take", "pos", "local_id")
+
+
+def _collapsed(rows: DataFrame) -> DataFrame:
+    """Consecutive repeats of a line inside one piece as one row with their number: they join the cluster
+    of the first unchanged. The windows are bounded by a chunk and reuse the stream's partitioning and sort."""
+    w = Window.partitionBy(*_PIECE).orderBy("take", "pos", "local_id")
+    marked = (rows.withColumn("_rn", F.row_number().over(w)).withColumn("_prev", F.lag("tokens").over(w))
+              .withColumn("_line", F.lag("take", 1, 0).over(w) == 1).withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*_PIECE))))
+    heads = marked.where((F.col("take") == 0) | ~F.col("_line") | (F.col("_prev") != F.col("tokens")))
+    run = F.coalesce(F.lead("_rn").over(w), F.col("_cnt") + 1) - F.col("_rn")
+    return heads.withColumn("size", F.when(F.col("take") == 0, F.col("size")).otherwise(run).cast("long")).select(*_STREAM)
+
+
+def _levels(sizes: DataFrame, chunk_rows: int, fan: int) -> int:
+    """Rounds of merging that the largest leaf needs."""
+    most = sizes.agg(F.max(F.col("before") + F.col("added"))).first()[0] or 0
+    pieces, level = -(-most // chunk_rows), 0
+    while pieces > 1:
+        pieces, level = -(-pieces // fan), level + 1
+    return level
+
+
+def _into_chunks(keyed: DataFrame, sizes: DataFrame, chunk_rows: int, levels: int) -> DataFrame:
+    """``piece``: which chunk of its leaf a line is in. Leaves of one chunk need no numbering."""
+    rows = keyed.select("n_tokens", "leaf_token", F.col("pos").cast("decimal(38,0)").alias("pos"), "tokens")
+    if levels == 0:
+        return rows.withColumn("piece", F.lit(0).cast("long"))
+    big = sizes.where(F.col("before") + F.col("added") > chunk_rows)
+    one = rows.join(big, _leaf_equal(rows, big), "left_anti").withColumn("piece", F.lit(0).cast("long"))
+    numbered = dense_index(rows.join(big, _leaf_equal(rows, big), "left_semi"), ["pos"], out="seq",
+                           groups=["n_tokens", "leaf_token"], keep=["pos", "tokens"])
+    begun = big.where("before > 0")
+    if begun.isEmpty():
+        before = F.lit(0)
+    else:
+        numbered = numbered.join(begun, _leaf_equal(numbered, begun), "left").select(numbered["*"], begun["before"])
+        before = F.coalesce("before", F.lit(0))
+    chunk = ((before + F.col("seq") - 1) / chunk_rows).cast("decimal(38,9)")
+    numbered = numbered.withColumn("piece", F.floor(chunk).cast("long"))
+    return one.unionByName(numbered.select(*one.columns))
+
+
+def mine(keyed: DataFrame, sim_th: float = SIM_TH, state: DataFrame | None = None, chunk_rows: int = CHUNK_ROWS,
+         fan: int = FAN) -> DataFrame:
+    """Clustering of every leaf, in parallel also inside a leaf.
+
+    ``keyed`` has ``n_tokens, leaf_token, pos, tokens``. The rule:
+
+    * The lines of a leaf, in position order, are cut into chunks of
+      ``chunk_rows``; each chunk is clustered line by line from nothing.
+    * The catalogues of ``fan`` consecutive chunks are merged: the first is
+      taken as it is, the clusters of the next ones are added in order, each
+      like a line (its wildcards equal nothing) with the weight of its lines.
+      Merged catalogues are merged again the same way until one is left.
+
+    So a leaf of up to ``chunk_rows`` lines is mined strictly in sequence, and
+    a larger one in as many tasks as it has chunks; the result depends on
+    positions only, never on partitions. A task holds the clusters of one chunk.
+
+    Returns rows by ``kind``: ``cluster`` (the final catalogue), ``change``
+    (lines that made or changed a cluster; of a leaf of several chunks, the
+    first lines of the clusters that did so in the last merge), and the state
+    to go on from, ``leaf`` (``size`` lines so far) and ``open`` (catalogues
+    that later lines can still change or be merged with). With ``state`` (these
+    two kinds of an earlier result) mining goes on as if the lines of ``keyed``
+    had followed the earlier ones; only what they change is reported.
     """
+    from logweave.session import materialize
     leaf = ["n_tokens", "leaf_token"]
-    prepared = (keyed.select(*leaf, F.col("pos").cast("decimal(38,0)").alias("pos"), "tokens")
-                .repartition(*leaf).sortWithinPartitions(*leaf, "pos"))
-    # Exact volume cut: consecutive repeats inside a leaf join the cluster of
-    # the first line unchanged, so only run heads (with run lengths) go to
-    # Python. The windows reuse the leaf partitioning and sort above.
-    w = Window.partitionBy(*leaf).orderBy("pos")
-    marked = (prepared.withColumn("_rn", F.row_number().over(w))
-              .withColumn("_prev", F.lag("tokens").over(w))
-              .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*leaf))))
-    heads = marked.where(F.col("_prev").isNull() | (F.col("_prev") != F.col("tokens")))
-    heads = heads.withColumn("_run", F.coalesce(F.lead("_rn").over(w), F.col("_cnt") + 1) - F.col("_rn")) \
-        .select(*leaf, "pos", "tokens", "_run")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return _cluster_partition(batches, sim_th)
+    spark = keyed.sparkSession
+    zero = F.lit(0).cast("long")
+    sizes = keyed.groupBy(*leaf).agg(F.count(F.lit(1)).alias("added")).withColumn("before", zero)
+    if state is not None:
+        old = state.where("kind = 'leaf'").select(*leaf, zero.alias("added"), F.col("size").alias("before"))
+        sizes = sizes.unionByName(old).groupBy(*leaf).agg(F.sum("added").alias("added"), F.sum("before").alias("before"))
+    sizes = materialize(sizes, "leaf-sizes")  # a row per leaf
+    levels = _levels(sizes, chunk_rows, fan)
+
+    lines = _into_chunks(keyed, sizes, chunk_rows, levels).select(
+        *_PIECE, F.lit(1).alias("take"), "pos", F.lit(0).alias("local_id"), "tokens", F.lit(1).cast("long").alias("size"),
+        F.lit(True).alias("fresh"))
+
+    def stored(level: int, complete: bool) -> DataFrame:
+        """Catalogues of the state at a level: those no line can change any more, or the one that is open."""
+        unit = chunk_rows * fan ** level
+        kept = state.where((F.col("kind") == "open") & (F.col("level") == level))
+        kept = kept.join(sizes, _leaf_equal(kept, sizes)).select(kept["*"], sizes["before"])
+        is_open = F.col("piece") >= F.expr(f"before div {unit}")
+        return kept.where(~is_open if complete else is_open)
 
-    return heads.mapInPandas(run, schema=MINE_SCHEMA)
+    if state is not None:
+        taken = stored(0, False).select(*leaf, "piece", F.lit(0).alias("take"), "pos", "local_id", F.col("template").alias("tokens"),
+                                        "size", F.lit(False).alias("fresh"))
+        lines = lines.unionByName(taken)
+    found = [materialize(_collapsed(_sorted_stream(lines)).mapInArrow(_cluster_stream(sim_th, 0), MINE_SCHEMA), "mined-pieces")]
+    for level in range(levels + 1):
+        pieces = found[-1].where("kind = 'piece'")
+        if state is not None:
+            pieces = pieces.unionByName(stored(level, True).select(*pieces.columns))
+            found[-1] = found[-1].where("kind = 'change'").unionByName(pieces)
+        if level == levels:
+            break
+        unit = chunk_rows * fan ** level
+        bounded = pieces.join(sizes, _leaf_equal(pieces, sizes)).where(F.col("before") + F.col("added") > unit)
+        rows = bounded.select(
+            pieces["n_tokens"], pieces["leaf_token"], F.expr(f"piece div {fan}").alias("piece"),
+            F.when(F.col("piece") % fan == 0, 0).otherwise(1).alias("take"), "pos", "local_id", F.col("template").alias("tokens"),
+            pieces["size"], (F.col("piece") >= F.expr(f"before div {unit}")).alias("fresh"))
+        found.append(materialize(_sorted_stream(rows).mapInArrow(_cluster_stream(sim_th, level + 1), MINE_SCHEMA), "merged-pieces"))
+
+    every = found[0]
+    for f in found[1:]:
+        every = every.unionByName(f)
+    if levels == 0 and state is None:  # one chunk a leaf: its only catalogue is final, and open
+        place = every
+        final = F.lit(True)
+        is_open = F.lit(True)
+    else:
+        place = every.join(sizes, _leaf_equal(every, sizes)).select(every["*"], (F.col("before") + F.col("added")).alias("_total"))
+        units = [chunk_rows * fan ** i for i in range(levels + 1)]
+        top = sum((F.when(F.col("_total") > u, 1).otherwise(0) for u in units), F.lit(0))
+        final = F.col("level") == top
+        complete = F.expr("case level " + " ".join(f"when {i} then _total div {u}" for i, u in enumerate(units)) + " end")
+        is_open = F.floor(F.col("piece") / fan) == F.floor(complete / fan)
+    cols = [c.split()[0] for c in MINE_SCHEMA.replace("decimal(38,0)", "decimal").split(", ")]
+    is_piece = F.col("kind") == "piece"
+    clusters = place.where(final).withColumn("kind", F.when(is_piece, "cluster").otherwise(F.col("kind"))).select(*cols)
+    opened = place.where(is_piece & is_open).withColumn("kind", F.lit("open")).select(*cols)
+    empty = spark.createDataFrame([], MINE_SCHEMA)
+    counted = sizes.select(F.lit("leaf").alias("kind"), *leaf, (F.col("before") + F.col("added")).alias("size"))
+    return clusters.unionByName(opened).unionByName(empty.unionByName(counted, allowMissingColumns=True))
 
 
 def catalogue(mined: DataFrame) -> DataFrame:
@@ -419,89 +554,121 @@ def position_templates(keyed: DataFrame) -> DataFrame:
                     .alias("template")))
 
 
-MATCH_OUT = "EventId int, EventTemplate string, param array<string>"
-# Tasks a leaf's shapes are dealt to.
-MATCH_SALTS = 16
-
-
-def _match_partition(batches: Iterator[pd.DataFrame], carry: list[str]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by (leaf, kind): a leaf's templates (kind 0, best first),
-    then its lines (kind 1). Each line gets the first template that matches."""
-    vocab = _Vocab()  # the words of the current leaf's templates
-    done: set = set()
-    cur_key = None
-    tpl = None
-    ids_list: list = []
-    tpl_rows: list = []
-    for pdf in batches:
-        res_id, res_tpl, res_par, keep = [], [], [], []
-        for idx, (n, t, salt, kind, cid, toks, text) in enumerate(zip(
-                pdf["n_tokens"].tolist(), pdf["leaf_token"].tolist(), pdf["_salt"].tolist(), pdf["_kind"].tolist(),
-                pdf["_cid"].tolist(), pdf["tokens"].tolist(), pdf["_text"].tolist())):
-            t = None if (t is None or t != t) else t
-            key = (int(n), t, int(salt))
-            if key != cur_key:
-                if cur_key is not None:
-                    done.add(cur_key)
-                if key in done:
-                    raise ValueError(f"rows of leaf {key} are not contiguous in the partition")
-                cur_key, tpl, ids_list, tpl_rows, vocab = key, None, [], [], _Vocab()
-            if kind == 0:
-                if tpl is not None:
-                    raise ValueError("templates of a leaf must precede its lines")
-                ids_list.append(vocab.encode(list(toks)))
-                tpl_rows.append((int(cid), text, list(toks)))
-                tpl = None
+# Distinct shapes of a leaf that one task matches at least (a leaf with more templates: as many).
+SHAPES_PER_TASK = 1024
+BUCKET = 8
+
+
+class TemplateTree:
+    """A discrimination tree over the templates of one leaf.
+
+    An inner node tests one position: a child per token and one for the
+    wildcard. A line follows two children at most, and a branch whose best
+    template (more wildcards, then older) is no better than the best found is
+    skipped. Up to ``BUCKET`` templates are compared one by one.
+    """
+
+    def __init__(self, templates: list[tuple[int, int, list[str]]]):
+        """``templates``: (minus wildcards, id, tokens)."""
+        self.root = self._node(sorted(templates, key=lambda r: r[:2]), 0)
+        todo = [self.root]
+        while todo:
+            node = todo.pop()
+            rows, at = node["rows"], node["at"]
+            if len(rows) <= BUCKET or at >= len(rows[0][2]):
+                continue
+            split: dict[str, list] = {}
+            for r in rows:
+                split.setdefault(r[2][at], []).append(r)
+            node["next"] = {t: self._node(part, at + 1) for t, part in split.items()}
+            node["rows"] = None
+            todo += node["next"].values()
+
+    @staticmethod
+    def _node(rows: list, at: int) -> dict:
+        return {"rows": rows, "at": at, "best": rows[0][:2] if rows else None, "next": None}
+
+    def find(self, toks: list[str]) -> int | None:
+        """Id of the matching template with the most wildcards, the oldest of them."""
+        best, todo = None, [self.root]
+        while todo:
+            node = todo.pop()
+            if node["best"] is None or (best is not None and node["best"] >= best):
                 continue
-            keep.append(idx)
-            if tpl is None and ids_list:
-                tpl = np.vstack(ids_list) if n > 0 else np.zeros((len(ids_list), 0), dtype=np.int64)
-            hit = -1
-            if tpl is not None and len(tpl):
-                known = vocab.ids
-                line = np.fromiter((known.get(w, -1) for w in toks), dtype=np.int64, count=len(toks))
-                ok = ((tpl == line) | (tpl == 0)).all(axis=1)
-                if ok.any():
-                    hit = int(np.argmax(ok))
-            if hit >= 0:
-                cid_, text_, toks_ = tpl_rows[hit]
-                res_id.append(cid_)
-                res_tpl.append(text_)
-                res_par.append(toks_)
-            else:
-                res_id.append(None)
-                res_tpl.append(None)
-                res_par.append([])
-        if keep:
-            out = pdf.iloc[keep][carry].reset_index(drop=True)
-            out["EventId"] = pd.array(res_id, dtype="Int32")
-            out["EventTemplate"] = res_tpl
-            out["param"] = res_par
-            yield out
+            if node["rows"] is None:
+                nxt, t = node["next"], toks[node["at"]]
+                if t != PARAM and t in nxt:
+                    todo.append(nxt[t])
+                if PARAM in nxt:  # looked at first: more wildcards
+                    todo.append(nxt[PARAM])
+                continue
+            for wild, cid, tpl in node["rows"]:
+                if best is not None and (wild, cid) >= best:
+                    break
+                if all([a == PARAM or a == b for a, b in zip(tpl, toks)]):
+                    best = (wild, cid)
+                    break
+        return None if best is None else best[1]
+
+
+def _match_stream(carry: list[str]):
+    """mapInArrow function over rows sorted by (leaf, salt, kind): a leaf's templates (kind 0), then its
+    shapes (kind 1). Each shape gets the id of its template."""
+    import pyarrow as pa
+
+    def run(batches):
+        key, templates, tree, done = None, [], None, set()
+        for b in batches:
+            ids, keep = [], []
+            cols = (b.column(c).to_pylist() for c in ("n_tokens", "leaf_token", "_salt", "_kind", "_o1", "_cid", "tokens"))
+            for idx, (n, leaf, salt, kind, wild, cid, toks) in enumerate(zip(*cols)):
+                if (n, leaf, salt) != key:
+                    key, templates, tree = (n, leaf, salt), [], None
+                    if key in done:
+                        raise ValueError(f"rows of leaf {key} are not contiguous in the partition")
+                    done.add(key)
+                if kind == 0:
+                    if tree is not None:
+                        raise ValueError("templates of a leaf must precede its lines")
+                    templates.append((wild, cid, toks))
+                    continue
+                if tree is None:
+                    tree = TemplateTree(templates)
+                keep.append(idx)
+                ids.append(tree.find(toks))
+            if keep:
+                part = b.take(pa.array(keep, pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in carry] + [pa.array(ids, pa.int32())], names=[*carry, "EventId"])
+
+    return run
 
 
 def _sorted_match_input(lines: DataFrame, cat: DataFrame, carry: list[str]) -> DataFrame:
-    """Shapes and templates of a leaf and salt in one partition: templates first
-    (best first: more wildcards, then older), then the shapes."""
-    leaf = ["n_tokens", "leaf_token", "_salt"]
-    params = F.size(F.filter("tokens", lambda t: t == F.lit(PARAM)))
-    templates = cat.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(MATCH_SALTS)])))
-    templates = templates.select(*leaf, "tokens", F.lit(0).alias("_kind"), (-params).cast("long").alias("_o1"),
-                           F.col("cluster_id").cast("long").alias("_o2"), F.col("cluster_id").alias("_cid"),
-                           F.col("template").alias("_text"))
-    lines = lines.withColumn("_salt", F.pmod(F.xxhash64("tokens"), F.lit(MATCH_SALTS)).cast("int"))
-    rows = lines.select(*dict.fromkeys(carry + leaf + ["tokens"]), F.lit(1).alias("_kind"),
-                        F.lit(0).cast("long").alias("_o1"), F.lit(0).cast("long").alias("_o2"),
-                        F.lit(None).cast("int").alias("_cid"), F.lit(None).cast("string").alias("_text"))
-    return (rows.unionByName(templates, allowMissingColumns=True).repartition(*leaf)
-            .sortWithinPartitions(*leaf, "_kind", "_o1", "_o2"))
+    """Shapes and templates of a leaf and salt in one partition: templates first, then the shapes.
 
+    A leaf's shapes are dealt over several tasks where it has more of them than
+    ``SHAPES_PER_TASK`` and than templates, so the copies of its templates are
+    never more than its shapes.
+    """
+    leaf = ["n_tokens", "leaf_token"]
+    many = lines.groupBy(*leaf).agg(F.count(F.lit(1)).alias("_shapes")).where(F.col("_shapes") > SHAPES_PER_TASK)
+    held = cat.groupBy(*leaf).agg(F.count(F.lit(1)).alias("_templates"))
+    share = F.greatest(F.lit(SHAPES_PER_TASK), "_templates")
+    big = many.join(held, _leaf_equal(many, held)).select(
+        many["n_tokens"], many["leaf_token"], F.ceil(F.col("_shapes") / share).cast("int").alias("_salts")).where("_salts > 1")
 
-def _match_schema(df: DataFrame, carry: list[str]):
-    from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
-    return StructType([df.schema[c] for c in carry] + [
-        StructField("EventId", IntegerType()), StructField("EventTemplate", StringType()),
-        StructField("param", ArrayType(StringType()))])
+    def salts(df: DataFrame) -> DataFrame:
+        return df.join(big, _leaf_equal(df, big), "left").select(df["*"], F.coalesce("_salts", F.lit(1)).alias("_salts"))
+
+    params = F.size(F.filter("tokens", lambda t: t == F.lit(PARAM)))
+    templates = salts(cat.select(*leaf, "tokens", "cluster_id")).withColumn("_salt", F.explode(F.expr("sequence(0, _salts - 1)"))).select(
+        *leaf, "_salt", "tokens", F.lit(0).alias("_kind"), (-params).cast("long").alias("_o1"), F.col("cluster_id").alias("_cid"))
+    rows = salts(lines).withColumn("_salt", F.expr("cast(pmod(xxhash64(tokens), _salts) as int)")).select(
+        *dict.fromkeys(carry + leaf + ["_salt", "tokens"]), F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_o1"),
+        F.lit(None).cast("int").alias("_cid"))
+    place = [*leaf, "_salt"]
+    return (rows.unionByName(templates, allowMissingColumns=True).repartition(*place)
+            .sortWithinPartitions(*place, "_kind", "_o1", "_cid"))
 
 
 def match(keyed: DataFrame, cat: DataFrame) -> DataFrame:
@@ -509,24 +676,25 @@ def match(keyed: DataFrame, cat: DataFrame) -> DataFrame:
 
     A template matches when every non-wildcard position equals the line's
     token; among matches the one with more wildcards wins, then the older one.
-    Each distinct (leaf, tokens) shape is matched once and joined back to its
-    lines. Shapes are dealt over ``MATCH_SALTS`` tasks a leaf, each of which
-    first reads the leaf's templates; a word that no template has needs no
-    entry of its own, so a task holds the current leaf's templates only.
+    Each distinct (leaf, tokens) shape runs once through the discrimination
+    tree of its leaf and is joined back to its lines.
 
     ``keyed`` must be routed by the own-leaf table of the mined lines. Adds
     ``EventId`` (null when unmatched), ``EventTemplate``, ``param`` (template
     tokens, empty when unmatched) and ``match`` (1/0).
     """
-    from logweave.session import materialize
     carry = ["n_tokens", "leaf_token", "tokens"]
-    both = _sorted_match_input(keyed.select(*carry).distinct(), cat, carry)
-    found = materialize(both.mapInPandas(lambda it: _match_partition(it, carry), schema=_match_schema(keyed, carry)),
-                        "matched-shapes")
-    k = keyed.alias("k")
-    f = found.alias("f")
-    cond = ((F.col("k.n_tokens") == F.col("f.n_tokens")) & F.col("k.leaf_token").eqNullSafe(F.col("f.leaf_token"))
-            & (F.col("k.tokens") == F.col("f.tokens")))
-    out = k.join(f, cond, "left").select("k.*", "f.EventId", "f.EventTemplate",
-                                          F.coalesce(F.col("f.param"), F.array().cast("array<string>")).alias("param"))
+    shapes = keyed.select(*carry).distinct()  # read twice from one exchange
+    both = _sorted_match_input(shapes, cat, carry)
+    schema = keyed.select(*carry).schema.add("EventId", "integer")
+    found = both.mapInArrow(_match_stream(carry), schema)
+    texts = cat.select(F.col("cluster_id").alias("EventId"), F.col("template").alias("EventTemplate"), F.col("tokens").alias("param"))
+    found = found.join(texts, "EventId", "left")
+    k = keyed.withColumn("_hash", F.xxhash64("tokens")).alias("k")
+    f = found.withColumn("_hash", F.xxhash64("tokens")).alias("f")
+    # the hash comes first, so that sorting hardly ever compares token lists
+    cond = ((F.col("k._hash") == F.col("f._hash")) & (F.col("k.n_tokens") == F.col("f.n_tokens"))
+            & F.col("k.leaf_token").eqNullSafe(F.col("f.leaf_token")) & (F.col("k.tokens") == F.col("f.tokens")))
+    out = k.join(f, cond, "left").select(*[F.col(f"k.{c}") for c in keyed.columns], "f.EventId", "f.EventTemplate",
+                                         F.coalesce(F.col("f.param"), F.array().cast("array<string>")).alias("param"))
     return out.withColumn("match", F.when(F.col("EventId").isNotNull(), 1).otherwise(0))

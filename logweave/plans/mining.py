@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logweave.operators import templates as T
 from logweave.operators.order import dense_index, time_gap
 from logweave.operators.parse import parse_log, parsed_rows
+from logweave.plans import models
 from logweave.session import materialize as materialize_table
 from logweave.sources.derived import document_lines, event_log_lines
 
@@ -34,10 +35,42 @@ def keyed_lines(lines: DataFrame, content: str = "content", pos: str = "pos", ow
 
 
 def mine_catalogue(keyed: DataFrame, sim_th: float = T.SIM_TH) -> tuple[DataFrame, DataFrame]:
-    """Run the per-leaf miner once; the (small) mined output is checkpointed so
-    the catalogue, the change feed and the match pass reuse it."""
-    mined = materialize_table(T.mine(keyed, sim_th), "mined-clusters")
-    return mined, T.catalogue(mined)
+    """Run the per-leaf miner once; its output and the catalogue are written
+    tables, so the change feed and the match pass reuse them."""
+    mined = T.mine(keyed, sim_th)
+    return mined, materialize_table(T.catalogue(mined), "catalogue")
+
+
+OWN_SCHEMA = "n_tokens int, first string"
+
+
+def fit_templates(lines: DataFrame, path: str, fit_id: str, base: str | None = None) -> DataFrame:
+    """Mine ``lines`` (content, pos) and store the miner under ``path`` as ``fit_id``.
+
+    With ``base`` mining goes on from that stored fit, as if ``lines`` had
+    followed the lines of the base (their positions must be larger); the base
+    itself stays as it was. A fit that is run again replaces its own rows only.
+    Stored are the own-leaf table and the miner's rows (catalogue, changes and
+    open chunks, see ``templates.mine``).
+    """
+    spark = lines.sparkSession
+    tokens = tokenized_lines(lines)
+    before = state = None
+    if base is not None:
+        if base == fit_id:
+            raise ValueError("a fit cannot go on from itself")
+        before = models.load_model(spark, f"{path}/own", base, OWN_SCHEMA)
+        state = models.load_model(spark, f"{path}/mined", base).where("kind in ('leaf', 'open')")
+    own = materialize_table(T.own_leaves(tokens, before=before), "own-leaves")
+    models.save_model(own, f"{path}/own", fit_id)
+    models.save_model(T.mine(T.route(tokens, own), state=state), f"{path}/mined", fit_id)
+    return models.load_model(spark, f"{path}/mined", fit_id)
+
+
+def stored_matcher(spark: SparkSession, path: str, fit_id: str) -> tuple[DataFrame, DataFrame]:
+    """Own-leaf table and catalogue of a stored fit, to route and match new lines."""
+    own = models.load_model(spark, f"{path}/own", fit_id, OWN_SCHEMA)
+    return own, T.catalogue(models.load_model(spark, f"{path}/mined", fit_id))
 
 
 def event_log_mining_input(spark: SparkSession, sf_dir: str) -> DataFrame:

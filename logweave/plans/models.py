@@ -13,11 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def _exists(spark: SparkSession, path: str, fit_id: str) -> bool:
-    try:
-        return spark.read.parquet(path).where(F.col("fit_id") == fit_id).limit(1).count() > 0
-    except Exception:  # noqa: BLE001 - no table yet
-        return False
+    """Whether ``path`` holds the fit. A missing folder means no; any other error is raised."""
+    return folder_exists(spark, path) and not spark.read.parquet(path).where(F.col("fit_id") == fit_id).isEmpty()
 
 
 def save_model(model: DataFrame, path: str, fit_id: str) -> None:
@@ -26,8 +29,10 @@ def save_model(model: DataFrame, path: str, fit_id: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("fit_id").parquet(path))
 
 
-def load_model(spark: SparkSession, path: str, fit_id: str) -> DataFrame:
-    return spark.read.parquet(path).where(F.col("fit_id") == fit_id).drop("fit_id")
+def load_model(spark: SparkSession, path: str, fit_id: str, schema: str | None = None) -> DataFrame:
+    """The rows of a fit; with ``schema`` a table that no fit has put a row into reads as empty."""
+    reader = spark.read if schema is None else spark.read.schema(f"{schema}, fit_id string")
+    return reader.parquet(path).where(F.col("fit_id") == fit_id).drop("fit_id")
 
 
 def load_or_fit(spark: SparkSession, path: str, fit_id: str, fit: Callable[[], DataFrame]) -> DataFrame:

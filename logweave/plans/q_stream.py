@@ -34,7 +34,19 @@ def q_stream_distinct(spark, sf_dir):
     return SL.stream_distinct(spark, sf_dir)
 
 
-@register("stream_templates")
+X1_TEMPLATES = X1 + """,
+tp AS (SELECT event_type || '|' || message AS template, min(line_id) AS fl, count(*) AS size FROM x1 GROUP BY 1)"""
+
+
+@register("stream_templates", X1_TEMPLATES + """
+SELECT CAST(row_number() OVER (ORDER BY fl) AS INTEGER) AS cluster_id, template, size FROM tp""")
 def q_stream_templates(spark, sf_dir):
-    """Online template mining keyed by leaf, with per-leaf state."""
+    """Online template mining, each micro-batch going on from the stored miner."""
     return ST.stream_templates(spark, sf_dir)
+
+
+@register("stream_progress", X1_TEMPLATES + """
+SELECT CAST(sum(size) AS BIGINT) AS lines, count(*) AS clusters, count(*) AS changes FROM tp""")
+def q_stream_progress(spark, sf_dir):
+    """Lines, clusters and changes counted per micro-batch."""
+    return ST.stream_progress(spark, sf_dir)

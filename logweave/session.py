@@ -32,12 +32,28 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    share_package(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from the folder the driver imported it from.
+
+    Workers do not see the driver's ``sys.path``; without this they find the
+    package only when it is installed or the job was started in its folder. On
+    a cluster whose workers lack that folder, install or ship the package.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def apply_defaults(spark: SparkSession) -> SparkSession:
     """Apply the settings on a session someone else built (e.g. the driver's)."""
+    share_package(spark)
     for k, v in SESSION_DEFAULTS.items():
         try:
             spark.conf.set(k, v)

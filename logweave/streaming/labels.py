@@ -44,13 +44,12 @@ def stream_log_lines(events: DataFrame) -> DataFrame:
 
 
 def stream_labels(lines: DataFrame) -> DataFrame:
-    """Parsed, labelled stream ``(LogName, TimeSlice, Label, event_time)`` for both logs."""
-    p = parsed_rows(parse_log(lines)).withColumn("event_time", F.col("ts").cast("timestamp"))
-    outs = []
-    for name, fn in (("messages", R.messages_label), ("sysmonitor", R.sysmonitor_label)):
-        outs.append(p.select(F.lit(name).alias("LogName"), F.col("time_bucket").alias("TimeSlice"),
-                             fn(F.col("message")).alias("Label"), "event_time"))
-    return outs[0].unionByName(outs[1])
+    """Parsed, labelled stream ``(LogName, TimeSlice, Label, event_time)`` for both logs; a line is parsed once."""
+    p = parsed_rows(parse_log(lines))
+    logs = F.array(*[F.struct(F.lit(name).alias("LogName"), fn(F.col("message")).alias("Label"))
+                     for name, fn in (("messages", R.messages_label), ("sysmonitor", R.sysmonitor_label))])
+    return p.select("time_bucket", F.col("ts").cast("timestamp").alias("event_time"), F.explode(logs).alias("log")).select(
+        "log.LogName", F.col("time_bucket").alias("TimeSlice"), "log.Label", "event_time")
 
 
 def bucket_flags(labels: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
@@ -94,11 +93,12 @@ def stream_bucket_labels(spark: SparkSession, sf_dir: str, events: DataFrame | N
     return latest_by_key(spark, f"{base}/out", ["LogName", "TimeSlice"]).select("LogName", "TimeSlice", "Label")
 
 
-def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_distinct(spark: SparkSession, sf_dir: str, events: DataFrame | None = None,
+                    delay: str = WATERMARK_DELAY) -> DataFrame:
     """R2: distinct label rows with ``dropDuplicatesWithinWatermark`` into a parquet file sink."""
     base = scratch_path(spark, "stream-distinct")
-    labels = stream_labels(stream_log_lines(event_stream(spark, sf_dir)))
-    dedup = (labels.withWatermark("event_time", WATERMARK_DELAY)
+    labels = stream_labels(stream_log_lines(events if events is not None else event_stream(spark, sf_dir)))
+    dedup = (labels.withWatermark("event_time", delay)
              .dropDuplicatesWithinWatermark(["LogName", "TimeSlice", "Label"]))
     q = (dedup.select("LogName", "TimeSlice", "Label").writeStream.format("parquet")
          .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")

@@ -1,84 +1,93 @@
-"""Online template mining (R3, R4) with ``applyInPandasWithState``.
-
-The state of a key (leaf) is its cluster list, so memory is bounded by the
-number of clusters, not by the lines seen. Each micro-batch's lines of a leaf
-are sorted by position before they are clustered; the same update function
-as the batch miner is used. Streaming routes every digit-free first token to
-its own leaf (the batch miner's ``max_children`` cap needs a global view of a
-length node and is not applied online).
+"""Online template mining (R3) with its change feed and progress counts.
+
+Each micro-batch goes on from the miner that the batch before it stored
+(``plans.mining.fit_templates``): the state is typed tables (clusters of the
+open chunks, lines per leaf, own leaves), the lines of a leaf are sorted and
+streamed by Spark and never gathered in memory, and routing and clustering are
+those of the batch miner, so the final catalogue is the one that mining all
+lines at once would give. A replayed micro-batch starts from the same stored
+miner and replaces its own rows only.
+
+Per batch, ``changes`` holds the clusters it made or changed, and ``progress``
+its numbers of lines, clusters and changes, observed while the tables are
+written (``DataFrame.observe``): counts, no clock.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from logweave.operators import templates as T
 from logweave.operators.parse import parse_log, parsed_rows
+from logweave.plans import mining, models
 from logweave.session import scratch_path
-from logweave.streaming.labels import event_stream, latest_by_key, run_upsert, stream_log_lines
-
-OUT_SCHEMA = "n_tokens int, leaf_token string, local_id int, first_pos long, template string, size long, " \
-             "last_change string"
-STATE_SCHEMA = "clusters string"
-
-
-def _update(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    n_tokens, leaf_token = key
-    leaf = T._LeafState((int(n_tokens), leaf_token), T._Vocab())
-    if state.exists:
-        leaf.restore(json.loads(state.get[0]))
-    frames = [b for b in batches]
-    pdf = pd.concat(frames).sort_values("pos") if frames else None
-    out: list = []
-    if pdf is not None:
-        for pos, toks in zip(pdf["pos"].tolist(), pdf["tokens"].tolist()):
-            leaf.add(int(pos), list(toks), T.SIM_TH, out)
-    changed = {r[3]: r[5] for r in out}
-    clusters = leaf.clusters()
-    state.update((json.dumps(clusters),))
-    rows = [(int(n_tokens), leaf_token, c[0], c[3], " ".join(c[1]), c[2], changed.get(c[0], "none"))
-            for c in clusters]
-    yield pd.DataFrame(rows, columns=["n_tokens", "leaf_token", "local_id", "first_pos", "template", "size",
-                                      "last_change"])
-
-
-def keyed_stream(lines: DataFrame) -> DataFrame:
-    p = parsed_rows(parse_log(lines, split_reason=False))
-    m = T.mask_column(p, "message", "masked").withColumn("tokens", T.tokenize(F.col("masked")))
-    m = m.withColumn("n_tokens", F.size("tokens")).withColumn(
-        "leaf_token", F.when(F.col("n_tokens") < 2, F.lit(None).cast("string"))
-        .when(T.has_digit(F.col("tokens")[0]), F.lit(T.PARAM)).otherwise(F.col("tokens")[0]))
-    return m.select("n_tokens", "leaf_token", F.col("line_id").alias("pos"), "tokens")
+from logweave.streaming.labels import event_stream, stream_log_lines
+
+PROGRESS = "batch long, lines long, clusters long, changes long"
 
 
-def online_templates(keyed: DataFrame) -> DataFrame:
-    return keyed.groupBy("n_tokens", "leaf_token").applyInPandasWithState(
-        _update, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+def _fit_id(batch_id: int) -> str:
+    return f"b{batch_id:012d}"
 
 
-def stream_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R3 end to end over the X1 event stream; final catalogue with cluster ids
-    numbered by first line, as in the batch miner."""
-    from logweave.operators.order import dense_index
+def mining_lines(lines: DataFrame) -> DataFrame:
+    """``(content, pos)`` of raw log lines, in the form the miner reads (X1: the text after the time token)."""
+    p = parsed_rows(parse_log(lines, split_reason=False))
+    return p.select(F.col("message").alias("content"), F.col("line_id").cast("decimal(38,0)").alias("pos"))
+
+
+def _stored_before(spark: SparkSession, path: str, batch_id: int) -> str | None:
+    """The fit of the last micro-batch before this one that had lines."""
+    if batch_id == 0 or not models.folder_exists(spark, f"{path}/mined"):
+        return None
+    return spark.read.parquet(f"{path}/mined").where(F.col("fit_id") < _fit_id(batch_id)).agg(F.max("fit_id")).first()[0]
+
+
+def mine_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+    """One micro-batch: go on from the miner stored last, write the changes and the counts."""
+    spark = batch.sparkSession
+    if batch.isEmpty():
+        return
+    seen, made, held = Observation("lines"), Observation("changes"), Observation("clusters")
+    lines = mining_lines(batch).observe(seen, F.count(F.lit(1)).alias("n"))
+    mined = mining.fit_templates(lines, path, _fit_id(batch_id), _stored_before(spark, path, batch_id))
+    changes = mined.where("kind = 'change'").select(
+        "n_tokens", "leaf_token", "local_id", "pos", "change_type", F.array_join("template", " ").alias("template"), "size")
+    changes.observe(made, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
+    clusters = mined.where("kind = 'cluster'").observe(held, F.count(F.lit(1)).alias("n"))
+    clusters.write.format("noop").mode("overwrite").save()
+    row = (batch_id, seen.get["n"], held.get["n"], made.get["n"])
+    spark.createDataFrame([row], PROGRESS).drop("batch").write.mode("overwrite").parquet(f"{path}/progress/batch={batch_id}")
+
+
+def run_mining(lines: DataFrame, path: str, checkpoint: str):
+    """Run a stream of raw log lines through the miner to its end."""
+    q = (lines.writeStream.foreachBatch(lambda batch, batch_id: mine_batch(batch, batch_id, path))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def mined_stream(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> str:
+    """Mine the X1 event stream; the folder that holds the miner, its changes and its progress."""
     base = scratch_path(spark, "stream-templates")
-    out = online_templates(keyed_stream(stream_log_lines(event_stream(spark, sf_dir))))
-    q = run_upsert(out, ["n_tokens", "leaf_token", "local_id"], f"{base}/out", f"{base}/checkpoint")
-    final = latest_by_key(spark, f"{base}/out", ["n_tokens", "leaf_token", "local_id"])
-    ided = dense_index(final, ["first_pos"], out="cluster_id")
-    return ided.select(F.col("cluster_id").cast("int").alias("cluster_id"), "template", "size", "last_change")
-
-
-def progress_rates(query) -> dict:
-    """Rates of the last micro-batches from the query's progress reports."""
-    prog = [p for p in query.recentProgress if p]
-    return {
-        "batches": len(prog),
-        "input_rows": sum(p["numInputRows"] for p in prog),
-        "processed_rows_per_sec": max((p.get("processedRowsPerSecond") or 0.0) for p in prog) if prog else 0.0,
-    }
+    run_mining(stream_log_lines(events if events is not None else event_stream(spark, sf_dir)), f"{base}/out", f"{base}/checkpoint")
+    return f"{base}/out"
+
+
+def final_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """The catalogue after the last micro-batch, numbered by first line as in the batch miner."""
+    last = spark.read.parquet(f"{path}/mined").agg(F.max("fit_id")).first()[0]
+    return T.catalogue(models.load_model(spark, f"{path}/mined", last))
+
+
+def stream_templates(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """R3 end to end over the X1 event stream."""
+    return final_catalogue(spark, mined_stream(spark, sf_dir, events)).select("cluster_id", "template", "size")
+
+
+def stream_progress(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Lines and changes of all micro-batches, and clusters after the last one."""
+    p = spark.read.parquet(f"{mined_stream(spark, sf_dir, events)}/progress")
+    return p.agg(F.sum("lines").alias("lines"), F.max_by("clusters", "batch").alias("clusters"), F.sum("changes").alias("changes"))
