@@ -55,23 +55,26 @@ def score(test_windows: DataFrame, model: DataFrame, top_k: int) -> DataFrame:
     """M2: add ``level`` (longest context seen in training), ``rank`` of the
     true next event in it (null when unseen) and ``is_anomaly``.
 
-    Each distinct 4-gram of the test windows is scored once: per context
-    length one join tells whether the context was seen and one gives the rank
-    of the next event after it. The windows then meet their 4-gram's score in
-    one join.
+    Each distinct 4-gram of the test windows is scored once: it is looked up
+    under its four contexts together, one join for the contexts that training
+    has seen and one for the rank of the next event after them; the longest
+    seen one counts. The windows then meet their 4-gram's score in one join.
+    ``model`` is read three times: write it first.
     """
-    t = test_windows.select(*CTX, "y").distinct()
-    for level in (3, 2, 1, 0):
-        keep = CTX[3 - level:]
-        m = model.where(F.col("level") == level)
-        ranks = m.select(*keep, "y", F.col("rank").alias(f"_r{level}"))
-        t = t.join(ranks, [*keep, "y"], "left")
-        if level:
-            t = t.join(m.select(*keep).distinct().withColumn(f"_s{level}", F.lit(True)), keep, "left")
-    level = F.when(F.col("_s3"), 3).when(F.col("_s2"), 2).when(F.col("_s1"), 1).otherwise(0)
-    rank = F.when(F.col("_s3"), F.col("_r3")).when(F.col("_s2"), F.col("_r2")).when(F.col("_s1"), F.col("_r1")) \
-        .otherwise(F.col("_r0"))
-    scored = t.select(*CTX, "y", level.alias("level"), rank.alias("rank"))
+    grams = test_windows.select(*CTX, "y").distinct()
+    looked_up = F.array(*[F.struct(F.lit(level).alias("level"), *[
+        (F.col(c) if i >= 3 - level else F.lit(None).cast(grams.schema[c].dataType)).alias(f"_{c}") for i, c in enumerate(CTX)])
+        for level in range(4)])
+    t = grams.select("*", F.inline(looked_up))
+    same = lambda m: ((t["level"] == m["level"]) & t["_c1"].eqNullSafe(m["c1"])
+                      & t["_c2"].eqNullSafe(m["c2"]) & t["_c3"].eqNullSafe(m["c3"]))
+    # every context has one candidate of rank 1; with no context any model has been seen
+    seen = model.where((F.col("rank") == 1) & (F.col("level") > 0)).select("level", *CTX)
+    known = t.where(F.col("level") > 0).join(seen, same(seen), "left_semi").unionByName(t.where(F.col("level") == 0))
+    ranks = model.select(F.col("level").alias("_l"), *[F.col(c).alias(f"_m{c}") for c in CTX], F.col("y").alias("_y"), "rank")
+    hit = known.join(ranks, (F.col("level") == F.col("_l")) & (F.col("y") == F.col("_y")) & F.col("_c1").eqNullSafe(F.col("_mc1"))
+                     & F.col("_c2").eqNullSafe(F.col("_mc2")) & F.col("_c3").eqNullSafe(F.col("_mc3")), "left")
+    scored = hit.groupBy(*CTX, "y").agg(F.max(F.struct("level", "rank")).alias("_b")).select(*CTX, "y", "_b.level", "_b.rank")
     return (test_windows.join(scored, [*CTX, "y"])
             .withColumn("is_anomaly", F.col("rank").isNull() | (F.col("rank") > F.lit(top_k))))
 
@@ -92,8 +95,10 @@ def accuracy_on_fit(model: DataFrame, top_k: int) -> DataFrame:
 
     Every training window is one occurrence of a full 4-gram, counted in the
     level-3 rows, and its own context is always seen: summing ``cnt`` over
-    level-3 rows by rank gives the same numbers as scoring each window
-    (``weight='count'`` models), with no join back to the windows.
+    level-3 rows by rank gives the same numbers as scoring each window, with
+    no join back to the windows. A model of weight ``distinct`` counts each
+    distinct 4-gram once, so this is its accuracy on the distinct 4-grams
+    (the set it was fitted on), not on all windows.
     """
     m = model.where(F.col("level") == 3)
     return m.agg(

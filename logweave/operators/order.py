@@ -6,6 +6,8 @@ in one task. These helpers keep the work spread out:
 * ``dense_index``: global sort (range partitioning), ids inside each sorted
   partition, a per-partition count table (one row per partition, a proven
   bound) turned into offsets and broadcast back.
+* ``dense_by_id``: positions of rows that are numbered with holes already, by
+  chunks of the numbers; no sort of the whole.
 * ``running_sum``: two-level prefix sum over fixed-size chunks of a dense index.
 * ``with_lags``: lags over a dense index by fixed-size chunks plus a copied
   halo of the previous ``n`` rows, so each chunk is an independent window.
@@ -19,7 +21,6 @@ from pyspark.sql import functions as F
 from logweave.session import ensure_checkpoint_dir
 
 DEFAULT_CHUNK = 1 << 16  # rows per window partition key (halo cost: n rows per chunk)
-_LOW33 = (1 << 33) - 1
 
 
 def _sort_cols(keys, ascending):
@@ -66,6 +67,32 @@ def dense_index(df: DataFrame, keys, ascending=None, out: str = "seq", groups=()
             .drop("_p", "_m0", "_off", "_mid", *[f"_g_{g}" for g in groups]))
 
 
+def dense_by_id(df: DataFrame, key: str, out: str = "seq", groups=(), counted: DataFrame | None = None,
+                chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """Add a dense 1-based position ``out`` in the order of the unique long ``key`` (restarting per ``groups``).
+
+    For rows that carry a line number already (P20: what is left of numbered
+    lines). Rows meet in chunks of ``chunk`` consecutive numbers; a chunk's
+    rows are numbered on their own and shifted by the rows of the chunks
+    before it. No sort of the whole, no sampling and no written copy: one hash
+    exchange, and a table of one row per chunk (and group in it). ``counted``
+    is a cheaper table with the same (groups, key) rows to count from.
+    """
+    groups = list(groups)
+    place = F.floor(F.col(key) / chunk).alias("_c")
+    counts = (counted if counted is not None else df).groupBy(*groups, place).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*groups).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select(*[F.col(g).alias(f"_g_{g}") for g in groups], F.col("_c").alias("_cc"),
+                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*groups, "_c").orderBy(key)
+    rows = df.withColumn("_c", place).withColumn("_r", F.row_number().over(inside))
+    cond = rows["_c"] == shift["_cc"]
+    for g in groups:
+        cond = cond & rows[g].eqNullSafe(shift[f"_g_{g}"])
+    return (rows.join(shift, cond).withColumn(out, F.col("_before") + F.col("_r"))
+            .drop("_c", "_r", "_cc", "_before", *[f"_g_{g}" for g in groups]))
+
+
 def running_sum(df: DataFrame, idx: str, value: str, out: str, groups=(), chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Running sum of ``value`` in ``idx`` order (``idx`` dense from 1 per group)."""
     groups = list(groups)

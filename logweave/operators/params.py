@@ -38,28 +38,26 @@ def _split_order(c):
     return F.when(c == "train", 0).otherwise(1)
 
 
-def words_long(rows: DataFrame, keep_empty: bool = False) -> DataFrame:
-    """One row per (row, text, word) with the word's first-occurrence order key.
-
-    With ``keep_empty`` a text without words still yields one row (null word),
-    so every (row, text) is present.
-    """
-    ex = rows.select("split", "EventId", "k", "LineId", F.posexplode("texts").alias("t", "text"))
-    gen = F.posexplode_outer if keep_empty else F.posexplode
-    ex = ex.select("*", gen(tokenizer_words(F.col("text"))).alias("w", "word"))
-    return ex.withColumn("_order", F.struct(_split_order(F.col("split")).alias("s"), "k", "t", "w"))
+def _words(texts: DataFrame) -> DataFrame:
+    """One row per word of ``text``: its position ``w`` and the ``word``."""
+    return texts.select("*", F.posexplode(tokenizer_words(F.col("text"))).alias("w", "word"))
 
 
 def vocabulary(rows: DataFrame, fit_on: str = "both") -> DataFrame:
     """Per-key word ids, ranked by count (desc) then first occurrence, from 1.
 
     ``fit_on='both'`` fits on train then test rows (parity, Q11);
-    ``'train'`` fits on train rows only (unknown words encode to 0).
+    ``'train'`` fits on train rows only (unknown words encode to 0). Equal
+    texts of a key are counted together before they are split into words, so
+    a text that a key repeats on every line is one row of the word table.
     """
-    w = words_long(rows)
     if fit_on == "train":
-        w = w.where(F.col("split") == "train")
-    counts = w.groupBy("EventId", "word").agg(F.count(F.lit(1)).alias("cnt"), F.min("_order").alias("_first"))
+        rows = rows.where(F.col("split") == "train")
+    texts = (rows.select("EventId", F.struct(_split_order(F.col("split")).alias("s"), "k").alias("_row"),
+                         F.posexplode("texts").alias("t", "text"))
+             .groupBy("EventId", "t", "text").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_row")))
+    first = F.struct("_row.s", "_row.k", "t", "w")
+    counts = _words(texts).groupBy("EventId", "word").agg(F.sum("_n").alias("cnt"), F.min(first).alias("_first"))
     # rank inside each key with a distributed sort: a key holding most of the
     # distinct words (e.g. one id per line) is spread over many tasks
     ranked = dense_index(counts, ["cnt", "_first"], ascending=[False, True], out="word_id", groups=["EventId"])
@@ -69,23 +67,31 @@ def vocabulary(rows: DataFrame, fit_on: str = "both") -> DataFrame:
 def encode(rows: DataFrame, vocab: DataFrame) -> DataFrame:
     """J-c / M4b: word ids of each text, flattened to one vector per row.
 
-    Long form (row, text, word) joined with the vocabulary on (key, word),
-    then one group by row builds the vector; a text without known words
-    encodes to ``[0]``.
+    Every distinct (key, texts) is encoded once: its words meet the
+    vocabulary on (key, word) and its vector is put together. The rows then
+    take their vector in one join; no row is taken apart into words. A text
+    without known words encodes to ``[0]``; an unknown word (``fit_on``
+    train) to 0.
     """
-    w = words_long(rows, keep_empty=True).join(vocab.select("EventId", "word", "word_id"),
-                                               ["EventId", "word"], "left")
-    grouped = (w.groupBy("split", "EventId", "k", "LineId")
-               .agg(F.sort_array(F.collect_list(F.struct("t", "w", F.col("word").isNotNull().alias("has"),
-                                                         F.coalesce("word_id", F.lit(0)).alias("id"))))
-                    .alias("_e"), F.max("t").alias("_nt")))
+    shapes = rows.select("EventId", "texts").distinct().withColumn("_shape", F.xxhash64("EventId", "texts"))
+    texts = shapes.select("EventId", "_shape", "texts", F.posexplode("texts").alias("t", "text"))
+    ids = (_words(texts).join(vocab.select("EventId", "word", "word_id"), ["EventId", "word"], "left")
+           # the words of one row's texts: bounded by a line
+           .groupBy("EventId", "_shape", "texts")
+           .agg(F.sort_array(F.collect_list(F.struct("t", "w", F.coalesce("word_id", F.lit(0)).alias("id")))).alias("_e")))
 
     def ids_of(t):
-        ids = F.transform(F.filter(F.col("_e"), lambda e: (e["t"] == t) & e["has"]), lambda e: e["id"])
-        return F.when(F.size(ids) == 0, F.array(F.lit(0))).otherwise(ids)
-
-    return grouped.select("split", "EventId", "k", "LineId",
-                          F.flatten(F.transform(F.sequence(F.lit(0), F.col("_nt")), ids_of)).alias("vec"))
+        found = F.transform(F.filter(F.coalesce("_e", F.array().cast("array<struct<t:int,w:int,id:int>>")), lambda e: e["t"] == t),
+                            lambda e: e["id"])
+        return F.when(F.size(found) == 0, F.array(F.lit(0))).otherwise(found)
+
+    vectors = ids.select(F.col("EventId").alias("_key"), F.col("_shape").alias("_hash"), F.col("texts").alias("_texts"), "_e")
+    keyed = rows.withColumn("_shape", F.xxhash64("EventId", "texts"))
+    # the hash comes first, so that sorting hardly ever compares texts
+    out = keyed.join(vectors, (keyed["_shape"] == vectors["_hash"]) & (keyed["EventId"] == vectors["_key"])
+                     & (keyed["texts"] == vectors["_texts"]), "left")
+    return out.select("split", "EventId", "k", "LineId",
+                      F.flatten(F.transform(F.sequence(F.lit(0), F.size("texts") - 1), ids_of)).alias("vec"))
 
 
 def ragged_check(vectors: DataFrame) -> DataFrame:

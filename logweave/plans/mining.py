@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.operators import templates as T
-from logweave.operators.order import dense_index, time_gap
+from logweave.operators.order import dense_by_id, time_gap
 from logweave.operators.parse import parse_log, parsed_rows
 from logweave.plans import models
 from logweave.session import materialize as materialize_table
@@ -31,14 +31,16 @@ def keyed_lines(lines: DataFrame, content: str = "content", pos: str = "pos", ow
     that were mined.
     """
     m = tokenized_lines(lines, content)
-    return T.route(m, T.own_leaves(m, "tokens", pos) if own is None else own, "tokens")
+    if own is None:  # written: every pass over the routed lines reads it
+        own = materialize_table(T.own_leaves(m, "tokens", pos), "own-leaves")
+    return T.route(m, own, "tokens")
 
 
 def mine_catalogue(keyed: DataFrame, sim_th: float = T.SIM_TH) -> tuple[DataFrame, DataFrame]:
-    """Run the per-leaf miner once; its output and the catalogue are written
-    tables, so the change feed and the match pass reuse them."""
+    """Run the per-leaf miner once; what it finds is a written table, so the
+    change feed, the catalogue and the match pass reuse it."""
     mined = T.mine(keyed, sim_th)
-    return mined, materialize_table(T.catalogue(mined), "catalogue")
+    return mined, T.catalogue(mined)
 
 
 OWN_SCHEMA = "n_tokens int, first string"
@@ -93,7 +95,7 @@ def structured_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = keyed_lines(event_log_mining_input(spark, sf_dir))
     _, cat = mine_catalogue(keyed)
     matched = T.match(keyed, cat)
-    seq = dense_index(matched, ["line_id"], out="seq", groups=["split"])
+    seq = dense_by_id(matched, "line_id", out="seq", groups=["split"], counted=keyed.select("split", "line_id"))
     gapped = time_gap(seq, "seq", "epoch", groups=["split"])
     return gapped.select(
         "split", F.col("line_id").alias("LineId"), "seq", F.col("epoch").cast("double").alias("timestamp"),

@@ -10,9 +10,11 @@ from logweave.plans.mining import structured_event_log
 from logweave.session import materialize
 
 
-def param_rows(spark: SparkSession, sf_dir: str, mode: str = "tokens") -> DataFrame:
-    """Structured X1 rows with ``k`` (position in key) and the two parameter texts."""
-    s = structured_event_log(spark, sf_dir).select("split", "LineId", "seq", "EventId", "param", "values",
+def param_rows(spark: SparkSession, sf_dir: str, mode: str = "tokens", structured: DataFrame | None = None) -> DataFrame:
+    """Structured X1 rows with ``k`` (position in key) and the two parameter texts.
+
+    ``structured``: the structured log, where the caller has it already."""
+    s = (structured if structured is not None else structured_event_log(spark, sf_dir)).select("split", "LineId", "seq", "EventId", "param", "values",
                                                    "time_gap", "Content")
     rows = PV.param_texts(PV.keyed_rows(s), mode)
     # read by both the vocabulary fit and the encoding: written once

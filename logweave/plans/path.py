@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from logweave.operators import nextevent as NE
 from logweave.operators.ngrams import row_ngrams
-from logweave.operators.order import dense_index
+from logweave.operators.order import dense_by_id, dense_index
+from logweave.session import materialize
 from logweave.sources.derived import LINEITEM_ORDER, lineitem_events
 
 # The split point of the lineitem sequence (ship date) and the
@@ -61,7 +62,7 @@ def execution_path(seq: DataFrame, top_k: int = PATH_TOP_K, weight: str = "count
         from logweave.plans.models import load_or_fit
         model = load_or_fit(seq.sparkSession, model_path, fit_id, fit)
     else:
-        model = fit()
+        model = materialize(fit(), "path-model")  # scoring reads it more than once
     scored = NE.score(win.where(F.col("split") == "test"), model, top_k)
     return model, scored
 
@@ -69,7 +70,7 @@ def execution_path(seq: DataFrame, top_k: int = PATH_TOP_K, weight: str = "count
 def log_sequence(structured: DataFrame) -> DataFrame:
     """The structured log's known events as a sequence, renumbered per split without the unmatched lines (Q26)."""
     known = structured.where(F.col("EventId").isNotNull()).select("split", "LineId", "EventId")
-    return dense_index(known, ["LineId"], out="seq", groups=["split"])
+    return dense_by_id(materialize(known, "log-sequence"), "LineId", out="seq", groups=["split"])
 
 
 def log_path(structured: DataFrame, top_k: int = PATH_TOP_K, weight: str = "count", model_path: str | None = None,

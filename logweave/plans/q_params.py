@@ -10,6 +10,7 @@ from logweave.plans import params as PP
 from logweave.plans.catalog import register
 from logweave.plans.mining import structured_event_log
 from logweave.plans.q_mining import X1_MINING
+from logweave.session import materialize
 
 CLEAN = "$$=|/|#|:|\\[|\\]|'|\\s+|\\.|-|\\(|\\)|rhost=|,$$"
 FILTERS = "$$[!\"#$%&()*+,\\-./:;<=>?@\\[\\\\\\]^_`{|}~\\t\\n]$$"
@@ -215,6 +216,6 @@ SELECT LineId, EventId, EventTemplate, time_gap FROM sl
 WHERE split = 'test' AND LineId IN (SELECT LineId FROM ma WHERE mse > 1000)""")
 def q_trace_anomalies(spark, sf_dir):
     """J-b: rows of the structured test log whose line was flagged (left-semi join)."""
-    s = structured_event_log(spark, sf_dir).where(F.col("split") == "test")
-    flags = PP.param_value(rows(spark, sf_dir), "mean").where("is_anomaly").select("LineId")
-    return s.join(flags, "LineId", "left_semi").select("LineId", "EventId", "EventTemplate", "time_gap")
+    s = materialize(structured_event_log(spark, sf_dir), "structured-log")  # mined and matched once
+    flags = PP.param_value(PP.param_rows(spark, sf_dir, structured=s), "mean").where("is_anomaly").select("LineId")
+    return s.where(F.col("split") == "test").join(flags, "LineId", "left_semi").select("LineId", "EventId", "EventTemplate", "time_gap")
