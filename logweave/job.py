@@ -1,9 +1,11 @@
-"""Command-line job (S12 / J1): ``python -m logweave.job <train> <result> <test>``.
-
-Works the same under ``spark-submit``; reads ``messages_testset.txt`` and
-``sysmonitor_testset.txt`` from the test folder, writes ``predict.csv`` and
-then the ``predict_finish.csv`` marker to the result folder. The train folder
-is accepted and not read (as in the reference).
+"""Command-line jobs (S12), the same under ``spark-submit``.
+
+* ``python -m logweave.job <train> <result> <test>``: rule labels (J1). Reads
+  ``messages_testset.txt`` and ``sysmonitor_testset.txt`` from the test folder, writes
+  ``predict.csv`` and then the ``predict_finish.csv`` marker to the result folder. The train
+  folder is accepted and not read (as in the reference).
+* ``python -m logweave.job detect <train> <result> <test> [fit_id]``: template mining and both
+  detectors (M3, M6), see ``plans/detection.py``.
 """
 
 from __future__ import annotations
@@ -12,19 +14,28 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from logweave.plans.detection import run_detection
 from logweave.plans.labelling import run_label_job
 from logweave.session import apply_defaults, ensure_checkpoint_dir
 
+USAGE = """usage: python -m logweave.job <train_path> <result_path> <test_path>
+       python -m logweave.job detect <train_path> <result_path> <test_path> [fit_id]"""
+
 
 def main(argv: list[str]) -> int:
-    if len(argv) < 3:
-        print("usage: python -m logweave.job <train_path> <result_path> <test_path>", file=sys.stderr)
+    detect = argv[:1] == ["detect"]
+    paths = argv[1:] if detect else argv
+    if not 3 <= len(paths) <= 3 + detect:
+        print(USAGE, file=sys.stderr)
         return 2
-    train_path, result_path, test_path = argv[:3]
-    spark = SparkSession.builder.appName("logweave-label-job").getOrCreate()
+    spark = SparkSession.builder.appName("logweave-job").getOrCreate()
     apply_defaults(spark)
     ensure_checkpoint_dir(spark)
-    run_label_job(spark, test_path, result_path, train_path)
+    train_path, result_path, test_path = paths[:3]
+    if detect:
+        run_detection(spark, train_path, result_path, test_path, *paths[3:])
+    else:
+        run_label_job(spark, test_path, result_path, train_path)
     return 0
 
 

@@ -11,6 +11,7 @@ from logweave.operators.parse import parse_log, parsed_rows
 from logweave.plans import models
 from logweave.session import materialize as materialize_table
 from logweave.sources.derived import document_lines, event_log_lines
+from logweave.sources.text import concat_splits, read_lines
 
 # Fixed value: X1 train / test split point (event time).
 EVENTS_TRAIN_BEFORE = "2024-01-16 00:00:00"
@@ -46,6 +47,17 @@ def mine_catalogue(keyed: DataFrame, sim_th: float = T.SIM_TH) -> tuple[DataFram
 OWN_SCHEMA = "n_tokens int, first string"
 
 
+def text_mining_input(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Raw text logs by split (train first) in mining form; lines without a time are left out (Q28)."""
+    parts = []
+    for i, (split, path) in enumerate(paths.items()):
+        lines = read_lines(spark, path, split=split, across_files=True)
+        p = parsed_rows(parse_log(lines, split_reason=False))
+        parts.append(p.select("split", "line_id", "line", "epoch", F.col("message").alias("content"),
+                              T.order_key(F.lit(i), F.col("line_id")).alias("pos")))
+    return concat_splits(*parts)
+
+
 def fit_templates(lines: DataFrame, path: str, fit_id: str, base: str | None = None) -> DataFrame:
     """Mine ``lines`` (content, pos) and store the miner under ``path`` as ``fit_id``.
 
@@ -84,16 +96,21 @@ def event_log_mining_input(spark: SparkSession, sf_dir: str) -> DataFrame:
                     T.order_key(F.when(F.col("split") == "train", 0).otherwise(1), F.col("line_id")).alias("pos"))
 
 
-def structured_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The structured log of X1.
+def structure(lines: DataFrame, fitted: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Mine and match ``lines`` (split, line_id, line, epoch, content, pos) into the structured log.
+    With ``fitted`` (own leaves, catalogue; see ``stored_matcher``) nothing is mined.
 
     ``(split, LineId, seq, timestamp, Content, line, EventTemplate, EventId,
     param, match, values, time_gap, ParameterList)``; ``time_gap`` is text,
     ``ParameterList`` is ``struct(tokens, gap)`` as in the reference and
     ``values`` holds the line's tokens at the template's wildcards (Q18).
     """
-    keyed = keyed_lines(event_log_mining_input(spark, sf_dir))
-    _, cat = mine_catalogue(keyed)
+    if fitted is None:
+        keyed = keyed_lines(lines)
+        _, cat = mine_catalogue(keyed)
+    else:
+        own, cat = fitted
+        keyed = keyed_lines(lines, own=own)
     matched = T.match(keyed, cat)
     seq = dense_by_id(matched, "line_id", out="seq", groups=["split"], counted=keyed.select("split", "line_id"))
     gapped = time_gap(seq, "seq", "epoch", groups=["split"])
@@ -105,6 +122,11 @@ def structured_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("param").alias("tokens"), F.col("time_gap").cast("string").alias("gap")).alias("ParameterList"))
 
 
+def structured_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The structured log of X1."""
+    return structure(event_log_mining_input(spark, sf_dir))
+
+
 def document_mining_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X2 lines as mining input; ``pos`` orders documents, then lines."""
     d = document_lines(spark, sf_dir)

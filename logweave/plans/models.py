@@ -18,7 +18,7 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def _exists(spark: SparkSession, path: str, fit_id: str) -> bool:
+def has_fit(spark: SparkSession, path: str, fit_id: str) -> bool:
     """Whether ``path`` holds the fit. A missing folder means no; any other error is raised."""
     return folder_exists(spark, path) and not spark.read.parquet(path).where(F.col("fit_id") == fit_id).isEmpty()
 
@@ -36,6 +36,6 @@ def load_model(spark: SparkSession, path: str, fit_id: str, schema: str | None =
 
 
 def load_or_fit(spark: SparkSession, path: str, fit_id: str, fit: Callable[[], DataFrame]) -> DataFrame:
-    if not _exists(spark, path, fit_id):
+    if not has_fit(spark, path, fit_id):
         save_model(fit(), path, fit_id)
     return load_model(spark, path, fit_id)

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.operators import nextevent as NE
+from logweave.operators import nextevent_ml as ML
 from logweave.operators.ngrams import row_ngrams
 from logweave.operators.order import dense_by_id, dense_index
+from logweave.plans.models import folder_exists
 from logweave.session import materialize
 from logweave.sources.derived import LINEITEM_ORDER, lineitem_events
 
@@ -86,3 +88,25 @@ def null_events(structured: DataFrame) -> DataFrame:
     """Q26: lines without an event per split, which the path model leaves out."""
     return structured.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("EventId").isNull().cast("long")).alias("n_unmatched"))
+
+
+def learnt_path(seq: DataFrame, top_k: int = PATH_TOP_K, model_path: str | None = None, fit_id: str = "default",
+                iterations: int = ML.ITERATIONS) -> tuple[DataFrame, DataFrame]:
+    """M1 / M2 in the learnt form: (scored test windows, accuracy of both models on them).
+
+    With ``model_path`` a model stored as ``fit_id`` is loaded, or the new one saved."""
+    win = materialize(path_windows(seq).select("split", "seq", *NE.CTX, "y"), "path-windows")
+    train, test = (win.where(F.col("split") == s) for s in ("train", "test"))
+    spark = seq.sparkSession
+    if model_path and folder_exists(spark, f"{model_path}/fit_id={fit_id}"):
+        model = ML.load(model_path, fit_id)
+    else:
+        classes = class_count(win.select("split", F.greatest(*NE.CTX, "y").alias("EventId"))).first()["K"]
+        model = ML.fit(train, classes, iterations=iterations)
+        if model_path:
+            ML.save(model, model_path, fit_id)
+    scored = ML.score(test, model, top_k)
+    counted = NE.score(test, materialize(NE.fit(train), "path-model"), top_k)
+    both = (NE.accuracy(scored, top_k).withColumn("model", F.lit("learnt"))
+            .unionByName(NE.accuracy(counted, top_k).withColumn("model", F.lit("counts"))))
+    return scored, both

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logweave.operators import labels as L
 from logweave.operators.order import dense_index
-from logweave.operators.parse import parse_log, parsed_rows, reject_rows
+from logweave.operators.parse import parse_log, reject_rows
 from logweave.plans import mining as MI
 from logweave.plans import params as PP
+from logweave.plans import path as PATH
 from logweave.plans.catalog import register
+from logweave.plans.detection import fused
 from logweave.plans.labelling import bucket_label_table, label_lines
-from logweave.plans.oracle_views import X1_LINES, X2_LINES, with_views
+from logweave.plans.oracle_views import PATH_MODEL, X1_LINES, X2_LINES, with_views
 from logweave.plans.q_labels import X1
+from logweave.plans.q_mining import LOG_TOP_K
 from logweave.plans.q_params import P
-from logweave.session import scratch_path
+from logweave.session import materialize, scratch_path
 from logweave.sources.csvio import read_csv, write_csv
 from logweave.sources.derived import document_lines, event_log_lines
 from logweave.sources.text import read_lines
@@ -103,12 +105,18 @@ def q_distinct_content(spark, sf_dir):
     return document_lines(spark, sf_dir).select(F.col("line").alias("content")).distinct()
 
 
-@register("fuse_labels", P + """
+@register("fuse_labels", P + """,
+win AS (
+  SELECT * FROM (
+    SELECT split, LineId, seq, lag(EventId, 3) OVER w AS c1, lag(EventId, 2) OVER w AS c2, lag(EventId, 1) OVER w AS c3,
+           EventId AS y FROM sl WINDOW w AS (PARTITION BY split ORDER BY seq)) WHERE seq >= 4),""" + PATH_MODEL + f"""
 SELECT x.line_id, CASE WHEN x.line_id IN (SELECT LineId FROM ma WHERE mse > 1000) THEN 1
+       WHEN x.line_id IN (SELECT LineId FROM scored WHERE rank IS NULL OR rank > {LOG_TOP_K}) THEN 1
        WHEN regexp_matches(x.message, '(alarm.*memory)|(memory.*alarm)|(resum.*alarm)', 'i') THEN 1 ELSE 0 END AS Label
 FROM x1 x""")
 def q_fuse_labels(spark, sf_dir):
-    """Sysmonitor rule labels raised to 1 on lines the parameter model flagged."""
-    labelled = label_lines(event_log_lines(spark, sf_dir), "sysmonitor").select("line_id", "Label")
-    flags = PP.param_value(PP.param_rows(spark, sf_dir)).where("is_anomaly").select(F.col("LineId").alias("line_id"))
-    return L.fuse_labels(labelled, flags)
+    """Sysmonitor rule labels raised to 1 on lines that the parameter or the path model flagged."""
+    s = materialize(MI.structured_event_log(spark, sf_dir), "structured-log")  # both detectors read it
+    by_param = PP.param_value(PP.param_rows(spark, sf_dir, structured=s)).where("is_anomaly")
+    by_path = PATH.log_path(s, LOG_TOP_K)
+    return fused(label_lines(event_log_lines(spark, sf_dir), "sysmonitor"), by_param, by_path)

@@ -5,12 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from logweave.operators import gaps as G
 from logweave.operators import params as PV
 from logweave.plans import params as PP
 from logweave.plans.catalog import register
 from logweave.plans.mining import structured_event_log
 from logweave.plans.q_mining import X1_MINING
-from logweave.session import materialize
+from logweave.session import materialize, scratch_path
+from logweave.sources.partitioned import write_partitioned
 
 CLEAN = "$$=|/|#|:|\\[|\\]|'|\\s+|\\.|-|\\(|\\)|rhost=|,$$"
 FILTERS = "$$[!\"#$%&()*+,\\-./:;<=>?@\\[\\\\\\]^_`{|}~\\t\\n]$$"
@@ -219,3 +221,51 @@ def q_trace_anomalies(spark, sf_dir):
     s = materialize(structured_event_log(spark, sf_dir), "structured-log")  # mined and matched once
     flags = PP.param_value(PP.param_rows(spark, sf_dir, structured=s), "mean").where("is_anomaly").select("LineId")
     return s.where(F.col("split") == "test").join(flags, "LineId", "left_semi").select("LineId", "EventId", "EventTemplate", "time_gap")
+
+
+def _gaps(spark, sf_dir):
+    s = structured_event_log(spark, sf_dir).where(F.col("EventId").isNotNull())
+    return materialize(s.select("split", "LineId", "EventId", F.col("time_gap").cast("long").alias("gap")), "event-gaps")
+
+
+GAP_MODEL = X1_MINING + """,
+gp AS (SELECT split, LineId, EventId, CAST(time_gap AS BIGINT) AS gap FROM sl),
+gr AS (SELECT EventId, gap, row_number() OVER (PARTITION BY EventId ORDER BY gap) AS r, count(*) OVER (PARTITION BY EventId) AS n
+       FROM gp WHERE split = 'train'),
+gm AS (SELECT EventId, CAST(max(n) AS BIGINT) AS n_rows, min(gap) FILTER (r >= 0.25 * n) AS low,
+              min(gap) FILTER (r >= 0.5 * n) AS mid, min(gap) FILTER (r >= 0.75 * n) AS high FROM gr GROUP BY EventId)"""
+
+
+@register("gap_model", GAP_MODEL + " SELECT EventId, n_rows, low, mid, high FROM gm")
+def q_gap_model(spark, sf_dir):
+    """Q18 as a number: quartiles of the time gap per key, from mergeable sketches."""
+    return G.fit_gaps(_gaps(spark, sf_dir).where("split = 'train'"))
+
+
+@register("gap_anomalies", GAP_MODEL + """
+SELECT LineId, EventId, gap, round(abs(gap - mid) / greatest(high - low, 1), 6) AS distance
+FROM gp JOIN gm USING (EventId) WHERE split = 'test' AND abs(gap - mid) / greatest(high - low, 1) > 3.0""")
+def q_gap_anomalies(spark, sf_dir):
+    """Q18 as a number: test lines whose gap is far from the quartiles of their key."""
+    rows = _gaps(spark, sf_dir)
+    found = G.gap_distance(rows.where("split = 'test'"), G.fit_gaps(rows.where("split = 'train'"))).where("is_anomaly")
+    return found.select("LineId", "EventId", "gap", F.round("distance", 6).alias("distance"))
+
+
+@register("event_vector_sink", P + " SELECT split, EventId, k, LineId, array_to_string(vec, ',') AS vec FROM okv")
+def q_event_vector_sink(spark, sf_dir):
+    """The vectors written by (split, EventId) and read back."""
+    path = scratch_path(spark, "event-vectors")
+    v = PP.param_vectors(rows(spark, sf_dir)).where("ok")
+    write_partitioned(v.select("split", "EventId", "k", "LineId", "vec"), path, ["split", "EventId"], ["k"])
+    return spark.read.parquet(path).select("split", F.col("EventId").cast("int").alias("EventId"), "k", "LineId",
+                                           _vec_text(F.col("vec")).alias("vec"))
+
+
+@register("structured_log_sink", X1_MINING + " SELECT split, LineId, seq, EventId, EventTemplate, match, time_gap FROM sl")
+def q_structured_log_sink(spark, sf_dir):
+    """The structured log written with its nested columns by split, and read back."""
+    path = scratch_path(spark, "structured-log")
+    write_partitioned(structured_event_log(spark, sf_dir), path, ["split"], ["LineId"])
+    return spark.read.parquet(path).select("split", "LineId", "seq", "EventId", "EventTemplate", "match",
+                                           F.col("ParameterList.gap").alias("time_gap"))

@@ -135,3 +135,10 @@ def q_next_event_accuracy(spark, sf_dir):
     win = PATH.path_windows(seq)
     model = NE.fit(win.where(F.col("split") == "train"))
     return NE.accuracy_on_fit(model, PATH.PATH_TOP_K)
+
+
+@register("next_event_learnt")
+def q_next_event_learnt(spark, sf_dir):
+    """M1 learnt form: accuracy of the perceptron beside the count model on the test windows (training is not SQL)."""
+    _, both = PATH.learnt_path(PATH.lineitem_sequence(spark, sf_dir))
+    return both
