@@ -51,9 +51,30 @@ def share_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*known, root])
 
 
+_KEPT = "spark.logweave.kept."
+
+
+def override(spark: SparkSession, key: str, value: str) -> None:
+    """Change a setting for the query being built; ``apply_defaults`` puts the session's own value back."""
+    now = spark.conf.get(key)
+    if now != value:
+        spark.conf.set(_KEPT + key, f"{value} instead of {now}")
+        spark.conf.set(key, value)
+
+
+def _restore(spark: SparkSession, key: str) -> None:
+    kept = spark.conf.get(_KEPT + key, None)
+    if kept is not None:
+        value, before = kept.split(" instead of ", 1)
+        if spark.conf.get(key) == value:  # otherwise it was set anew since
+            spark.conf.set(key, before)
+        spark.conf.unset(_KEPT + key)
+
+
 def apply_defaults(spark: SparkSession) -> SparkSession:
     """Apply the settings on a session someone else built (e.g. the driver's)."""
     share_package(spark)
+    _restore(spark, "spark.sql.execution.arrow.maxRecordsPerBatch")
     for k, v in SESSION_DEFAULTS.items():
         try:
             spark.conf.set(k, v)
