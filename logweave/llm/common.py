@@ -2,8 +2,9 @@
 
 Conventions used by every operator:
 
-* the operator selects the columns it needs first, so extra columns, whatever
-  their names, never clash with internal ones;
+* the operator selects the columns it needs first, or carries the caller's whole
+  row as one struct (``packed``), so extra columns, whatever their names, never
+  clash with internal ones;
 * Arrow batches are kept small (``BATCH_ROWS``) because a row may hold a very
   long text;
 * intermediate tables are Parquet under ``spark.checkpoint.dir``.
@@ -31,7 +32,14 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Small Arrow batches for the query being built; the next one gets the session's own setting back
+    (``session.apply_defaults``, which every table access calls)."""
+    session.override(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def packed(docs: DataFrame, *keys: Column) -> DataFrame:
+    """The caller's rows as one struct ``row``, beside ``keys``; ``select("row.*")`` gives them back."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *keys)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import materialize, small_batches, without
+from logweave.llm.common import materialize, packed, small_batches, without
 
 RATE = 0.05
 MIN_CHARS = 20
@@ -155,7 +155,7 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text holds no item."""
     spark = docs.sparkSession
     small_batches(spark)
-    keyed = docs.withColumn("_row_key", F.xxhash64("doc_id", "text"))
-    found = leaks(keyed.select(F.col("_row_key").alias("doc_id"), "text"), items)
+    keyed = packed(docs, F.xxhash64("doc_id", "text").alias("_row_key"))
+    found = leaks(keyed.select(F.col("_row_key").alias("doc_id"), "row.text"), items)
     found = materialize(found.select(F.col("doc_id").alias("_row_key")).distinct(), "leaks")
-    return without(keyed, "_row_key", found).drop("_row_key")
+    return without(keyed, "_row_key", found).select("row.*")

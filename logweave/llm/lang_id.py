@@ -1,6 +1,7 @@
 """Language identification by word-first backoff.
 
-Words are maximal runs of letters, lower-cased. A word that occurs in the training
+Words are maximal runs of letters, lower-cased (a numeral such as ``½`` may be part of
+one, but is none by itself). A word that occurs in the training
 texts ("known") scores its log frequency in each language. Any other word falls
 back to its character 4-grams (with edge marks), and if none of them is known, to
 its 3-grams, 2-grams and 1-grams; it scores the mean log frequency of the known ones.
@@ -24,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm.common import materialize, shuffle_partitions, small_batches
+from logweave.llm.common import materialize, packed, shuffle_partitions, small_batches
 
 WORDS = 20_000
 GRAMS = 20_000
@@ -41,7 +43,7 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    return [w for w in _LETTERS.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -188,45 +190,54 @@ class Predictor:
         return self.model.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
+def _texts(t: pa.Table) -> list[str | None]:
+    return pc.struct_field(t.column("row"), "text").cast(pa.string()).to_pylist()
+
+
 def _rare_words(shared):
     """The distinct words of a chunk that are not at hand."""
     def run(t: pa.Table) -> pa.Table:
         near, found = shared.value.tables[0], set()
-        for text in t.column("text"):
-            found.update(words_of(text.as_py() or ""))
+        for text in _texts(t):
+            found.update(words_of(text or ""))
         rare = [w for w in found if w not in near]
         return pa.table([pa.array([t.column("_chunk")[0].as_py()] * len(rare), pa.int64()), pa.array(rare, pa.string())],
                         names=["_chunk", "gram"])
     return run
 
 
-def _score_chunk(shared, finish):
+def _score_chunk(shared, finish, columns: list[str]):
     def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
         predictor = Predictor(shared.value, shared.value.rare(counts))
-        return finish(docs, [predictor(t.as_py()) for t in docs.column("text")])
+        rows = docs.column("row").combine_chunks() if docs.num_rows else docs.column("row").chunk(0)
+        return finish(pa.table(rows.flatten(), names=columns), [predictor(t) for t in _texts(docs)])
     return run
 
 
 def _scored(docs: DataFrame, model: Model, finish, schema) -> DataFrame:
-    """``finish`` (rows, predictions) of each chunk of ``docs``."""
+    """``finish`` (rows, predictions) of each chunk of ``docs``.
+
+    The caller's row travels as one struct. Chunks and their words are read from
+    the same exchange, so texts are shuffled once. A row's chunk also depends on
+    the scan partition it comes from: rows that repeat entirely do not all meet in
+    one chunk.
+    """
     spark: SparkSession = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # bounded: see the module text
     text = F.col("text").cast("string")
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks = max(int(size // CHUNK_BYTES) + 1, 2 * spark.sparkContext.defaultParallelism)
-    dealt = (docs.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).cast("long"))
-             .repartition(min(chunks, 4 * shuffle_partitions(spark)), "_chunk"))
-    words = dealt.select("_chunk", text.alias("text")).groupBy("_chunk").applyInArrow(_rare_words(shared), "_chunk long, gram string")
+    place = F.pmod(F.xxhash64("doc_id", text, F.spark_partition_id()), F.lit(chunks)).cast("long")
+    dealt = packed(docs, place.alias("_chunk")).repartition(min(chunks, 4 * shuffle_partitions(spark)), "_chunk")
+    words = dealt.groupBy("_chunk").applyInArrow(_rare_words(shared), "_chunk long, gram string")
     met = words.join(model.words, "gram").select("_chunk", "lang", "gram", "n")
-    return dealt.groupBy("_chunk").cogroup(met.groupBy("_chunk")).applyInArrow(_score_chunk(shared, finish), schema)
+    return dealt.groupBy("_chunk").cogroup(met.groupBy("_chunk")).applyInArrow(_score_chunk(shared, finish, docs.columns), schema)
 
 
 def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` (all columns) whose language is told with a score of at least ``least``."""
-    columns = docs.columns
-
     def finish(t: pa.Table, found: list[tuple[str, float]]) -> pa.Table:
-        return t.select(columns).filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
+        return t.filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
     return _scored(docs, model, finish, docs.schema)
 
 

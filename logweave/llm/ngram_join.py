@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import (LOWER_CODE, drop_table, likely_rows, materialize, mix64, shuffle_partitions, slices, small_batches,
+from logweave.llm.common import (LOWER_CODE, drop_table, likely_rows, materialize, mix64, packed, shuffle_partitions, slices, small_batches,
                                  span_hashes, text_bytes, without)
 from logweave.llm.components import components
 
@@ -324,14 +324,14 @@ def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     keys = rows.groupBy("component", "row_key").agg(F.count("*").alias("copies"))
     keys = materialize(keys.join(first, "component").select(
         F.col("row_key").alias("_row_key"), "copies", (F.col("row_key") == F.col("keeper.row_key")).alias("stays")), "join-keys")
-    keyed = docs.withColumn("_row_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    keyed = packed(docs, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("_row_key"))
     left = without(keyed, "_row_key", keys.filter("not stays").select("_row_key"))
     often = keys.filter("stays and copies > 1").select("_row_key")
     marked = likely_rows(left, "_row_key", often, every=True)
     maybe = marked.filter("likely").drop("likely").join(often.withColumn("_often", F.lit(True)), "_row_key", "left")
     return (marked.filter("not likely").drop("likely")
             .unionByName(maybe.filter("_often is null").drop("_often"))
-            .unionByName(maybe.filter("_often").drop("_often").dropDuplicates(["_row_key"]))).drop("_row_key")
+            .unionByName(maybe.filter("_often").drop("_often").dropDuplicates(["_row_key"]))).select("row.*")
 
 
 def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
