@@ -26,10 +26,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import materialize, packed, shuffle_partitions, small_batches
+from logweave.llm.common import materialize, packed, shuffle_partitions, small_batches, without
 
 WORDS = 20_000
 GRAMS = 20_000
@@ -190,61 +190,93 @@ class Predictor:
         return self.model.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def _texts(t: pa.Table) -> list[str | None]:
-    return pc.struct_field(t.column("row"), "text").cast(pa.string()).to_pylist()
+def _split(shared):
+    """Per row: the summed scores of its frequent words, its other words as they come, and the number of all."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = shared.value.tables[0]
+        at = {w: i for i, w in enumerate(near)}
+        rows = np.array(list(near.values()) or np.zeros((1, len(shared.value.langs))))
+        for b in batches:
+            sums, rare, counts = [], [], []
+            for text in b.column("text").to_pylist():
+                words = words_of(text or "")
+                found = [at[w] for w in words if w in at]
+                sums.append(rows[found].sum(axis=0).tolist() if found else [0.0] * rows.shape[1])
+                rare.append([w for w in words if w not in at])
+                counts.append(len(words))
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(sums, pa.list_(pa.float64())), pa.array(rare, pa.list_(pa.string())),
+                                              pa.array(counts, pa.int64()), b.column("_chunk")], names=["key", "sums", "rare", "words", "_chunk"])
+    return run
 
 
-def _rare_words(shared):
+def _rare_words(t: pa.Table) -> pa.Table:
     """The distinct words of a chunk that are not at hand."""
-    def run(t: pa.Table) -> pa.Table:
-        near, found = shared.value.tables[0], set()
-        for text in _texts(t):
-            found.update(words_of(text or ""))
-        rare = [w for w in found if w not in near]
-        return pa.table([pa.array([t.column("_chunk")[0].as_py()] * len(rare), pa.int64()), pa.array(rare, pa.string())],
-                        names=["_chunk", "gram"])
+    found = pc.unique(pc.list_flatten(t.column("rare")))
+    found = found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
+    return pa.table([pa.array([t.column("_chunk")[0].as_py()] * len(found), pa.int64()), found], names=["_chunk", "gram"])
+
+
+def _score_chunk(shared):
+    def run(rows: pa.Table, counts: pa.Table) -> pa.Table:
+        model = shared.value
+        known, met = model.rare(counts), {}
+        langs, scores = [], []
+        for sums, rare, words in zip(*(rows.column(c).to_pylist() for c in ("sums", "rare", "words"))):
+            if not words or not model.langs:
+                langs.append("und")
+                scores.append(0.0)
+                continue
+            vectors = [sums]
+            for w in rare:
+                v = met.get(w)
+                if v is None:
+                    v = met[w] = model.word(w, known)
+                vectors.append(v)
+            total = np.array(vectors).sum(axis=0)
+            best = int(total.argmax())
+            langs.append(model.langs[best])
+            scores.append(float(1 / np.exp(total - total[best]).sum()))
+        return pa.table([rows.column("key"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["key", "lang_pred", "score"])
     return run
 
 
-def _score_chunk(shared, finish, columns: list[str]):
-    def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        predictor = Predictor(shared.value, shared.value.rare(counts))
-        rows = docs.column("row").combine_chunks() if docs.num_rows else docs.column("row").chunk(0)
-        return finish(pa.table(rows.flatten(), names=columns), [predictor(t) for t in _texts(docs)])
-    return run
+def _dealt(rows: DataFrame, shared) -> DataFrame:
+    """What ``rows`` (key, text) need of the distributed counts, in chunks. A row's chunk also depends on the
+    scan partition it comes from: rows that repeat entirely do not all meet in one chunk."""
+    spark = rows.sparkSession
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks = max(int(size // CHUNK_BYTES) + 1, 2 * spark.sparkContext.defaultParallelism)
+    place = F.pmod(F.xxhash64("key", "text", F.spark_partition_id()), F.lit(chunks)).cast("long")
+    return (rows.select("key", "text", place.alias("_chunk"))
+            .mapInArrow(_split(shared), "key long, sums array<double>, rare array<string>, words long, _chunk long")
+            .repartition(min(chunks, 4 * shuffle_partitions(spark)), "_chunk"))
 
 
-def _scored(docs: DataFrame, model: Model, finish, schema) -> DataFrame:
-    """``finish`` (rows, predictions) of each chunk of ``docs``.
+def scores(rows: DataFrame, model: Model) -> DataFrame:
+    """key, lang_pred, score for every row of ``rows`` (key, text).
 
-    The caller's row travels as one struct. Chunks and their words are read from
-    the same exchange, so texts are shuffled once. A row's chunk also depends on
-    the scan partition it comes from: rows that repeat entirely do not all meet in
-    one chunk.
+    Frequent words are scored where the text is read; only a row's other words
+    travel, once: chunks and their distinct words are read from one exchange.
     """
-    spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded: see the module text
-    text = F.col("text").cast("string")
-    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    chunks = max(int(size // CHUNK_BYTES) + 1, 2 * spark.sparkContext.defaultParallelism)
-    place = F.pmod(F.xxhash64("doc_id", text, F.spark_partition_id()), F.lit(chunks)).cast("long")
-    dealt = packed(docs, place.alias("_chunk")).repartition(min(chunks, 4 * shuffle_partitions(spark)), "_chunk")
-    words = dealt.groupBy("_chunk").applyInArrow(_rare_words(shared), "_chunk long, gram string")
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded: see the module text
+    dealt = _dealt(rows, shared)
+    words = dealt.groupBy("_chunk").applyInArrow(_rare_words, "_chunk long, gram string")
     met = words.join(model.words, "gram").select("_chunk", "lang", "gram", "n")
-    return dealt.groupBy("_chunk").cogroup(met.groupBy("_chunk")).applyInArrow(_score_chunk(shared, finish, docs.columns), schema)
+    return dealt.groupBy("_chunk").cogroup(met.groupBy("_chunk")).applyInArrow(
+        _score_chunk(shared), "key long, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` (all columns) whose language is told with a score of at least ``least``."""
-    def finish(t: pa.Table, found: list[tuple[str, float]]) -> pa.Table:
-        return t.filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
-    return _scored(docs, model, finish, docs.schema)
+    text = F.col("text").cast("string")
+    key = F.xxhash64("doc_id", text)
+    told = scores(docs.select(key.alias("key"), text.alias("text")), model)
+    gone = materialize(told.filter(~((F.col("lang_pred") != "und") & (F.col("score") >= least)))
+                       .select(F.col("key").alias("_row_key")).distinct(), "lang-rejected")
+    return without(packed(docs, key.alias("_row_key")), "_row_key", gone).select("row.*")
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score for every row; only the text is looked at."""
-    def finish(t: pa.Table, found: list[tuple[str, float]]) -> pa.Table:
-        return pa.table([t.column("doc_id"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                        names=["doc_id", "lang_pred", "score"])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return _scored(rows, model, finish, "doc_id long, lang_pred string, score double")
+    rows = docs.select(F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text"))
+    return scores(rows, model).withColumnRenamed("key", "doc_id")

@@ -47,12 +47,8 @@ def test_numerals_are_no_letters(spark):
 def test_rows_that_repeat_are_dealt_to_several_chunks(spark):
     model = lang_id.train(spark.createDataFrame([("aa", "lorem ipsum"), ("bb", "wyrk vox")], "lang string, text string"))
     docs = spark.range(5000, numPartitions=8).select(F.lit(None).cast("long").alias("doc_id"), F.lit("lorem").alias("text"))
-    sizes = []
-
-    def finish(t, found):
-        return t.slice(0, 1).append_column("n", [[t.num_rows]])
-    for r in lang_id._scored(docs, model, finish, "doc_id long, text string, n long").collect():
-        sizes.append(r.n)
+    rows = docs.select(F.col("doc_id").alias("key"), "text")
+    sizes = [r["count"] for r in lang_id._dealt(rows, spark.sparkContext.broadcast(model)).groupBy("_chunk").count().collect()]
     assert sum(sizes) == 5000 and len(sizes) > 3
     got = lang_id.predict(docs, model).groupBy("lang_pred").count().collect()
     assert [tuple(r) for r in got] == [("aa", 5000)]
@@ -69,3 +65,41 @@ def test_the_batch_setting_of_the_session_comes_back(spark, inputs):
         assert spark.conf.get(key) == "7000"
     finally:
         spark.conf.set(key, "10000")
+
+
+def test_scores_against_the_plain_formula(spark):
+    """Label and score of every row from counts made in Python: words by frequency, others by backoff over n-grams."""
+    import math
+    import random
+    from collections import Counter
+    rnd = random.Random(8)
+    syllables = {"aa": ["lo", "rem", "ip", "sum"], "bb": ["zqu", "ix", "wyr", "lo"]}
+    make = lambda lang, n: " ".join("".join(rnd.choices(syllables[lang], k=rnd.randint(1, 3))) for _ in range(n))
+    train = [(lang, make(lang, 30)) for lang in ("aa", "bb") for _ in range(6)]
+    docs = [(i, make(rnd.choice(["aa", "bb"]), 8) + rnd.choice(["", " Über", " x1y"])) for i in range(40)]
+    model = lang_id.train(spark.createDataFrame(train, "lang string, text string"), words=10)
+    words = {g: Counter(w for lang, t in train if lang == g for w in lang_id.words_of(t)) for g in ("aa", "bb")}
+    grams = {n: {g: Counter() for g in words} for n in lang_id.ORDERS}
+    for g, c in words.items():
+        for w, k in c.items():
+            for n in lang_id.ORDERS:
+                for x in lang_id.grams_of(w, n):
+                    grams[n][g][x] += k
+
+    def freq(tables, x):
+        types = len(set().union(*tables.values()))
+        return [math.log(tables[g][x] + lang_id.SMOOTH) - math.log(sum(tables[g].values()) + lang_id.SMOOTH * (types + 1)) for g in ("aa", "bb")]
+
+    def score(w):
+        if any(w in c for c in words.values()):
+            return freq(words, w)
+        for n in lang_id.ORDERS:
+            found = [freq(grams[n], x) for x in lang_id.grams_of(w, n) if any(x in c for c in grams[n].values())]
+            if found:
+                return [sum(v) / len(found) for v in zip(*found)]
+        return [0.0, 0.0]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in lang_id.predict(spark.createDataFrame(docs, "doc_id long, text string"), model).collect()}
+    for i, text in docs:
+        a, b = map(sum, zip(*map(score, lang_id.words_of(text))))
+        lang, p = ("aa", 1 / (1 + math.exp(b - a))) if a >= b else ("bb", 1 / (1 + math.exp(a - b)))
+        assert got[i][0] == lang and abs(got[i][1] - p) < 1e-9
