@@ -25,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -191,7 +190,8 @@ class Predictor:
 
 
 def _split(shared):
-    """Per row: the summed scores of its frequent words, its other words as they come, and the number of all."""
+    """Per row: the summed scores of its frequent words, its other words as they come (one text: no room is lost
+    to an entry per word), and the number of all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near = shared.value.tables[0]
         at = {w: i for i, w in enumerate(near)}
@@ -202,18 +202,20 @@ def _split(shared):
                 words = words_of(text or "")
                 found = [at[w] for w in words if w in at]
                 sums.append(rows[found].sum(axis=0).tolist() if found else [0.0] * rows.shape[1])
-                rare.append([w for w in words if w not in at])
+                rare.append(" ".join([w for w in words if w not in at]))
                 counts.append(len(words))
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(sums, pa.list_(pa.float64())), pa.array(rare, pa.list_(pa.string())),
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(sums, pa.list_(pa.float64())), pa.array(rare, pa.string()),
                                               pa.array(counts, pa.int64()), b.column("_chunk")], names=["key", "sums", "rare", "words", "_chunk"])
     return run
 
 
 def _rare_words(t: pa.Table) -> pa.Table:
     """The distinct words of a chunk that are not at hand."""
-    found = pc.unique(pc.list_flatten(t.column("rare")))
-    found = found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
-    return pa.table([pa.array([t.column("_chunk")[0].as_py()] * len(found), pa.int64()), found], names=["_chunk", "gram"])
+    found: set[str] = set()
+    for words in t.column("rare").to_pylist():
+        found.update(words.split())
+    return pa.table([pa.array([t.column("_chunk")[0].as_py()] * len(found), pa.int64()), pa.array(list(found), pa.string())],
+                    names=["_chunk", "gram"])
 
 
 def _score_chunk(shared):
@@ -227,7 +229,7 @@ def _score_chunk(shared):
                 scores.append(0.0)
                 continue
             vectors = [sums]
-            for w in rare:
+            for w in rare.split():
                 v = met.get(w)
                 if v is None:
                     v = met[w] = model.word(w, known)
@@ -248,7 +250,7 @@ def _dealt(rows: DataFrame, shared) -> DataFrame:
     chunks = max(int(size // CHUNK_BYTES) + 1, 2 * spark.sparkContext.defaultParallelism)
     place = F.pmod(F.xxhash64("key", "text", F.spark_partition_id()), F.lit(chunks)).cast("long")
     return (rows.select("key", "text", place.alias("_chunk"))
-            .mapInArrow(_split(shared), "key long, sums array<double>, rare array<string>, words long, _chunk long")
+            .mapInArrow(_split(shared), "key long, sums array<double>, rare string, words long, _chunk long")
             .repartition(min(chunks, 4 * shuffle_partitions(spark)), "_chunk"))
 
 
