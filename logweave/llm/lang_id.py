@@ -1,7 +1,6 @@
 """Language identification by word-first backoff.
 
-Words are maximal runs of letters, lower-cased (a numeral such as ``½`` may be part of
-one, but is none by itself). A word that occurs in the training
+Words are maximal runs of letters, lower-cased (numerals such as ``½`` or ``Ⅷ`` are no letters). A word that occurs in the training
 texts ("known") scores its log frequency in each language. Any other word falls
 back to its character 4-grams (with edge marks), and if none of them is known, to
 its 3-grams, 2-grams and 1-grams; it scores the mean log frequency of the known ones.
@@ -20,6 +19,7 @@ language in alphabetical order.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,11 +38,13 @@ SMOOTH = 0.5
 # Entries a task holds before it hands them on, and bytes of text scored in one chunk.
 HOLD = 400_000
 CHUNK_BYTES = 20_000_000
-_LETTERS = re.compile(r"[^\W\d_]+")
+# What ``\w`` has beside letters, decimal digits and the underscore.
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in _LETTERS.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
+    return _LETTERS.findall(text.lower())
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -55,9 +57,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush():
         for lang, c in held.items():
+            words = sorted(c)  # neighbours with common beginnings: half the room in the exchange
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(c), pa.string()),
-                                              "gram": pa.array(list(c), pa.string()),
-                                              "n": pa.array(list(c.values()), pa.int64())})
+                                              "gram": pa.array(words, pa.string()),
+                                              "n": pa.array([c[w] for w in words], pa.int64())})
         held.clear()
 
     for b in batches:
@@ -214,27 +217,31 @@ def _rare_words(t: pa.Table) -> pa.Table:
     found: set[str] = set()
     for words in t.column("rare").to_pylist():
         found.update(words.split())
-    return pa.table([pa.array([t.column("_chunk")[0].as_py()] * len(found), pa.int64()), pa.array(list(found), pa.string())],
+    return pa.table([pa.array([t.column("_chunk")[0].as_py()] * len(found), pa.int64()), pa.array(sorted(found), pa.string())],
                     names=["_chunk", "gram"])
 
 
 def _score_chunk(shared):
     def run(rows: pa.Table, counts: pa.Table) -> pa.Table:
         model = shared.value
-        known, met = model.rare(counts), {}
+        known, at = model.rare(counts), {}
+        vectors = np.zeros((4096, max(len(model.langs), 1)))
         langs, scores = [], []
         for sums, rare, words in zip(*(rows.column(c).to_pylist() for c in ("sums", "rare", "words"))):
             if not words or not model.langs:
                 langs.append("und")
                 scores.append(0.0)
                 continue
-            vectors = [sums]
+            ids = []
             for w in rare.split():
-                v = met.get(w)
-                if v is None:
-                    v = met[w] = model.word(w, known)
-                vectors.append(v)
-            total = np.array(vectors).sum(axis=0)
+                i = at.get(w)
+                if i is None:
+                    i = at[w] = len(at)
+                    if i == len(vectors):
+                        vectors = np.concatenate([vectors, np.zeros_like(vectors)])
+                    vectors[i] = model.word(w, known)
+                ids.append(i)
+            total = vectors[ids].sum(axis=0) + sums if ids else np.array(sums)
             best = int(total.argmax())
             langs.append(model.langs[best])
             scores.append(float(1 / np.exp(total - total[best]).sum()))
