@@ -1,6 +1,7 @@
 """Language identification by word-first backoff.
 
-Words are maximal runs of letters, lower-cased (numerals such as ``½`` or ``Ⅷ`` are no letters). A word that occurs in the training
+Words are maximal runs of letters, lower-cased (a numeral such as ``½`` may be part of
+one, but is none by itself). A word that occurs in the training
 texts ("known") scores its log frequency in each language. Any other word falls
 back to its character 4-grams (with edge marks), and if none of them is known, to
 its 3-grams, 2-grams and 1-grams; it scores the mean log frequency of the known ones.
@@ -19,7 +20,6 @@ language in alphabetical order.
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,13 +38,11 @@ SMOOTH = 0.5
 # Entries a task holds before it hands them on, and bytes of text scored in one chunk.
 HOLD = 400_000
 CHUNK_BYTES = 20_000_000
-# What ``\w`` has beside letters, decimal digits and the underscore.
-_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    return [w for w in _LETTERS.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -193,8 +191,8 @@ class Predictor:
 
 
 def _split(shared):
-    """Per row: the summed scores of its frequent words, its other words as they come (one text: no room is lost
-    to an entry per word), and the number of all."""
+    """Per row: the summed scores of its frequent words, its other words (one text, sorted: hardly any room is
+    lost to an entry per word), and the number of all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near = shared.value.tables[0]
         at = {w: i for i, w in enumerate(near)}
@@ -205,7 +203,7 @@ def _split(shared):
                 words = words_of(text or "")
                 found = [at[w] for w in words if w in at]
                 sums.append(rows[found].sum(axis=0).tolist() if found else [0.0] * rows.shape[1])
-                rare.append(" ".join([w for w in words if w not in at]))
+                rare.append(" ".join(sorted([w for w in words if w not in at])))
                 counts.append(len(words))
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(sums, pa.list_(pa.float64())), pa.array(rare, pa.string()),
                                               pa.array(counts, pa.int64()), b.column("_chunk")], names=["key", "sums", "rare", "words", "_chunk"])
