@@ -37,7 +37,7 @@ ORDERS = (4, 3, 2, 1)
 SMOOTH = 0.5
 # Entries a task holds before it hands them on, and bytes of text scored in one chunk.
 HOLD = 400_000
-CHUNK_BYTES = 20_000_000
+CHUNK_BYTES = 32_000_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
