@@ -18,8 +18,10 @@ shingles (64-bit hashes); two sets link when 100 x overlap >= percent x union.
    one component; what is left is compared exactly.
    Two rounds give each text one bucket, by its first unresolved shingle.
 4. Shingles whose holders are still in several components are traversed whole,
-   with bitmaps only (blocks against blocks where holders are many); the pairs
-   left, across components, that share enough prefix shingles are compared exactly.
+   with bitmaps only (blocks against blocks where holders are many). A set carries
+   its smallest such shingles: a pair that has met by one of them is not given out
+   again by the others. The pairs left, across components, that share enough prefix
+   shingles are compared exactly.
 5. Components of all links found.
 
 No text, no words: the set is empty and links with nothing. Null ids: rows are
@@ -50,6 +52,9 @@ FAN = 16
 # Shingles of the sets that one bucket compares exactly, and sets of one block in the last traversal.
 BUCKET_SHINGLES = 2_000_000
 BLOCK_SETS = 4_096
+# Smallest unresolved shingles of a set that travel with it, so that a pair is met once and not by every shingle it shares.
+EARLY = 4
+_NONE = 2**63 - 1
 _HOLD = 4_000_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -274,9 +279,11 @@ def _compare(width: int, percent: int):
 
 
 def _cross(percent: int):
-    """Pairs across components that the bitmaps allow, in one block or between two blocks of a shingle's holders."""
+    """Pairs across components that the bitmaps allow, in one block or between two blocks of a shingle's holders.
+
+    A pair that shares one of its ``EARLY`` smallest shingles below this one has been met there and is left out."""
     def rows(b: pa.RecordBatch):
-        return zip(*(b.column(i).to_pylist() for i in range(3, 8)))
+        return zip(*(b.column(i).to_pylist() for i in range(3, 9)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, group in _runs(batches, 3, rows):
@@ -285,14 +292,19 @@ def _cross(percent: int):
             group.sort(key=lambda g: (g[2], g[0]))
             ids, comp, sizes, block = (np.array([g[k] for g in group], np.int64) for k in (0, 1, 2, 4))
             bits = np.frombuffer(b"".join(g[3] for g in group), np.uint64).reshape(len(group), -1)
+            early = np.full((len(group), EARLY), _NONE, np.int64)
+            for k, g in enumerate(group):
+                early[k, :len(g[5])] = g[5]
             for i, j in Tree(sizes, bits, percent).pairs():
                 ok = comp[i] != comp[j]
                 if key[1] != key[2]:
                     ok &= block[i] != block[j]
-                u, v = ids[i[ok]], ids[j[ok]]
-                need = np.maximum(1, sizes[i[ok]] // SHARE)  # sizes rise, so that of the smaller set
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(need)],
-                                                 ["u", "v", "need"])
+                i, j = i[ok], j[ok]
+                met = np.zeros(len(i), bool)
+                for k in range(EARLY):
+                    met |= (early[i, k] < key[0]) & (early[i, k, None] == early[j]).any(axis=1)
+                u, v = ids[i[~met]], ids[j[~met]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
     return run
 
 
@@ -433,15 +445,21 @@ def _unresolved(entries: DataFrame, label: DataFrame) -> DataFrame:
 
 def _candidates(left: DataFrame, sets: DataFrame, percent: int, spark) -> DataFrame:
     blocks = F.ceil(F.col("holders") / BLOCK_SETS).cast("int")
-    wide = (left.join(sets.select("rid", "bits"), "rid").withColumn("blocks", blocks)
+    early = left.groupBy("rid").agg(F.slice(F.sort_array(F.collect_list("token")), 1, EARLY).alias("early"))  # of one prefix
+    wide = (left.join(early, "rid").join(sets.select("rid", "bits"), "rid").withColumn("blocks", blocks)
             .withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-                    "rid", "component", "n", "bits", "block"))
-    pairs = (wide.repartition(4 * shuffle_partitions(spark), "token", "x", "y").sortWithinPartitions("token", "x", "y")
-             .mapInArrow(_cross(percent), "u long, v long, need long")
-             .groupBy("u", "v").agg(F.count("*").alias("common"), F.max("need").alias("need"))
-             .filter("common >= need").select("u", "v"))  # linked sets share so many prefix shingles
+                    "rid", "component", "n", "bits", "block", "early"))
+    pairs = materialize(wide.repartition(4 * shuffle_partitions(spark), "token", "x", "y").sortWithinPartitions("token", "x", "y")
+                        .mapInArrow(_cross(percent), "u long, v long").distinct(), "join-met")
+    ids = materialize(pairs.select(F.explode(F.array("u", "v")).alias("rid")).distinct(), "join-met-ids")
+    prefix = materialize(likely_rows(sets.select("rid", "n", "tokens"), "rid", ids).join(ids, "rid"), "join-met-sets")
+    # linked sets share so many prefix shingles
+    need = F.greatest(F.lit(1), F.floor(F.least("n", "m") / SHARE))
+    pairs = (pairs.join(prefix.select(F.col("rid").alias("u"), "n", F.col("tokens").alias("a")), "u")
+             .join(prefix.select(F.col("rid").alias("v"), F.col("n").alias("m"), F.col("tokens").alias("b")), "v")
+             .filter(F.size(F.array_intersect("a", "b")) >= need).select("u", "v"))
     return _labelled(pairs, left.select("rid", "component").distinct())
 
 
