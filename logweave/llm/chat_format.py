@@ -7,7 +7,7 @@ named users. Loss spans cover the assistant's words and end marks.
 A row holds a block of at most ``BLOCK_ROWS`` turns or so: turns 0-63, 64-127 and
 so on; if such a stretch holds more rows (turn numbers that repeat), one block
 per turn number, and its rows dealt to several blocks by hash when they alone
-are too many. Blocks in order of (part, block_turn, piece) give the dialogue.
+are too many (equal rows are counted first and their copies dealt by number). Blocks in order of (part, block_turn, piece) give the dialogue.
 Within a block turns are in order of (turn, speaker, text).
 
 Null turn: after all others. Null speaker: "unknown". Null text: empty. A
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 PART_TURNS = 64
 BLOCK_ROWS = 256
+# Copies of one row that a single array numbers.
+_COPIES = 4_096
 END_MARK = "<|end|>\n"
 
 
@@ -47,9 +49,18 @@ def blocks(turns: DataFrame) -> DataFrame:
             .select(F.col("conv_id").alias("c"), F.col("part").alias("p")))
     split = (per_turn.alias("t").join(full, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")), "left_semi")
              .select(F.col("conv_id").alias("c"), F.col("turn").alias("u"), F.ceil(F.col("n") / PART_TURNS).alias("pieces")))
-    dealt = (rows.join(split, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("turn") == F.col("u")), "left")
-             .withColumn("block_turn", F.coalesce("u", F.col("part") * PART_TURNS))
-             .withColumn("piece", F.coalesce(F.pmod(F.xxhash64("speaker", "text"), F.col("pieces")), F.lit(0)).cast("int")))
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("turn") == F.col("u"))
+    alone = rows.join(split, same, "left_anti").select(
+        "*", (F.col("part") * PART_TURNS).alias("block_turn"), F.lit(0).alias("piece"))
+    # equal rows of a turn that is split: one row with their number, then its copies, each with its own
+    counted = (rows.join(split, same).groupBy("conv_id", "turn", "speaker", "text", "part", "pieces")
+               .agg((F.count("*") - 1).alias("last")))
+    step = F.lit(_COPIES)
+    copies = (counted.select("*", F.explode(F.sequence(F.lit(0), F.floor(F.col("last") / step))).alias("run"))
+              .select("*", F.explode(F.sequence(F.col("run") * step, F.least("last", F.col("run") * step + step - 1))).alias("copy")))
+    dealt = alone.unionByName(copies.select(
+        "conv_id", "turn", "speaker", "text", "part", F.col("turn").alias("block_turn"),
+        F.pmod(F.xxhash64("speaker", "text", "copy"), F.col("pieces")).cast("int").alias("piece")))
     return (dealt.groupBy("conv_id", "part", "block_turn", "piece")
             .agg(F.sort_array(F.collect_list(F.struct("turn", "speaker", "text"))).alias("turns")))
 

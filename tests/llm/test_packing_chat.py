@@ -105,6 +105,15 @@ def test_a_hot_conversation_is_split(spark):
         assert at == sorted(at)
 
 
+def test_equal_rows_of_a_hot_turn_are_split(spark):
+    df = spark.range(5000, numPartitions=3).selectExpr("7L as conv_id", "3L as turn", "'ann' as role", "'same' as text")
+    blocks = C.blocks(df).selectExpr("part", "block_turn", "piece", "size(turns) as n").collect()
+    assert sum(b.n for b in blocks) == 5000 and max(b.n for b in blocks) <= C.BLOCK_ROWS
+    assert sorted(blocks) == sorted(C.blocks(df.repartition(5)).selectExpr("part", "block_turn", "piece", "size(turns) as n").collect())
+    text, loss, _ = rotated(df)[7, "ann"]
+    assert text == "<|assistant|>\nsame<|end|>\n" * 5000 and loss == ["same<|end|>"] * 5000
+
+
 def test_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, 0, "a", "b")], "conv_id long, turn long, role string, text string")
     plan = C.rotate(df)._jdf.queryExecution().toString()
