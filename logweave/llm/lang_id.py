@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import materialize, packed, shuffle_partitions, small_batches, without
+from logweave.llm.common import BATCH_ROWS, materialize, packed, shuffle_partitions, small_batches, without
 
 WORDS = 20_000
 GRAMS = 20_000
@@ -213,8 +213,9 @@ def _split(shared):
 def _rare_words(t: pa.Table) -> pa.Table:
     """The distinct words of a chunk that are not at hand."""
     found: set[str] = set()
-    for words in t.column("rare").to_pylist():
-        found.update(words.split())
+    for part in t.select(["rare"]).to_batches(max_chunksize=BATCH_ROWS):
+        for words in part.column(0).to_pylist():
+            found.update(words.split())
     return pa.table([pa.array([t.column("_chunk")[0].as_py()] * len(found), pa.int64()), pa.array(sorted(found), pa.string())],
                     names=["_chunk", "gram"])
 
@@ -225,7 +226,9 @@ def _score_chunk(shared):
         known, at = model.rare(counts), {}
         vectors = np.zeros((4096, max(len(model.langs), 1)))
         langs, scores = [], []
-        for sums, rare, words in zip(*(rows.column(c).to_pylist() for c in ("sums", "rare", "words"))):
+        # a chunk's texts become Python objects a batch at a time
+        parts = rows.select(["sums", "rare", "words"]).to_batches(max_chunksize=BATCH_ROWS)
+        for sums, rare, words in (row for part in parts for row in zip(*(c.to_pylist() for c in part.columns))):
             if not words or not model.langs:
                 langs.append("und")
                 scores.append(0.0)

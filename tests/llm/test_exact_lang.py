@@ -90,3 +90,25 @@ def test_every_word_of_the_training_texts_is_known(spark):
     p = [0.5 / low[0], 3.5 / low[1]]
     assert rows[2].lang_pred == "y" and rows[2].score == pytest.approx(p[1] / sum(p))
     assert rows[3].lang_pred == "und"
+
+
+def test_a_chunk_is_scored_a_batch_at_a_time():
+    """Its texts never are Python objects all at once: the peak stays below the size of the texts."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from logweave.llm import lang_id
+
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(2000)]
+    n = 6000
+    rows = pa.table({"key": pa.array(range(n)), "sums": pa.array([[.1, .2]] * n), "words": pa.array([300] * n),
+                     "rare": [" ".join(words[(i + 7 * j) % 2000] for j in range(300)) for i in range(n)]})
+    counts = pa.table({"lang": ["a"] * 2000, "gram": words, "n": [2] * 2000})
+    model = lang_id.Model(["a", "b"], [(1, "a", "a", 3)], {(0, "a"): 5, (0, "b"): 5}, None, 10)
+    tracemalloc.start()
+    out = lang_id._score_chunk(SimpleNamespace(value=model))(rows, counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.num_rows == n and peak < rows.column("rare").nbytes
