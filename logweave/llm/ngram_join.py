@@ -20,8 +20,9 @@ shingles (64-bit hashes); two sets link when 100 x overlap >= percent x union.
 4. Shingles whose holders are still in several components are traversed whole,
    with bitmaps only (blocks against blocks where holders are many). A set carries
    its smallest such shingles: a pair that has met by one of them is not given out
-   again by the others. The pairs left, across components, that share enough prefix
-   shingles are compared exactly.
+   again by the others, and a pair that was in one bucket of a round is not given out at
+   all. The pairs left, across components, that share enough prefix shingles are
+   compared exactly.
 5. Components of all links found.
 
 No text, no words: the set is empty and links with nothing. Null ids: rows are
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm.common import (LOWER_CODE, drop_table, likely_rows, materialize, mix64, packed, shuffle_partitions, slices, small_batches,
@@ -107,7 +108,11 @@ def sets_of(column: pa.Array, width: int) -> list[np.ndarray]:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    return np.packbits(np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) > 0)
+    """``BITS`` bits, twice as many until at most 10 shingles come to 7 bits: fuller ones would rule no pair out."""
+    bits = BITS
+    while 10 * bits < 7 * len(s):
+        bits *= 2
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) > 0)
 
 
 class Tree:
@@ -161,6 +166,21 @@ class Tree:
                 yield from self._down(level - 1, x[keep], y[keep])
 
 
+def near_pairs(sizes: np.ndarray, bitmaps: list[bytes], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i < j) of sets, in order of size, that signature trees leave.
+
+    Bitmaps are longer for larger sets. Each length has its tree, with all sets large enough to link
+    with one of that length; their longer bitmaps are folded."""
+    length = np.array([len(b) for b in bitmaps])
+    for own in np.unique(length):
+        first, last = np.searchsorted(length, [own, own + 1])
+        end = np.searchsorted(sizes, 100 * sizes[last - 1] // percent, side="right")
+        bits = np.array([np.bitwise_or.reduce(np.frombuffer(b, np.uint8).reshape(-1, own)) for b in bitmaps[first:end]])
+        for i, j in Tree(sizes[first:end], bits.view(np.uint64), percent).pairs():
+            ok = i < last - first
+            yield i[ok] + first, j[ok] + first
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     n, m = len(a), len(b)
     if not n or not m or 100 * min(n, m) < percent * max(n, m):
@@ -178,8 +198,7 @@ def join_sets(ids: list[int], sets: list[np.ndarray], known: list[int], percent:
     names, label = np.unique(np.array(known, np.int64), return_inverse=True)
     own = label.copy()
     sizes = np.array([len(s) for s in sets], np.int64)
-    bits = np.array([bitmap(s) for s in sets], np.uint8).view(np.uint64)
-    for i, j in Tree(sizes, bits, percent).pairs():
+    for i, j in near_pairs(sizes, [bitmap(s).tobytes() for s in sets], percent):
         apart = label[i] != label[j]
         for a, b in zip(i[apart].tolist(), j[apart].tolist()):
             if label[a] != label[b] and linked(sets[a], sets[b], percent):
@@ -281,9 +300,10 @@ def _compare(width: int, percent: int):
 def _cross(percent: int):
     """Pairs across components that the bitmaps allow, in one block or between two blocks of a shingle's holders.
 
-    A pair that shares one of its ``EARLY`` smallest shingles below this one has been met there and is left out."""
+    A pair that shares one of its ``EARLY`` smallest shingles below this one has been met there and is left out,
+    and so is a pair that was in one bucket of a round: it has been compared exactly."""
     def rows(b: pa.RecordBatch):
-        return zip(*(b.column(i).to_pylist() for i in range(3, 9)))
+        return zip(*(b.column(i).to_pylist() for i in range(3, 10)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, group in _runs(batches, 3, rows):
@@ -291,12 +311,12 @@ def _cross(percent: int):
                 continue
             group.sort(key=lambda g: (g[2], g[0]))
             ids, comp, sizes, block = (np.array([g[k] for g in group], np.int64) for k in (0, 1, 2, 4))
-            bits = np.frombuffer(b"".join(g[3] for g in group), np.uint64).reshape(len(group), -1)
+            been = np.array([g[6] for g in group], np.int64).reshape(len(group), -1, 2)
             early = np.full((len(group), EARLY), _NONE, np.int64)
             for k, g in enumerate(group):
                 early[k, :len(g[5])] = g[5]
-            for i, j in Tree(sizes, bits, percent).pairs():
-                ok = comp[i] != comp[j]
+            for i, j in near_pairs(sizes, [g[3] for g in group], percent):
+                ok = (comp[i] != comp[j]) & ~(been[i] == been[j]).all(axis=2).any(axis=1)
                 if key[1] != key[2]:
                     ok &= block[i] != block[j]
                 i, j = i[ok], j[ok]
@@ -385,11 +405,11 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     label = materialize(_compared(texts, width, percent, spark).select(F.col("u").alias("rid"), F.col("v").alias("component")),
                         "join-label")
     left = materialize(_unresolved(entries, label), "join-left")
-    again = route(left, 1).join(texts.select("rid", "text"), "rid")
-    label = _merged(label, _compared(again, width, percent, spark))
+    again = materialize(route(left, 1), "join-again")
+    label = _merged(label, _compared(again.join(texts.select("rid", "text"), "rid"), width, percent, spark))
     left = materialize(_unresolved(entries, label), "join-left")
 
-    pairs = materialize(_candidates(left, sets, percent, spark), "join-pairs")
+    pairs = materialize(_candidates(left, sets, (start, again), percent, spark), "join-pairs")
     one = (pairs.groupBy("cu", "cv").agg(F.min(F.struct(F.xxhash64("u", "v"), "u", "v")).alias("p"))
            .select("cu", "cv", "p.u", "p.v"))
     label = _merged(label, _exact(one, texts, width, percent))
@@ -402,15 +422,19 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return materialize(of_docs.join(named, ["d1", "d2"], "left").select("doc_id", "row_key", "n", "component"), "join-groups")
 
 
+def _needed(percent: int) -> Column:
+    """Prefix shingles that a set of ``n`` shares at least with any that links with it."""
+    return F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / SHARE))
+
+
 def _shared(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Entries (rid, token) whose shingle has another holder, of the sets that have enough of them.
 
     The partner may be as small as ``percent`` of the set, and then need only share its own twentieth."""
     common = entries.groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1").select("token")
     kept = materialize(entries.join(common, "token", "left_semi"), "join-shared")
-    need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / SHARE))
     enough = (kept.groupBy("rid").agg(F.count("*").alias("c")).join(sets.select("rid", "n"), "rid")
-              .filter(F.col("c") >= need).select("rid"))
+              .filter(F.col("c") >= _needed(percent)).select("rid"))
     return kept.join(enough, "rid", "left_semi")
 
 
@@ -443,14 +467,20 @@ def _unresolved(entries: DataFrame, label: DataFrame) -> DataFrame:
     return named.join(mixed, "token", "left_semi")
 
 
-def _candidates(left: DataFrame, sets: DataFrame, percent: int, spark) -> DataFrame:
+def _candidates(left: DataFrame, sets: DataFrame, rounds: tuple[DataFrame, ...], percent: int, spark) -> DataFrame:
+    """Pairs (u, v, cu, cv) across components that may link; ``rounds`` have the bucket of each set in them."""
     blocks = F.ceil(F.col("holders") / BLOCK_SETS).cast("int")
-    early = left.groupBy("rid").agg(F.slice(F.sort_array(F.collect_list("token")), 1, EARLY).alias("early"))  # of one prefix
+    early = (left.groupBy("rid").agg(F.slice(F.sort_array(F.collect_list("token")), 1, EARLY).alias("early"),  # of one prefix
+                                     F.first("n").alias("n"), F.count("*").alias("c"))
+             .filter(F.col("c") >= _needed(percent)).select("rid", "early", F.array().cast("array<long>").alias("been")))
+    for bucket in rounds:  # sets left at the end were in both
+        early = (early.join(bucket.select("rid", F.array("token", "part").alias("_bucket")), "rid")
+                 .select("rid", "early", F.concat("been", "_bucket").alias("been")))
     wide = (left.join(early, "rid").join(sets.select("rid", "bits"), "rid").withColumn("blocks", blocks)
             .withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-                    "rid", "component", "n", "bits", "block", "early"))
+                    "rid", "component", "n", "bits", "block", "early", "been"))
     pairs = materialize(wide.repartition(4 * shuffle_partitions(spark), "token", "x", "y").sortWithinPartitions("token", "x", "y")
                         .mapInArrow(_cross(percent), "u long, v long").distinct(), "join-met")
     ids = materialize(pairs.select(F.explode(F.array("u", "v")).alias("rid")).distinct(), "join-met-ids")

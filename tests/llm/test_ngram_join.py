@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from logweave.llm import ngram_join as J
@@ -90,3 +91,40 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 7), (200, 201), (201, 202), (300, 300)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert all(got[i] == 0 for i in range(41)) and got[100] == 0 and got[202] == got[200] == 200
+
+
+def crossed(sets, been, percent=85):
+    """Pairs that the last traversal gives out for the holders of one shingle (ids by position, one component each)."""
+    n = len(sets)
+    batch = pa.RecordBatch.from_pydict({
+        "token": pa.array([5] * n), "x": pa.array([0] * n), "y": pa.array([0] * n), "rid": pa.array(range(n)),
+        "component": pa.array(range(n)), "n": pa.array([len(s) for s in sets]), "bits": [J.bitmap(s).tobytes() for s in sets],
+        "block": pa.array([0] * n), "early": pa.array([[5]] * n, pa.list_(pa.int64())), "been": pa.array(been, pa.list_(pa.int64()))})
+    return [p for b in J._cross(percent)(iter([batch])) for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+
+
+def test_large_sets_that_share_little_are_no_candidates():
+    """A bitmap that all large sets fill would leave every pair of them."""
+    rng = np.random.default_rng(5)
+    some = lambda n: rng.integers(0, 1 << 62, n, dtype=np.uint64)
+    common = some(300)
+    sets = [np.unique(np.append(some(int(n)), common)) for n in rng.integers(1000, 9000, 40)]
+    # near copies, also on both sides of a size where bitmaps get longer (1,462, 2,925 and 5,851 shingles)
+    for n in (1460, 2920, 5850, 8000):
+        base = some(n)
+        sets += [np.unique(base), np.unique(np.append(base[n // 20:], some(n // 20 + 20))), np.unique(np.append(base, some(n // 10)))]
+    linked = {(i, j) for j in range(len(sets)) for i in range(j) if J.linked(sets[i], sets[j], 85)}
+    got = crossed(sets, [[k, 0, k, 0] for k in range(len(sets))])
+    assert linked <= set(got) and len(linked) >= 8
+    assert len(got) <= 40
+
+
+def test_pairs_compared_in_a_bucket_are_no_candidates():
+    """Two sets that were in one bucket (shingle and part) of a round have been compared exactly."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 62, 300, dtype=np.uint64)
+    sets = [np.unique(np.append(base[30:], rng.integers(0, 1 << 62, 15, dtype=np.uint64))) for _ in range(4)]
+    every = {(i, j) for j in range(4) for i in range(j)}
+    assert set(crossed(sets, [[k, 0, 9, k] for k in range(4)])) == every
+    assert set(crossed(sets, [[8, 1, k, 0] for k in range(4)])) == set()
+    assert set(crossed(sets, [[8, 0, 3, 0], [8, 1, 3, 0], [8, 0, 4, 0], [8, 1, 5, 0]])) == every - {(0, 1), (0, 2), (1, 3)}
