@@ -25,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import BATCH_ROWS, materialize, packed, shuffle_partitions, small_batches, without
+from logweave.llm.common import materialize, packed, shuffle_partitions, small_batches, without
 
 WORDS = 20_000
 GRAMS = 20_000
@@ -38,6 +39,8 @@ SMOOTH = 0.5
 # Entries a task holds before it hands them on, and bytes of text scored in one chunk.
 HOLD = 400_000
 CHUNK_BYTES = 32_000_000
+# Rows of a chunk that are scored at once.
+SCORED_ROWS = 2_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -114,12 +117,16 @@ class Model:
     def __getstate__(self):
         return {**self.__dict__, "words": None}
 
-    def rare(self, counts: pa.Table) -> dict[str, list[float]]:
-        """Log frequencies of the words of ``counts`` (lang, gram, n)."""
-        found: dict[str, np.ndarray] = {}
-        for lang, w, n in zip(*(counts.column(c).to_pylist() for c in ("lang", "gram", "n"))):
-            found.setdefault(w, np.zeros(len(self.langs)))[self.at[lang]] = n
-        return {w: (np.log(c + SMOOTH) - self.low).tolist() for w, c in found.items()}
+    def rare(self, counts: pa.Table) -> tuple[pa.Array, np.ndarray]:
+        """The distinct words of ``counts`` (lang, gram, n), and a row of log frequencies for each."""
+        gram = pc.dictionary_encode(counts.column("gram").cast(pa.large_string()).combine_chunks())
+        rows = np.zeros((len(gram.dictionary), len(self.langs)))
+        lang = pc.index_in(counts.column("lang").combine_chunks(), value_set=pa.array(self.langs, counts.schema.field("lang").type))
+        rows[gram.indices.to_numpy(), lang.to_numpy()] = counts.column("n").to_numpy()
+        rows += SMOOTH
+        np.log(rows, out=rows)
+        rows -= self.low
+        return gram.dictionary, rows
 
     def word(self, w: str, rare: dict[str, list[float]] = {}) -> list[float]:  # noqa: B006
         """Score of a word in each language; ``rare`` has the known words that are not at hand."""
@@ -166,7 +173,10 @@ class Predictor:
 
     def __init__(self, model: Model, rare: dict[str, list[float]] | None = None):
         self.model, self.k = model, len(model.langs)
-        self.rare = model.rare(model.words.toArrow()) if rare is None else rare
+        if rare is None:
+            words, rows = model.rare(model.words.toArrow())
+            rare = dict(zip(words.to_pylist(), rows.tolist()))
+        self.rare = rare
         self.at: dict[str, int] = {}
         self.rows = np.zeros((1024, max(self.k, 1)))
 
@@ -210,42 +220,51 @@ def _split(shared):
     return run
 
 
+def _words_in(rare: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of some texts, one after the other, as an Arrow array, and their number in each text
+    (a text without any has one, the empty one)."""
+    split = pc.split_pattern(rare.cast(pa.large_string()), " ")
+    return split.flatten(), pc.list_value_length(split).to_numpy()
+
+
 def _rare_words(t: pa.Table) -> pa.Table:
     """The distinct words of a chunk that are not at hand."""
-    found: set[str] = set()
-    for part in t.select(["rare"]).to_batches(max_chunksize=BATCH_ROWS):
-        for words in part.column(0).to_pylist():
-            found.update(words.split())
-    return pa.table([pa.array([t.column("_chunk")[0].as_py()] * len(found), pa.int64()), pa.array(sorted(found), pa.string())],
-                    names=["_chunk", "gram"])
+    parts = [pc.unique(_words_in(b.column(0))[0]) for b in t.select(["rare"]).to_batches(max_chunksize=SCORED_ROWS)]
+    found = pc.unique(pa.chunked_array(parts, pa.large_string()))
+    del parts
+    found = found.filter(pc.not_equal(found, ""))
+    found = found.take(pc.sort_indices(found)).cast(pa.string())
+    return pa.table([pa.array(np.full(len(found), t.column("_chunk")[0].as_py(), np.int64)), found], names=["_chunk", "gram"])
 
 
 def _score_chunk(shared):
     def run(rows: pa.Table, counts: pa.Table) -> pa.Table:
         model = shared.value
-        known, at = model.rare(counts), {}
-        vectors = np.zeros((4096, max(len(model.langs), 1)))
+        words, known = model.rare(counts)
+        far: dict[str, list[float]] = {}  # scores of the words without a count
         langs, scores = [], []
-        # a chunk's texts become Python objects a batch at a time
-        parts = rows.select(["sums", "rare", "words"]).to_batches(max_chunksize=BATCH_ROWS)
-        for sums, rare, words in (row for part in parts for row in zip(*(c.to_pylist() for c in part.columns))):
-            if not words or not model.langs:
-                langs.append("und")
-                scores.append(0.0)
-                continue
-            ids = []
-            for w in rare.split():
-                i = at.get(w)
-                if i is None:
-                    i = at[w] = len(at)
-                    if i == len(vectors):
-                        vectors = np.concatenate([vectors, np.zeros_like(vectors)])
-                    vectors[i] = model.word(w, known)
-                ids.append(i)
-            total = vectors[ids].sum(axis=0) + sums if ids else np.array(sums)
-            best = int(total.argmax())
-            langs.append(model.langs[best])
-            scores.append(float(1 / np.exp(total - total[best]).sum()))
+        # a chunk's texts are split a batch at a time; of their words, only those without a count become Python objects
+        for part in rows.select(["sums", "rare", "words"]).to_batches(max_chunksize=SCORED_ROWS):
+            flat, length = _words_in(part.column(1))
+            flat = pc.dictionary_encode(flat)
+            met, ids = flat.dictionary, flat.indices.to_numpy()
+            at = pc.fill_null(pc.index_in(met, value_set=words), -1).to_numpy()
+            vectors = known[at] if len(known) else np.zeros((len(at), max(len(model.langs), 1)))
+            unknown = np.flatnonzero(at < 0) if model.langs else np.zeros(0, np.int64)
+            for i, w in zip(unknown.tolist(), met.take(pa.array(unknown)).to_pylist()):
+                if w not in far:
+                    far[w] = model.word(w) if w else [0.0] * len(model.langs)  # no word at all: a row without any
+                vectors[i] = far[w]
+            ends = np.cumsum(length)
+            for sums, n, lo, hi in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), (ends - length).tolist(), ends.tolist()):
+                if not n or not model.langs:
+                    langs.append("und")
+                    scores.append(0.0)
+                    continue
+                total = vectors[ids[lo:hi]].sum(axis=0) + sums
+                best = int(total.argmax())
+                langs.append(model.langs[best])
+                scores.append(float(1 / np.exp(total - total[best]).sum()))
         return pa.table([rows.column("key"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["key", "lang_pred", "score"])
     return run
 

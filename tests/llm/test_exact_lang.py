@@ -112,3 +112,34 @@ def test_a_chunk_is_scored_a_batch_at_a_time():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert out.num_rows == n and peak < rows.column("rare").nbytes
+
+
+def test_a_chunk_keeps_its_known_words_out_of_python():
+    """Words with counts are met as Arrow arrays: no Python string, list or array for each of them."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from logweave.llm import lang_id
+
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}{chr(97 + i // 17576)}" for i in range(40_000)]
+    model = lang_id.Model(["a", "b"], [(1, "a", "x", 3)], {(0, "a"): 5, (0, "b"): 90_000, (1, "a"): 9, (1, "b"): 9}, None, 40_000)
+    rare = [" ".join(words[i:i + 400]) for i in range(0, 40_000, 400)] + ["", "xx zz", "waaaa xx"]
+    rows = pa.table({"key": pa.array(range(103)), "sums": pa.array([[.1, .2]] * 103),
+                     "words": pa.array([400] * 100 + [0, 2, 2]), "rare": rare, "_chunk": pa.array([7] * 103)})
+    found = lang_id._rare_words(rows)
+    assert found.column("gram").to_pylist() == sorted({*words, "xx", "zz"}) and set(found.column("_chunk").to_pylist()) == {7}
+    counts = pa.table({"lang": ["b"] * 40_000 + ["a"], "gram": [*words, words[0]], "n": [2] * 40_000 + [7]})
+    tracemalloc.start()
+    out = lang_id._score_chunk(SimpleNamespace(value=model))(rows, counts).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6_000_000  # 40,000 lists and strings: over 10 MB
+    low = model.low
+    known = np.log([0 + .5, 2 + .5]) - low
+    for r, want in ((out[1], 400 * known + [.1, .2]), (out[101], np.array(model.word("xx")) + model.word("zz") + [.1, .2]),
+                    (out[102], np.log([7 + .5, 2 + .5]) - low + model.word("xx") + [.1, .2])):
+        assert r["lang_pred"] == "ab"[int(want.argmax())]
+        assert r["score"] == pytest.approx(1 / np.exp(want - want.max()).sum())
+    assert (out[100]["lang_pred"], out[100]["score"]) == ("und", 0.0)
