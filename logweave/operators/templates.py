@@ -12,10 +12,10 @@ Pipeline, all on Spark:
 4. ``mine``: greedy clustering inside each leaf (published Drain procedure:
    similarity = equal non-wildcard positions / length, best match wins, ties
    to more wildcards then the older cluster; merge turns differing positions
-   into wildcards). Leaves are independent; a large leaf is cut into chunks of
-   fixed length by position, whose catalogues are merged by the same rule in a
-   fixed tree. Rows stream through in batches, candidates come from an inverted
-   index, and mining can go on from a stored state.
+   into wildcards). Leaves are independent; the lines of a leaf, however many,
+   are added one after another in position order. Rows stream through in
+   batches, candidates come from an inverted index, and mining can go on from a
+   stored state.
 5. ``match``: second pass, every line against the finished templates of its
    leaf (exact match, wildcards match anything) through a discrimination tree.
    A leaf's lines are dealt to several tasks.
@@ -180,29 +180,33 @@ def order_key(hi: Column, lo: Column) -> Column:
 
 MINE_SCHEMA = ("kind string, n_tokens int, leaf_token string, level int, piece long, local_id int, pos decimal(38,0), "
                "change_type string, template array<string>, size long")
-# Lines of a leaf that are clustered one after another, and catalogues merged by one task.
-CHUNK_ROWS = 32_768
+# Catalogues merged by one task where a caller asks for chunks.
 FAN = 64
+# Longer than any leaf: lines of one piece when no chunks are asked for.
+_WHOLE = 1 << 62
 
 
 # Up to so many clusters a line is compared with all of them; beyond, with those the index proposes.
 COMPARED = 128
+# Lines whose cluster is kept at hand until a cluster changes.
+_SETTLED = 1 << 16
 
 
 class LeafClusters:
     """Clusters of one leaf (or of one chunk of it) while lines are added in position order.
 
-    Templates are rows of token numbers in one integer table (0: wildcard), four
-    bytes a token. The postings have, for every (position, token), the clusters
-    whose template held that token there when it was opened; what a wildcard
-    has replaced since stays in them and is sorted out by the comparison with
-    the table. A cluster is similar enough to a line only if it shares ``need``
-    positions with it, so of the line's postings without the ``need - k``
-    longest it occurs in ``k``: only those clusters are compared. A close
-    cluster found in the shortest postings raises ``need`` first.
+    Templates are rows of numbers in one integer table (0: wildcard), four
+    bytes a token; a number stands for a token at its position. The postings
+    have, for every number, the clusters whose template held it when it was
+    opened; what a wildcard has replaced since stays in them and is sorted out
+    by the comparison with the table. A cluster is similar enough to a line only
+    if it shares ``need`` positions with it, so of the line's postings without
+    the ``need - k`` longest it occurs in ``k``: only those clusters are
+    compared. A close cluster found in the shortest postings raises ``need`` first.
     """
 
-    __slots__ = ("sim_th", "wild", "sizes", "first", "last", "last_at", "last_pos", "_need", "_numbers", "_words", "_table", "_posted")
+    __slots__ = ("sim_th", "wild", "sizes", "first", "last", "last_at", "last_pos", "_need", "_numbers", "_known", "_words", "_table",
+                 "_posted", "_settled")
 
     def __init__(self, sim_th: float = SIM_TH):
         self.sim_th = sim_th
@@ -212,10 +216,12 @@ class LeafClusters:
         self.last = self.last_pos = None
         self.last_at = -1
         self._need: dict[int, int] = {}
-        self._numbers: dict[str, int] = {}
+        self._numbers: list[dict[str, int]] = []  # by position
+        self._known: dict[str, str] = {}
         self._words: list[str] = [PARAM]
         self._table = None
-        self._posted: dict[int, int | array] | None = None  # by position << 32 | token number; a single cluster as it is
+        self._posted: list[int | array] | None = None  # by number; a single cluster as it is
+        self._settled: dict[str, int] = {}
 
     def need(self, n: int) -> int:
         """The least number of equal positions that reaches the similarity threshold."""
@@ -241,10 +247,11 @@ class LeafClusters:
                     out.setdefault((i, t), set()).add(c)
         return out
 
-    def _line(self, toks: list[str]):
-        """A line's token numbers; -1, which equals nothing, for a wildcard and for a token not seen yet."""
-        get = self._numbers.get
-        return np.fromiter((get(t, -1) for t in toks), np.int32, len(toks))
+    def _line(self, toks: list[str]) -> list[int]:
+        """A line's numbers; -1, which equals nothing, for a wildcard and for a token not seen yet."""
+        if not self._numbers:
+            self._numbers = [{} for _ in toks]
+        return [at.get(t, -1) for at, t in zip(self._numbers, toks)]
 
     def _closest(self, line, near, need: int) -> tuple[int, int]:
         """(equal positions, cluster) of the best of the clusters ``near`` (None: all); cluster -1 if none has ``need``."""
@@ -259,38 +266,49 @@ class LeafClusters:
 
     def best(self, toks: list[str]) -> int:
         """The cluster of highest similarity, then of more wildcards, then the oldest; -1 if none is similar enough."""
-        n = len(toks)
+        return self._best(self._line(toks))
+
+    def _best(self, numbers: list[int]) -> int:
+        n = len(numbers)
         if n == 0 or not self.sizes:
             return 0 if self.sizes else -1
-        need, line = self.need(n), self._line(toks)
+        need = self.need(n)
         if need == 0 or self._posted is None:
-            return self._closest(line, None, need)[1]
-        get = self._posted.get
-        lists = [e if isinstance(e, array) else array("i", (e,)) for i, w in enumerate(line.tolist())
-                 if w >= 0 and (e := get(i << 32 | w)) is not None]
-        if len(lists) < need:
+            return self._closest(np.array(numbers, np.int32), None, need)[1]
+        posted = self._posted
+        held = [posted[w] for w in numbers if w > 0]
+        if len(held) < need:
             return -1
-        lists.sort(key=len)
-        found, at = self._closest(line, np.array(lists[0], np.int32), need)
-        if at >= 0 and found == len(lists):
+        line = np.array(numbers, np.int32)
+        single = [e for e in held if type(e) is int]
+        lists = sorted([e for e in held if type(e) is not int], key=len)
+        shortest = np.array(single[:1], np.int32) if single else np.frombuffer(lists[0], np.int32)
+        found, at = self._closest(line, shortest, need)
+        if at >= 0 and found == len(held):
             return at
         k = min(found, 3)
-        near = np.concatenate([np.frombuffer(e, np.int32) for e in lists[:len(lists) - found + k]])
+        most = len(held) - found + k
+        near = np.array(single[:most], np.int32)
+        if most > len(single):
+            near = np.concatenate([near, *[np.frombuffer(e, np.int32) for e in lists[:most - len(single)]]])
         if k > 1:  # named k times
             near.sort()
             near = near[k - 1:][near[k - 1:] == near[:1 - k]]
         return self._closest(line, near, found)[1]
 
-    def _post(self, c: int) -> None:
-        for i, w in enumerate(self._table[c].tolist()):
+    def _post(self, c: int, numbers: list[int]) -> None:
+        posted = self._posted
+        for w in numbers:
             if w:
-                held = self._posted.setdefault(i << 32 | w, c)
-                if isinstance(held, array):
+                held = posted[w]
+                if type(held) is not int:
                     held.append(c)
-                elif held != c:
-                    self._posted[i << 32 | w] = array("i", (held, c))
+                elif held < 0:
+                    posted[w] = c
+                else:
+                    posted[w] = array("i", (held, c))
 
-    def _open(self, toks: list[str], size: int, pos) -> int:
+    def _open(self, toks: list[str], numbers: list[int], size: int, pos) -> int:
         c, n = len(self.sizes), len(toks)
         if self._table is None:
             self._table = np.empty((4, n), np.int32)
@@ -298,57 +316,80 @@ class LeafClusters:
             grown = np.empty((c + c // 2 + 1, n), np.int32)
             grown[:c] = self._table
             self._table = grown
-        numbers, words = self._numbers, self._words
-        for i, t in enumerate(toks):
-            if t == PARAM:
-                w = 0
-            elif (w := numbers.get(t)) is None:
-                w = numbers[t] = len(words)
-                words.append(t)
-            self._table[c, i] = w
-        self.wild.append(sum(t == PARAM for t in toks))
+        if -1 in numbers:
+            words, posted = self._words, self._posted
+            for i, w in enumerate(numbers):
+                if w < 0:
+                    t = toks[i]
+                    if t == PARAM:
+                        numbers[i] = 0
+                        continue
+                    numbers[i] = self._numbers[i][t] = len(words)
+                    words.append(self._known.setdefault(t, t))
+                    if posted is not None:
+                        posted.append(-1)
+        self._table[c] = numbers
+        self.wild.append(numbers.count(0))
         self.sizes.append(size)
         self.first.append(pos)
         if self._posted is not None:
-            self._post(c)
+            self._post(c, numbers)
         elif c + 1 > COMPARED:
-            self._posted = {}
+            self._posted = [-1] * len(self._words)
             for old in range(c + 1):
-                self._post(old)
+                self._post(old, self._table[old].tolist())
         return c
 
-    def _merge(self, c: int, toks: list[str]) -> bool:
+    def _merge(self, c: int, numbers: list[int]) -> bool:
         """Positions where template and line differ become wildcards; says whether there were any."""
         row = self._table[c]
-        other = (row != self._line(toks)) & (row != 0)
+        other = (row != np.array(numbers, np.int32)) & (row != 0)
         changed = int(other.sum())
         if changed:
             row[other] = 0
             self.wild[c] += changed
         return changed > 0
 
-    def add(self, pos, toks: list[str], count: int = 1) -> tuple[str, int] | None:
-        """Add a line (or a template that stands for ``count`` lines); the change it makes, if any, and its cluster."""
+    def again(self, pos, text: str, count: int = 1) -> bool:
+        """Add a line that was added before, if no cluster was made or changed since: it joins its cluster unchanged."""
+        c = self._settled.get(text, -1)
+        if c < 0:
+            return False
+        self._advance(pos)
+        self.sizes[c] += count
+        return True
+
+    def _advance(self, pos) -> None:
         if self.last_pos is not None and pos < self.last_pos:
             raise ValueError("rows of a leaf must arrive in position order")
         self.last_pos = pos
+
+    def add(self, pos, toks: list[str], count: int = 1, text: str | None = None) -> tuple[str, int] | None:
+        """Add a line (or a template that stands for ``count`` lines); the change it makes, if any, and its cluster."""
+        self._advance(pos)
         if self.last_at >= 0 and toks == self.last:
             # a repeat of the previous line joins the same cluster unchanged
             self.sizes[self.last_at] += count
             return None
-        c = self.best(toks)
+        numbers = self._line(toks)
+        c = self._best(numbers)
         if c < 0:
-            c, what = self._open(toks, count, pos), "cluster_created"
+            c, what = self._open(toks, numbers, count, pos), "cluster_created"
         else:
             self.sizes[c] += count
-            what = "cluster_template_changed" if self._merge(c, toks) else None
+            what = "cluster_template_changed" if self._merge(c, numbers) else None
+        plain = PARAM not in toks
         # a template with wildcards is no line: its repeat is scored anew
-        self.last, self.last_at = list(toks), -1 if PARAM in toks else c
+        self.last, self.last_at = list(toks), c if plain else -1
+        if self._settled and (what or len(self._settled) >= _SETTLED):
+            self._settled.clear()
+        if plain and text is not None:
+            self._settled[text] = c
         return (what, c) if what else None
 
     def restore(self, template: list[str], size: int, pos) -> None:
         """Take over a finished cluster as it is."""
-        self._open(template, size, pos)
+        self._open(template, self._line(template), size, pos)
 
     def rows(self) -> Iterator[tuple]:
         """(local id from 1, first position, template, size) of every cluster."""
@@ -384,6 +425,39 @@ def _slices(b) -> Iterator:
         yield b.slice(i, _SLICE)
 
 
+def _runs(batches, collapse: bool) -> Iterator[tuple]:
+    """The rows of ``_STREAM``; with ``collapse`` consecutive repeats of a line as one row with their number: they
+    join the cluster of the first unchanged. A run goes on from batch to batch."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    held = None
+    for b in (part for whole in batches for part in _slices(whole)):
+        if not b.num_rows:
+            continue
+        cols, size = [b.column(c) for c in _STREAM], b.column("size").to_numpy(zero_copy_only=False)
+        at, of = np.arange(b.num_rows), _STREAM.index
+        if collapse and b.num_rows > 1:
+            same = np.ones(b.num_rows - 1, bool)
+            for c in ("n_tokens", "leaf_token", "piece", "take", "text"):
+                now, before = cols[of(c)].slice(1), cols[of(c)].slice(0, b.num_rows - 1)
+                both = pc.or_kleene(pc.equal(now, before), pc.and_(pc.is_null(now), pc.is_null(before)))
+                same &= pc.fill_null(both, False).to_numpy(zero_copy_only=False)
+            same &= cols[of("take")].to_numpy(zero_copy_only=False)[1:] == 1
+            at = np.flatnonzero(np.concatenate([[True], ~same]))
+            size = np.add.reduceat(size, at)
+        heads = pa.array(at)
+        lists = [size.tolist() if c == "size" else col.take(heads).to_pylist() for c, col in zip(_STREAM, cols)]
+        for row in zip(*lists):
+            if held is not None:
+                if collapse and row[3] == held[3] == 1 and row[6] == held[6] and row[:3] == held[:3]:
+                    held = (*held[:7], held[7] + row[7], held[8])
+                    continue
+                yield held
+            held = row
+    if held is not None:
+        yield held
+
+
 def _cluster_stream(sim_th: float, level: int, feed: bool = True):
     """mapInArrow function: one catalogue per (leaf, piece), and with ``feed`` the changes made by ``fresh`` rows."""
     import pyarrow as pa
@@ -401,30 +475,30 @@ def _cluster_stream(sim_th: float, level: int, feed: bool = True):
             for i, pos, tpl, size in clusters.rows():
                 yield "piece", key[0], key[1], level, key[2], i, pos, None, GLUE.join(tpl), size
 
-        for b in (part for whole in batches for part in _slices(whole)):
-            for n, leaf, piece, take, pos, _, text, size, fresh in zip(*(b.column(c).to_pylist() for c in _STREAM)):
-                if (n, leaf, piece) != key:
-                    if key is not None:
-                        for row in flush():
-                            out.append(row)
-                            if len(out) >= _SLICE:
-                                yield batch(out)
-                                out = []
-                    key, clusters = (n, leaf, piece), LeafClusters(sim_th)
-                    if key in done:
-                        raise ValueError(f"rows of leaf {key} are not contiguous in the partition")
-                    done.add(key)
-                toks = _cut(n, text)
-                if take == 0:
-                    clusters.restore(toks, size, pos)
-                    continue
-                change = clusters.add(pos, toks, size)
-                if feed and change is not None and fresh:
-                    what, c = change
-                    out.append(("change", n, leaf, level, piece, c + 1, pos, what, GLUE.join(clusters.template(c)), clusters.sizes[c]))
-            if len(out) >= _SLICE:
-                yield batch(out)
-                out = []
+        for n, leaf, piece, take, pos, _, text, size, fresh in _runs(batches, level == 0):
+            if (n, leaf, piece) != key:
+                if key is not None:
+                    for row in flush():
+                        out.append(row)
+                        if len(out) >= _SLICE:
+                            yield batch(out)
+                            out = []
+                key, clusters = (n, leaf, piece), LeafClusters(sim_th)
+                if key in done:
+                    raise ValueError(f"rows of leaf {key} are not contiguous in the partition")
+                done.add(key)
+            if take == 0:
+                clusters.restore(_cut(n, text), size, pos)
+                continue
+            if clusters.again(pos, text, size):
+                continue
+            change = clusters.add(pos, _cut(n, text), size, text)
+            if feed and change is not None and fresh:
+                what, c = change
+                out.append(("change", n, leaf, level, piece, c + 1, pos, what, GLUE.join(clusters.template(c)), clusters.sizes[c]))
+                if len(out) >= _SLICE:
+                    yield batch(out)
+                    out = []
         if key is not None:
             for row in flush():
                 out.append(row)
@@ -444,19 +518,17 @@ def _leaf_equal(a: DataFrame, b: DataFrame) -> Column:
 _PIECE = ["n_tokens", "leaf_token", "piece"]
 
 
-def _sorted_stream(rows: DataFrame) -> DataFrame:
-    return rows.select(*_STREAM).repartition(*_PIECE).sortWithinPartitions(*_PIECE, "take", "pos", "local_id")
+# Python tasks for each shuffle partition: leaves are of unlike size, and the work is in their lines, not their bytes.
+_TASKS = 4
+
+
+def _dealt(rows: DataFrame, *place: str) -> DataFrame:
+    """Rows of a place in one task; so many tasks that adaptive execution, which goes by bytes, does not join any."""
+    return rows.repartition(_TASKS * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *place)
 
 
-def _collapsed(rows: DataFrame) -> DataFrame:
-    """Consecutive repeats of a line inside one piece as one row with their number: they join the cluster
-    of the first unchanged. The windows are bounded by a chunk and reuse the stream's partitioning and sort."""
-    w = Window.partitionBy(*_PIECE).orderBy("take", "pos", "local_id")
-    marked = (rows.withColumn("_rn", F.row_number().over(w)).withColumn("_prev", F.lag("text").over(w))
-              .withColumn("_line", F.lag("take", 1, 0).over(w) == 1).withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*_PIECE))))
-    heads = marked.where((F.col("take") == 0) | ~F.col("_line") | (F.col("_prev") != F.col("text")))
-    run = F.coalesce(F.lead("_rn").over(w), F.col("_cnt") + 1) - F.col("_rn")
-    return heads.withColumn("size", F.when(F.col("take") == 0, F.col("size")).otherwise(run).cast("long")).select(*_STREAM)
+def _sorted_stream(rows: DataFrame) -> DataFrame:
+    return _dealt(rows.select(*_STREAM), *_PIECE).sortWithinPartitions(*_PIECE, "take", "pos", "local_id")
 
 
 def _levels(sizes: DataFrame, chunk_rows: int, fan: int) -> int:
@@ -493,31 +565,31 @@ def _into_chunks(keyed: DataFrame, sizes: DataFrame, chunk_rows: int, levels: in
     return placed.withColumn("piece", F.coalesce(piece, F.lit(0)).cast("long")).drop("_open", "_starts")
 
 
-def mine(keyed: DataFrame, sim_th: float = SIM_TH, state: DataFrame | None = None, chunk_rows: int = CHUNK_ROWS,
+def mine(keyed: DataFrame, sim_th: float = SIM_TH, state: DataFrame | None = None, chunk_rows: int | None = None,
          fan: int = FAN, feed: bool = True) -> DataFrame:
-    """Clustering of every leaf, in parallel also inside a leaf.
-
-    ``keyed`` has ``n_tokens, leaf_token, pos, tokens``. The rule:
+    """Clustering of every leaf.
 
-    * The lines of a leaf, in position order, are cut into chunks of
-      ``chunk_rows``; each chunk is clustered line by line from nothing.
-    * The catalogues of ``fan`` consecutive chunks are merged: the first is
-      taken as it is, the clusters of the next ones are added in order, each
-      like a line (its wildcards equal nothing) with the weight of its lines.
-      Merged catalogues are merged again the same way until one is left.
+    ``keyed`` has ``n_tokens, leaf_token, pos, tokens``. The lines of a leaf,
+    however many, are added one after another in position order, as a sequential
+    miner does; the leaves run beside each other. The result depends on the lines
+    and their positions only, never on sizes or partitions.
 
-    So a leaf of up to ``chunk_rows`` lines is mined strictly in sequence, and
-    a larger one in as many tasks as it has chunks; the result depends on
-    positions only, never on partitions. A task holds the clusters of one chunk.
+    Only a caller who names ``chunk_rows`` gets another rule, for leaves of any
+    size: the lines of a leaf, in position order, are cut into chunks of so many;
+    each chunk is clustered line by line from nothing. The catalogues of ``fan``
+    consecutive chunks are merged: the first is taken as it is, the clusters of
+    the next ones are added in order, each like a line (its wildcards equal
+    nothing) with the weight of its lines. Merged catalogues are merged again the
+    same way until one is left. No query asks for it.
 
     Returns rows by ``kind``: ``cluster`` (the final catalogue), ``change``
     (lines that made or changed a cluster; of a leaf of several chunks, the
     first lines of the clusters that did so in the last merge), and the state
     to go on from, ``leaf`` (``size`` lines so far) and ``open`` (catalogues
     that later lines can still change or be merged with). With ``state`` (these
-    two kinds of an earlier result) mining goes on as if the lines of ``keyed``
-    had followed the earlier ones; only what they change is reported. Without
-    ``feed`` there are no ``change`` rows, for callers that read none.
+    two kinds of an earlier result, by the same rule) mining goes on as if the
+    lines of ``keyed`` had followed the earlier ones; only what they change is
+    reported. Without ``feed`` there are no ``change`` rows, for callers that read none.
     """
     from logweave.session import materialize
     leaf = ["n_tokens", "leaf_token"]
@@ -530,7 +602,12 @@ def mine(keyed: DataFrame, sim_th: float = SIM_TH, state: DataFrame | None = Non
     # a row per leaf: at most max_children a line length, and lines of so many lengths hold half the square of
     # that number of tokens, so it goes to every task instead of the lines to it
     sizes = F.broadcast(materialize(sizes, "leaf-sizes"))
-    levels = _levels(sizes, chunk_rows, fan)
+    if chunk_rows is None:
+        if state is not None and not state.where("kind = 'open' and (level > 0 or piece > 0)").isEmpty():
+            raise ValueError("the stored miner cut a leaf into chunks; the lines that made them must be mined anew")
+        chunk_rows, levels = _WHOLE, 0
+    else:
+        levels = _levels(sizes, chunk_rows, fan)
 
     lines = _into_chunks(keyed, sizes, chunk_rows, levels).select(
         *_PIECE, F.lit(1).alias("take"), "pos", F.lit(0).alias("local_id"), _glued("tokens").alias("text"), F.lit(1).cast("long").alias("size"),
@@ -548,7 +625,7 @@ def mine(keyed: DataFrame, sim_th: float = SIM_TH, state: DataFrame | None = Non
         taken = stored(0, False).select(*leaf, "piece", F.lit(0).alias("take"), "pos", "local_id", "text",
                                         "size", F.lit(False).alias("fresh"))
         lines = lines.unionByName(taken)
-    found = [materialize(_collapsed(_sorted_stream(lines)).mapInArrow(_cluster_stream(sim_th, 0, feed), _FOUND_SCHEMA), "mined-pieces")]
+    found = [materialize(_sorted_stream(lines).mapInArrow(_cluster_stream(sim_th, 0, feed), _FOUND_SCHEMA), "mined-pieces")]
     for level in range(levels + 1):
         pieces = found[-1].where("kind = 'piece'")
         if state is not None:

@@ -69,7 +69,7 @@ def fit_templates(lines: DataFrame, path: str, fit_id: str, base: str | None = N
     followed the lines of the base (their positions must be larger); the base
     itself stays as it was. A fit that is run again replaces its own rows only.
     Stored are the own-leaf table and the miner's rows (catalogue, changes and
-    open chunks, see ``templates.mine``).
+    open clusters, see ``templates.mine``).
     """
     spark = lines.sparkSession
     tokens = tokenized_lines(lines)

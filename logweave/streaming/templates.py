@@ -2,7 +2,7 @@
 
 Each micro-batch goes on from the miner that the batch before it stored
 (``plans.mining.fit_templates``): the state is typed tables (clusters of the
-open chunks, lines per leaf, own leaves), the lines of a leaf are sorted and
+leaves so far, lines per leaf, own leaves), the lines of a leaf are sorted and
 streamed by Spark and never gathered in memory, and routing and clustering are
 those of the batch miner, so the final catalogue is the one that mining all
 lines at once would give. A replayed micro-batch starts from the same stored
