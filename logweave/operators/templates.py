@@ -110,15 +110,14 @@ def mask_column(df: DataFrame, src: str, dst: str, rules=MASKING_RULES) -> DataF
 def tokenize(content: Column, delimiters=EXTRA_DELIMITERS) -> Column:
     """Extra delimiters become blanks, then split on Unicode blanks.
 
-    After stripping, a split on blank runs yields no empty token, except for
-    an empty text, which gives no tokens.
+    A split on blank runs yields an empty token at most before a leading and
+    after a trailing run (and the only one of an empty text): these go. So a
+    text is searched once, and not stripped first.
     """
     c = content
     for d in delimiters:
         c = F.translate(c, d, " ")
-    stripped = strip_u(c)
-    return F.when(stripped == F.lit(""), F.array().cast("array<string>")) \
-        .otherwise(F.split(stripped, r"(?U)\s+"))
+    return F.array_remove(F.split(c, r"(?U)\s+"), "")
 
 
 def has_digit(tok: Column) -> Column:
@@ -519,7 +518,7 @@ _PIECE = ["n_tokens", "leaf_token", "piece"]
 
 
 # Python tasks for each shuffle partition: leaves are of unlike size, and the work is in their lines, not their bytes.
-_TASKS = 4
+_TASKS = 2
 
 
 def _dealt(rows: DataFrame, *place: str) -> DataFrame:

@@ -134,7 +134,7 @@ def structured_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_mining_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X2 lines as mining input; ``pos`` orders documents, then lines."""
     d = document_lines(spark, sf_dir)
-    return d.where(F.length(T.strip_u(F.col("line"))) > 0).select(
+    return d.where(F.col("line").rlike(r"(?U)\S")).select(
         "doc_id", "line_no", F.col("line").alias("content"),
         T.order_key(F.col("doc_id"), F.col("line_no")).alias("pos"))
 
