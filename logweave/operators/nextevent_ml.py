@@ -1,11 +1,11 @@
 """The learnt form of the next-event model (M1): a multilayer perceptron on the scaled context.
 
 ``c1..c3`` divided by K (W4) are the features, the next event is the class. The net is trained on
-all training windows: its mean loss over them is a sum over the distinct 4-grams, each weighted by
-its number of windows, so the windows are counted once and every step reads the counts alone (at
+all training windows: its loss over them is a sum over the distinct 4-grams, each weighted by
+its windows, so the windows are counted once and every step reads the counts alone (at
 most K^4 rows, whatever the number of windows). Optimizer (L-BFGS with 10 corrections and a strong
-Wolfe line search), starting weights and limits are those of MLlib's perceptron, which takes no
-weights; the trained net is an MLlib model, saved and loaded with its own writer (S10). ``score``
+Wolfe line search), loss (the mean over blocks of 512 windows of a partition, the last one shorter),
+starting weights and limits are those of MLlib's perceptron, which takes no weights; the trained net is an MLlib model, saved and loaded with its own writer (S10). ``score``
 gives the rank of the true event among the class probabilities (ties by event id), so accuracy and
 top-k test are those of the count model.
 """
@@ -32,6 +32,7 @@ TOLERANCE = 1e-6
 CORRECTIONS = 10
 LINE_STEPS = 10
 LOOK_BACK = 20
+BLOCK_WINDOWS = 512
 # Outputs of a block of contexts that a task holds at once.
 _BLOCK = 1 << 20
 _BLOCKS = "context binary, owner binary, y binary, n binary"
@@ -43,7 +44,7 @@ def _features(windows: DataFrame, classes: int) -> DataFrame:
 
 
 def _pack(classes: int):
-    """mapInArrow function over counted 4-grams sorted by context: blocks of contexts, and (context, y, n) of each 4-gram."""
+    """mapInArrow function over weighted 4-grams sorted by context: blocks of contexts, and (context, y, n) of each 4-gram."""
     import pyarrow as pa
     rows = max(1, _BLOCK // classes)
 
@@ -52,7 +53,7 @@ def _pack(classes: int):
             c1, c2, c3, y, n = (np.asarray(b.column(k)) for k in range(5))
             context = np.stack([c1, c2, c3], axis=1)
             heads = np.concatenate([[True], (context[1:] != context[:-1]).any(axis=1)])
-            parts = context[heads].astype("<i4"), (np.cumsum(heads) - 1).astype("<i4"), y.astype("<i4"), n.astype("<i8")
+            parts = context[heads].astype("<i4"), (np.cumsum(heads) - 1).astype("<i4"), y.astype("<i4"), n.astype("<f8")
             yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in parts], names=["context", "owner", "y", "n"])
     return run
 
@@ -67,7 +68,7 @@ def _unpack(w: np.ndarray, layers: list[int]) -> list[tuple[np.ndarray, np.ndarr
 
 
 def loss_and_gradient(w: np.ndarray, layers: list[int], context, owner, y, n) -> tuple[float, np.ndarray]:
-    """Summed cross-entropy and its gradient over 4-grams: ``n`` windows of context ``owner`` are followed by ``y``."""
+    """Summed cross-entropy and its gradient over 4-grams: windows of weight ``n`` have context ``owner`` and are followed by ``y``."""
     classes = layers[-1]
     parts, acts = _unpack(w, layers), [context / float(classes)]
     with np.errstate(over="ignore"):
@@ -97,8 +98,8 @@ def _step(layers: list[int], w: np.ndarray):
         total = np.zeros(len(w) + 1)
         for b in batches:
             for row in zip(*(b.column(k) for k in range(4))):
-                context, owner, y, n = (np.frombuffer(v.as_buffer(), t) for v, t in zip(row, ("<i4", "<i4", "<i4", "<i8")))
-                loss, g = loss_and_gradient(w, layers, context.reshape(-1, len(CTX)), owner, y, n.astype(float))
+                context, owner, y, n = (np.frombuffer(v.as_buffer(), t) for v, t in zip(row, ("<i4", "<i4", "<i4", "<f8")))
+                loss, g = loss_and_gradient(w, layers, context.reshape(-1, len(CTX)), owner, y, n)
                 total[0] += loss
                 total[1:] += g
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
@@ -198,19 +199,35 @@ def _net(spark: SparkSession, layers: list[int], seed: int, weights: np.ndarray
     return net.fit(spark.createDataFrame([(Vectors.dense([0.0] * layers[0]), 0.0)], ["_x", "_label"]))
 
 
+def _weighted(windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(c1, c2, c3, y, n) of the distinct 4-grams, and the number of blocks. A window weighs one by the windows of its
+    block: all blocks of a partition have ``BLOCK_WINDOWS`` but the last. The shares are added in a fixed order."""
+    at = F.monotonically_increasing_id()
+    placed = windows.select(*CTX, "y", at.alias("_at")).withColumn("_part", F.shiftright("_at", 33))
+    parts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    rest = F.col("_rows") % BLOCK_WINDOWS
+    sized = placed.join(F.broadcast(parts), "_part").withColumn(  # a row for each partition
+        "_block", F.when(F.col("_at").bitwiseAND((1 << 33) - 1) < F.col("_rows") - rest, BLOCK_WINDOWS).otherwise(rest))
+    counted = sized.groupBy(*CTX, "y", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    shares = F.array_sort(F.collect_list(F.struct("_block", "_n")))  # of a 4-gram: one, and those of last blocks
+    total = F.aggregate(shares, F.lit(0.0), lambda s, p: s + p["_n"].cast("double") / p["_block"].cast("double"))
+    return (counted.groupBy(*CTX, "y").agg(total.alias("n")),
+            parts.agg(F.sum(F.ceil(F.col("_rows") / BLOCK_WINDOWS)).cast("long").alias("blocks")))
+
+
 def fit(train_windows: DataFrame, classes: int, hidden=HIDDEN, iterations: int = ITERATIONS,
         seed: int = SEED) -> MultilayerPerceptronClassificationModel:
     """Train on ``(c1, c2, c3, y)`` with event ids in 0..classes-1."""
     spark = train_windows.sparkSession
     layers = [len(CTX), *hidden, classes]
-    counted = train_windows.groupBy(*CTX, "y").agg(F.count(F.lit(1)).alias("n"))
-    packed = (counted.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *CTX).sortWithinPartitions(*CTX)
-              .select(*[F.col(c).cast("long") for c in [*CTX, "y", "n"]]).mapInArrow(_pack(classes), _BLOCKS))
-    blocks = materialize(packed, "path-grams")
-    n = counted.agg(F.sum("n")).first()[0]
+    weighted, blocks = _weighted(train_windows)
+    packed = (weighted.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *CTX).sortWithinPartitions(*CTX)
+              .select(*[F.col(c).cast("long") for c in [*CTX, "y"]], "n").mapInArrow(_pack(classes), _BLOCKS))
+    grams = materialize(packed, "path-grams")
+    n = blocks.first()["blocks"]
 
     def value(w):
-        rows = blocks.mapInArrow(_step(layers, w), "total binary").collect()  # a row per task
+        rows = grams.mapInArrow(_step(layers, w), "total binary").collect()  # a row per task
         total = np.sum([np.frombuffer(r["total"]) for r in rows], axis=0) / n
         return float(total[0]), total[1:]
 
